@@ -185,7 +185,7 @@ def build_all_positives(
 
 def fallback_files(files: DataFrame) -> DataFrame:
     """Files of the first folder that has any, per sample."""
-    ranked = files.withColumn("folder_rank", F.array_position(F.array(*map(F.lit, FOLDERS)), "folder"))
+    ranked = files.withColumn("folder_rank", F.array_position(F.array(*map(F.lit, FOLDERS)), F.col("folder")))
     ranked = ranked.where("folder_rank > 0")
     best = ranked.groupBy("sample_id").agg(F.min("folder_rank").alias("folder_rank"))
     return ranked.join(best, ["sample_id", "folder_rank"]).drop("folder_rank")
@@ -252,3 +252,18 @@ def attach_payload(images: DataFrame, files: DataFrame) -> DataFrame:
     return images.join(files.select("path", "content"), "path").select(
         "split", "ord", "image_id", encode_image(F.col("content")).alias("image_b64")
     )
+
+
+def build_report(texts: DataFrame, images: DataFrame, skipped: DataFrame) -> DataFrame:
+    """``split, kind, rows, first_id, last_id``; skips count per reason."""
+
+    def counts(df: DataFrame, kind: Column, key: Column) -> DataFrame:
+        return df.groupBy("split", kind.alias("kind")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min(key).alias("first_id"), F.max(key).alias("last_id")
+        )
+
+    return (
+        counts(texts, F.lit("texts"), F.col("text_id"))
+        .unionByName(counts(images, F.lit("images"), F.col("image_id")))
+        .unionByName(counts(skipped, F.col("skip_reason"), F.lit(None).cast("bigint")))
+    )

@@ -93,7 +93,7 @@ def violations(
 
 def require_valid(texts, images, splits=("train", "valid"), **allow) -> None:
     """Raise on the first broken rule, naming up to ten ids."""
-    order = F.array_position(F.array(*map(F.lit, ("duplicate", "missing", "unused", "shared"))), "check")
+    order = F.array_position(F.array(*map(F.lit, ("duplicate", "missing", "unused", "shared"))), F.col("check"))
     rank = F.array_position(F.array(*map(F.lit, splits)), F.col("split"))
     first = (
         violations(texts, images, splits, **allow)

@@ -18,7 +18,7 @@ _BROADCAST_BLOCKS = 200_000
 def _block_bound(spark: SparkSession, raw: DataFrame) -> int:
     """Upper bound for the number of blocks of a scan."""
     files = len(raw.inputFiles())
-    size = int(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     parts = int(spark.conf.get("spark.sql.files.minPartitionNum"))
     return files + size // most + 2 * parts
