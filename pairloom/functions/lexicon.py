@@ -7,9 +7,33 @@ built.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 
+def word_pattern(words: Iterable[str]) -> str:
+    """Alternation that prefers earlier words, grouped by first character.
+
+    Words with different first characters cannot compete, so moving the common
+    ones into a character class changes no match.  It spares the regex engine
+    from trying every word at every position.
+    """
+    tails: dict[str, list[str]] = {}
+    for word in words:
+        tails.setdefault(word[0], []).append(word[1:])
+    heads: dict[tuple[str, ...], list[str]] = {}
+    for head, rest in tails.items():
+        heads.setdefault(tuple(rest), []).append(head)
+    branches = []
+    for rest, firsts in heads.items():
+        escaped = [re.escape(t) for t in rest]
+        tail = escaped[0] if len(escaped) == 1 else f"(?:{'|'.join(escaped)})"
+        head = f"[{''.join(firsts)}]" if len(firsts) > 1 else re.escape(firsts[0])
+        branches.append(head + tail)
+    return f"(?:{'|'.join(branches)})"
+
+
 @dataclass(frozen=True)
 class AttributeRule:
     """Find ``lead colour 的? filler object`` and say ``verb colour object``."""
@@ -21,6 +45,20 @@ class AttributeRule:
     filler: str = ""
     colour_optional: bool = False
 
+    @property
+    def shape(self) -> tuple[str, str, bool]:
+        return self.lead, self.filler, self.colour_optional
+
+
+@dataclass(frozen=True)
+class Family:
+    """Phrases that contain ``needs`` and one of ``words``, or equal one."""
+
+    name: str
+    words: tuple[str, ...]
+    needs: str = ""
+    whole: bool = False
+
 
 @dataclass(frozen=True)
 class Lexicon:
@@ -46,14 +84,17 @@ class Lexicon:
     action_role: str
     rider_role: str
     shield_role: str
-    families: tuple[tuple[str, str], ...]
+    families: tuple[Family, ...]
     family_pairs: tuple[tuple[str, str], ...]
     # subjects and noise
     subjects: tuple[str, ...]
     default_subject: str
     subject_aliases: tuple[tuple[str, str], ...]
-    noise: tuple[str, ...]
+    noise_openers: tuple[str, ...]
+    noise_words: tuple[str, ...]
+    clause_rest: str
     secondary_clauses: tuple[str, ...]
+    secondary_cues: tuple[str, ...]
     # caption variants
     compressions: tuple[tuple[str, str], ...]
     person_terms: tuple[str, ...]
@@ -68,12 +109,41 @@ class Lexicon:
 
     @property
     def colour_pattern(self) -> str:
-        words = [*self.colours, *(short for short, _ in self.short_colours)]
-        return "(?:" + "|".join(words) + ")"
+        return word_pattern((*self.colours, *(short for short, _ in self.short_colours)))
+
+    def pattern(self, shape: tuple[str, str, bool], objects: Iterable[str]) -> str:
+        lead, filler, optional = shape
+        colour = f"({self.colour_pattern})" + ("?" if optional else "")
+        return f"{lead}{colour}{self.particle}?{filler}({word_pattern(objects)})"
 
     def rule_pattern(self, rule: AttributeRule) -> str:
-        colour = f"({self.colour_pattern})" + ("?" if rule.colour_optional else "")
-        return f"{rule.lead}{colour}{self.particle}?{rule.filler}({'|'.join(rule.objects)})"
+        return self.pattern(rule.shape, rule.objects)
+
+    def scans(self) -> list[list[AttributeRule]]:
+        """Rules grouped so that one regex scan serves a whole group.
+
+        Rules of one shape can share a scan when their matches cannot overlap
+        (no colour starts with a character found later in a match) and a
+        match's object tells its rule (none starts or ends another rule's).
+        """
+        colours = (*self.colours, *(short for short, _ in self.short_colours))
+        heads = {c[0] for c in colours}
+        groups: dict[tuple[str, str, bool], list[AttributeRule]] = {}
+        for rule in self.rules:
+            groups.setdefault(rule.shape, []).append(rule)
+        scans = []
+        for (_, filler, _), rules in groups.items():
+            inner = {x for c in colours for x in c[1:]} | set(self.particle)
+            inner |= {x for r in rules for o in r.objects for x in o}
+            mixed = any(
+                a.startswith(o) or a.endswith(o)
+                for r in rules for q in rules if r is not q for a in r.objects for o in q.objects
+            )
+            if filler or mixed or heads & inner:
+                scans += [[rule] for rule in rules]
+            else:
+                scans.append(rules)
+        return scans
 
 
 # The Chinese surveillance-caption vocabulary.
@@ -125,18 +195,18 @@ CHINESE = Lexicon(
     action_role="action",
     rider_role="vehicle",
     shield_role="windshield",
-    # Families sort finished phrases by pattern, pairs say which go together.
+    # Families sort finished phrases by content, pairs say which go together.
     families=(
-        ("upper", "上衣|短袖|长袖|衣服|外套|雨衣"),
-        ("pants", "裤"),
-        ("shoes", "鞋"),
-        ("mask", "口罩"),
-        ("helmet", "头盔"),
-        ("hat", "帽子"),
-        ("bag", "书包|背包|袋"),
-        ("vehicle", "骑.*(?:电动车|自行车|摩托车)|(?:电动车|自行车|摩托车).*骑"),
-        ("windshield", "挡风被"),
-        ("action", "^(?:抽烟|打电话)$"),
+        Family("upper", ("上衣", "短袖", "长袖", "衣服", "外套", "雨衣")),
+        Family("pants", ("裤",)),
+        Family("shoes", ("鞋",)),
+        Family("mask", ("口罩",)),
+        Family("helmet", ("头盔",)),
+        Family("hat", ("帽子",)),
+        Family("bag", ("书包", "背包", "袋")),
+        Family("vehicle", _RIDES, needs="骑"),
+        Family("windshield", ("挡风被",)),
+        Family("action", ("抽烟", "打电话"), whole=True),
     ),
     family_pairs=(
         ("upper", "pants"),
@@ -157,26 +227,16 @@ CHINESE = Lexicon(
     subjects=("男子", "男人", "男孩", "女人", "女子", "女孩", "老人", "小孩", "儿童", "行人", "人"),
     default_subject="人",
     subject_aliases=(("行人", "人"),),
-    noise=(
-        "地上有" + _REST,
-        "路上有" + _REST,
-        "旁边有" + _REST,
-        "背景" + _REST,
-        "行走在" + _REST,
-        "走在" + _REST,
-        "站在" + _REST,
-        "位于" + _REST,
-        "斑马线",
-        "网格路",
-        "道路上",
-        "马路上",
-    ),
+    noise_openers=("地上有", "路上有", "旁边有", "背景", "行走在", "走在", "站在", "位于"),
+    noise_words=("斑马线", "网格路", "道路上", "马路上"),
+    clause_rest=_REST,
     secondary_clauses=(
         "抱着?" + _REST + _MINORS + _REST,
         "旁边有" + _REST + "(?:人|男子|男人|女人|女子|女孩|男孩|小孩|儿童)" + _REST,
         "后座" + _REST + _MINORS + _REST,
         "载着?" + _REST + _MINORS + _REST,
     ),
+    secondary_cues=("抱", "旁边有", "后座", "载"),
     # Caption shortening, applied in this order.
     compressions=(
         ("监控视角下，", ""),

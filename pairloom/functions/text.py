@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from pairloom.functions.lexicon import CHINESE, Lexicon
 
 # Java's \s knows ASCII blanks only; this class is what Python's str.split()
 # treats as white space, U+3000 included.
-BLANK = r"[\s\x1c-\x1f\x85\p{Z}]"
+_BLANKS = r"\s\x1c-\x1f\x85\p{Z}"
+BLANK = f"[{_BLANKS}]"
 
 
 def replace_each(text: Column, pairs: Iterable[tuple[str, str]]) -> Column:
@@ -26,15 +28,8 @@ def remove_each(text: Column, patterns: Iterable[str]) -> Column:
 
 
 def contains_any(text: Column, words: Iterable[str]) -> Column:
-    return text.rlike(alternation(words))
-
-
-def alternation(words: Iterable[str]) -> str:
-    return "|".join(_escape(w) for w in words)
-
-
-def _escape(word: str) -> str:
-    return "".join("\\" + c if c in r"\.^$|?*+()[]{}" else c for c in word)
+    """Plain substring tests: they work on the bytes, a regex on a copy."""
+    return reduce(or_, (text.contains(w) for w in words))
 
 
 def or_empty(text: Column) -> Column:
@@ -61,18 +56,37 @@ def tidy_caption(text: Column, lex: Lexicon = CHINESE) -> Column:
 
 def squeeze_caption(text: Column, lex: Lexicon = CHINESE) -> Column:
     """Delete all white space and full stops, shorten wordings, trim."""
-    bare = F.regexp_replace(or_empty(text), rf"(?:{BLANK}|{lex.full_stop})+", "")
+    bare = F.regexp_replace(or_empty(text), f"[{_BLANKS}{lex.full_stop}]+", "")
     return F.btrim(replace_each(bare, lex.wordings), F.lit(lex.query_trim))
 
 
 def tidy_query(text: Column, lex: Lexicon = CHINESE) -> Column:
     """Search-query form of a caption; '' when it ends up too short."""
-    q = replace_each(squeeze_caption(text, lex), lex.query_wordings)
-    q = F.btrim(F.regexp_replace(q, f"{lex.comma}+", lex.comma), F.lit(lex.query_trim))
+    q = _tidied(squeeze_caption(text, lex), lex)
     return F.when(F.length(q) < lex.min_query_len, F.lit("")).otherwise(q)
 
 
+def _tidied(text: Column, lex: Lexicon) -> Column:
+    """Wordings, comma runs and ends of text without white space.
+
+    Queries derived from a squeezed caption hold none, so the costly scan for
+    it can go.  Trimming once at the end is enough because no wording touches a
+    trimmed character.
+    """
+    q = replace_each(text, (*lex.wordings, *lex.query_wordings))
+    return F.btrim(F.regexp_replace(q, f"{lex.comma}{{2,}}", lex.comma), F.lit(lex.query_trim))
+
+
+def tidy_queries(items: Column, lex: Lexicon = CHINESE) -> Column:
+    """Tidy every squeezed element, drop the ones that end up too short.
+
+    The length rule is a filter of its own: inside the lambda it would compute
+    each element twice.
+    """
+    tidied = F.transform(items, lambda q: _tidied(q, lex))
+    return F.filter(tidied, lambda q: F.length(q) >= lex.min_query_len)
+
+
 def distinct_queries(items: Column, lex: Lexicon = CHINESE) -> Column:
-    """Tidy every element, drop the empty ones, keep first occurrences."""
-    tidied = F.transform(items, lambda q: tidy_query(q, lex))
-    return F.array_distinct(F.filter(tidied, lambda q: q != ""))
+    """Tidy queries, first occurrences only."""
+    return F.array_distinct(tidy_queries(items, lex))

@@ -9,6 +9,7 @@ from pairloom.functions.images import content_hash
 from pairloom.functions.text import or_empty, strip
 from pairloom.operators.filtering import links
 from pairloom.operators.ids import dense_id, integer_bucket, next_image_id, next_text_id
+from pairloom.session import staged
 
 KEY = ["text", "contents", "files"]
 
@@ -45,9 +46,9 @@ def append_annotations(
 ) -> DataFrame:
     """Resolve a batch ``batch_ord, text, images`` (arrays of base64).
 
-    One row per batch row: ``batch_ord, text, images, text_id, image_ids,
-    existing``.  Rows are treated as if they came one after the other, so a
-    repeat inside the batch is 'existing' too.
+    One row per batch row: ``batch_ord, text, text_id, image_ids, existing``.
+    Rows are treated as if they came one after the other, so a repeat inside
+    the batch is 'existing' too.
     """
     text = strip(or_empty(F.col("text")))
     checked = batch.select(
@@ -63,10 +64,11 @@ def append_annotations(
         F.sort_array(F.array_distinct(F.transform("images", content_hash))).alias("contents"),
         F.size("images").cast("bigint").alias("files"),
     )
+    keyed = staged(keyed)
     train_texts = texts.where(F.col("split") == split)
     known = _existing(train_texts, images.where(F.col("split") == split), keyed)
     firsts = keyed.groupBy(*KEY).agg(F.min("batch_ord").alias("first_ord"))
-    resolved = firsts.join(known, KEY, "left")
+    resolved = staged(firsts.join(known, KEY, "left"))
     fresh = resolved.where(F.col("old_text_id").isNull()).select("first_ord", "files")
 
     numbered = dense_id(fresh, "new_text_id", ["first_ord"], start=next_text_id(train_texts))
@@ -88,16 +90,15 @@ def append_annotations(
         F.coalesce("old_image_ids", "new_image_ids").alias("image_ids"),
         F.col("old_text_id").isNotNull().alias("known"),
     )
-    return (
-        keyed.join(answers, KEY)
-        .withColumn("existing", F.col("known") | (F.col("batch_ord") != F.col("first_ord")))
-        .select("batch_ord", "text_id", "image_ids", "existing")
-        .join(checked, "batch_ord")
-        .select("batch_ord", "text", "images", "text_id", "image_ids", "existing")
+    existing = F.col("known") | (F.col("batch_ord") != F.col("first_ord"))
+    return keyed.join(answers, KEY).select(
+        "batch_ord", "text", "text_id", "image_ids", existing.alias("existing")
     )
 
 
-def new_rows(resolved: DataFrame, texts: DataFrame, images: DataFrame, split: str = "train") -> tuple[DataFrame, DataFrame]:
+def new_rows(
+    resolved: DataFrame, batch: DataFrame, texts: DataFrame, images: DataFrame, split: str = "train"
+) -> tuple[DataFrame, DataFrame]:
     """Text and image rows to append to the stored dataset."""
     fresh = resolved.where(~F.col("existing"))
 
@@ -113,7 +114,9 @@ def new_rows(resolved: DataFrame, texts: DataFrame, images: DataFrame, split: st
         "image_ids",
         F.lit(None).cast("bigint").alias("source_text_id"),
     )
-    pairs = fresh.select(F.explode_outer(F.arrays_zip("image_ids", "images")).alias("pair"))
+    # payloads travel for the new rows only
+    paired = fresh.select("batch_ord", "image_ids").join(batch.select("batch_ord", "images"), "batch_ord")
+    pairs = paired.select(F.explode_outer(F.arrays_zip("image_ids", "images")).alias("pair"))
     new_images = pairs.select(
         F.lit(split).alias("split"),
         (after(images) + F.col("pair.image_ids") - next_image_id(images)).alias("ord"),

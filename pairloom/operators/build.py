@@ -12,6 +12,7 @@ from pairloom.functions.text import collapse_blanks, or_empty, strip
 from pairloom.operators.ids import BUCKET_ROWS, dense_id
 from pairloom.operators.splitting import exact_split, group_split
 from pairloom.schema import SPLITS
+from pairloom.session import staged
 
 # Skip reasons of the two folder builders.
 EMPTY_QUERY, NO_IMAGES = "empty or missing query.txt", "no positive images"
@@ -105,7 +106,8 @@ def build_from_annotations(
 ) -> tuple[DataFrame, DataFrame]:
     """Texts, and images without payload (``path`` instead)."""
     samples = caption_samples(images, annotations, files, joiner=joiner, keep_empty=keep_empty)
-    rows = exact_split(number_samples(samples), "image_id", ratio, seed)
+    # the split counts these rows before it marks them
+    rows = exact_split(staged(number_samples(samples)), "image_id", ratio, seed)
     texts = dense_id(rows, "text_id", ["image_id"], within=["split"])
     texts = texts.select(
         "split",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.attributes import with_attributes
+from pairloom.functions.attributes import with_attrs_only
 from pairloom.functions.lexicon import CHINESE, Lexicon
 
 
@@ -36,7 +36,7 @@ def quotas(items: DataFrame) -> DataFrame:
 
 def attribute_images(texts: DataFrame, lex: Lexicon = CHINESE) -> DataFrame:
     """``label, images``: distinct images per colour and object in captions."""
-    rows = with_attributes(texts.select("split", "text", "image_ids"), lex=lex)
+    rows = with_attrs_only(texts.select("split", "text", "image_ids"), lex=lex)
     labels = rows.select("split", "image_ids", F.explode_outer("attrs").alias("phrase"))
     label = F.regexp_extract("phrase", f"{lex.colour_pattern}.*", 0)
     cited = labels.select("split", label.alias("label"), F.explode_outer("image_ids").alias("image_id"))

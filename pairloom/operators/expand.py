@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.attributes import with_attribute_queries
 from pairloom.functions.lexicon import CHINESE, Lexicon
-from pairloom.functions.text import tidy_query
+from pairloom.functions.text import tidy_queries, tidy_query
 from pairloom.functions.variants import with_variants
 from pairloom.operators.ids import dense_id
 from pairloom.operators.merge import NO_IDS
@@ -48,7 +48,7 @@ def attribute_emissions(
         "split", "ord", "text_id", "text", F.coalesce("image_ids", F.expr(NO_IDS)).alias("image_ids")
     )
     rows = with_attribute_queries(rows, max_new=max_new, lex=lex)
-    derived = F.transform("queries", lambda q: _slot(tidy_query(q, lex), True))
+    derived = F.transform(tidy_queries(F.col("queries"), lex), lambda q: _slot(q, True))
     own = F.array(_slot(tidy_query(F.col("text"), lex), False))
     slots = F.concat(own, derived) if keep_original else derived
     return (

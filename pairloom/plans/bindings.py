@@ -61,15 +61,17 @@ def order_split(priority: Column) -> Column:
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
     """``order_key, part_key, ord, clause, txt`` of every line item."""
-    part = part_words(table(spark, sf, "part"))
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    part = part_words(table(spark, sf, "part")).select(
+        F.col("p_partkey").alias("part_key"),
+        F.concat("verb", "colour", F.lit("的"), "noun").alias("clause"),
+        F.col("p_name").alias("txt"),
+    )
+    lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_partkey").alias("part_key"),
         (F.col("l_linenumber").cast("bigint") * LINE + F.col("l_partkey")).alias("ord"),
-        F.concat("verb", "colour", F.lit("的"), "noun").alias("clause"),
-        F.col("p_name").alias("txt"),
     )
+    return lines.join(part, "part_key")
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:

@@ -617,12 +617,12 @@ def _append(spark, sf):
     batch = every.join(lists, "ord").select(
         F.col("ord").alias("batch_ord"), "text", F.transform("l", lambda x: x["image_b64"]).alias("images")
     )
-    return stored, images, append.append_annotations(stored, images, batch)
+    return stored, images, batch, append.append_annotations(stored, images, batch)
 
 
 @query(f"""{_APPEND_SQL} SELECT batch_ord, text, text_id, image_ids, existing FROM answers""")
 def append_annotations(spark, sf):
-    _, _, resolved = _append(spark, sf)
+    _, _, _, resolved = _append(spark, sf)
     return resolved.select("batch_ord", "text", "text_id", joined("image_ids"), "existing")
 
 
@@ -630,8 +630,8 @@ def append_annotations(spark, sf):
 SELECT f.last_image::BIGINT - f.files + l.pos + 1 AS image_id, s.image_b64
 FROM fresh f JOIN links l ON l.ord = f.first_ord JOIN stock s ON s.image_id = l.image_id""")
 def append_images(spark, sf):
-    stored, images, resolved = _append(spark, sf)
-    _, new_images = append.new_rows(resolved, stored, images)
+    stored, images, batch, resolved = _append(spark, sf)
+    _, new_images = append.new_rows(resolved, batch, stored, images)
     return new_images.select("image_id", "image_b64")
 
 

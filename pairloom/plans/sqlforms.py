@@ -84,7 +84,8 @@ def join_gaps(x: str) -> str:
 
 
 def drop_noise(x: str) -> str:
-    return join_gaps(remove_each(squeeze(x), LEX.noise))
+    patterns = (*(w + LEX.clause_rest for w in LEX.noise_openers), *LEX.noise_words)
+    return join_gaps(remove_each(squeeze(x), patterns))
 
 
 def drop_secondary(x: str) -> str:
@@ -112,7 +113,12 @@ def role_list(role: str) -> str:
     parts = []
     for rule in LEX.rules:
         if rule.role == role:
-            p = quote(LEX.rule_pattern(rule))
+            # the plain alternation here, to check the grouped one
+            colour = "|".join((*LEX.colours, *(c for c, _ in LEX.short_colours)))
+            p = quote(
+                f"{rule.lead}({colour}){'?' if rule.colour_optional else ''}{LEX.particle}?"
+                f"{rule.filler}({'|'.join(rule.objects)})"
+            )
             pairs = f"list_zip(regexp_extract_all(main, {p}, 1), regexp_extract_all(main, {p}, 2))"
             parts.append(f"list_transform({pairs}, lambda z: {quote(rule.verb)} || {_colour('z[1]')} || z[2])")
     if role == LEX.action_role:
@@ -138,8 +144,13 @@ attributed AS (SELECT *, {distinct('l_attrs')} AS attrs FROM a_list)"""
 
 def queries_cte(source: str, max_new: int) -> str:
     """CTEs ending in ``queried``: one list ``queries`` per row."""
+    def belongs(f) -> str:
+        if f.whole:
+            return f"a IN ({', '.join(map(quote, f.words))})"
+        return has_any("a", f.words) + (f" AND contains(a, {quote(f.needs)})" if f.needs else "")
+
     families = ", ".join(
-        f"list_filter(attrs, lambda a: regexp_matches(a, {quote(p)}))[1:2] AS f_{n}" for n, p in LEX.families
+        f"list_filter(attrs, lambda a: {belongs(f)})[1:2] AS f_{f.name}" for f in LEX.families
     )
     ask = lambda x: f"{x} || {quote(LEX.particle)} || subject"
     pairs = " || ".join(
