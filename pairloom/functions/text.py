@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pairloom.functions.lexicon import CHINESE, Lexicon
+from pairloom.functions.lexicon import CHINESE, Lexicon, word_pattern
 
 # Java's \s knows ASCII blanks only; this class is what Python's str.split()
 # treats as white space, U+3000 included.
@@ -80,10 +80,16 @@ def _tidied(text: Column, lex: Lexicon) -> Column:
 def tidy_queries(items: Column, lex: Lexicon = CHINESE) -> Column:
     """Tidy every squeezed element, drop the ones that end up too short.
 
-    The length rule is a filter of its own: inside the lambda it would compute
-    each element twice.
+    Most derived queries are tidy: one pattern test spares them the wordings.
+    The length rule is a filter of its own, because inside the lambda it would
+    compute each element twice.
     """
-    tidied = F.transform(items, lambda q: _tidied(q, lex))
+    words = [old for old, _ in (*lex.wordings, *lex.query_wordings)]
+    untidy = word_pattern((*words, lex.comma * 2))
+    tidied = F.transform(
+        items,
+        lambda q: F.when(q.rlike(untidy), _tidied(q, lex)).otherwise(F.btrim(q, F.lit(lex.query_trim))),
+    )
     return F.filter(tidied, lambda q: F.length(q) >= lex.min_query_len)
 
 

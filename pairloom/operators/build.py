@@ -133,7 +133,7 @@ def sample_status(
     """Every sample with its stripped query, file count and skip reason."""
     counts = files.groupBy("sample_id").agg(F.count(F.lit(1)).alias("files"))
     rows = (
-        samples.join(queries, "sample_id", "left")
+        samples.join(queries.select("sample_id", "query"), "sample_id", "left")
         .join(counts, "sample_id", "left")
         .withColumn("query", strip(or_empty(F.col("query"))))
     )

@@ -60,6 +60,8 @@ def prepare_dataset(
         ratio=s.caption_ratio,
         seed=s.seed,
     )
+    # each step is written once: all of it is narrow, the bytes come last
+    texts, images = staged(texts), staged(images)
     if texts.isEmpty():
         raise ValueError("No valid samples found. Check input paths or annotations.")
     texts, images = filter_long(texts, images, s.max_caption_len)
@@ -71,9 +73,8 @@ def prepare_dataset(
         ratio=s.folder_ratio,
         seed=s.seed,
     )
-    more_images = more_images.select("split", "ord", "image_id", "path")
-    texts, images = merge_datasets(texts, images, more_texts, more_images)
-    # the steps so far feed several checks and both outputs
+    more_images = staged(more_images.select("split", "ord", "image_id", "path"))
+    texts, images = merge_datasets(staged(texts), staged(images), staged(more_texts), more_images)
     texts, images = staged(texts.drop("origin")), staged(images.drop("origin"))
     require_consistent(texts, images)
 

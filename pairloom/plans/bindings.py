@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.session import staged
+
 # Part-name words in caption language.
 COLOURS = {
     "red": "红色", "blue": "蓝色", "large": "白色", "small": "黑色",
@@ -76,23 +78,22 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     """One caption per order: its distinct clauses in line order."""
-    rows = items(spark, sf)
-    # repeats fold before the lists are built: at most 64 clauses exist
-    clauses = rows.groupBy("order_key", "clause").agg(F.min("ord").alias("ord"))
-    bodies = clauses.groupBy("order_key").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("ord", "clause"))), lambda x: x["clause"]), "，"
-        ).alias("body")
+    # repeats fold before the lists are built: one entry per cited part
+    cited = items(spark, sf).groupBy("order_key", "part_key", "clause").agg(F.min("ord").alias("ord"))
+    lists = cited.groupBy("order_key").agg(
+        F.array_sort(F.collect_list(F.struct("ord", "part_key", "clause"))).alias("cited")
     )
-    refs = (
-        rows.select("order_key", "part_key").distinct().groupBy("order_key")
-        .agg(F.sort_array(F.collect_list("part_key")).alias("image_ids"))
+    clauses = F.array_distinct(F.transform("cited", lambda c: c["clause"]))
+    lists = lists.select(
+        "order_key",
+        F.array_join(clauses, "，").alias("body"),
+        F.array_sort(F.transform("cited", lambda c: c["part_key"])).alias("image_ids"),
     )
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_key"), "o_orderpriority", "o_orderstatus"
     )
     text = F.concat(F.lit("一个"), "body", F.lit("的人"), _case(F.col("o_orderstatus"), TAILS, ""))
-    return orders.join(bodies, "order_key").join(refs, "order_key").select(
+    return orders.join(lists, "order_key").select(
         order_split(F.col("o_orderpriority")).alias("split"),
         F.col("order_key").alias("ord"),
         F.col("order_key").alias("text_id"),
@@ -102,6 +103,11 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The captions as a written table, for operators that read them often."""
+    return staged(texts(spark, sf))
+
+
 def part_images(spark: SparkSession, sf: str) -> DataFrame:
     """Every part as an image of the split its size puts it in."""
     return table(spark, sf, "part").select(

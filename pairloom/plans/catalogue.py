@@ -368,7 +368,7 @@ def source_fallback(spark, sf):
 
 
 def _merge_parts(spark: SparkSession, sf: str):
-    every, images = b.texts(spark, sf), b.part_images(spark, sf)
+    every, images = b.stored_texts(spark, sf), b.part_images(spark, sf)
     return every.where("status = 'F'"), images, every.where("status <> 'F'"), images
 
 
@@ -609,7 +609,7 @@ answers AS (SELECT k.ord AS batch_ord, k.text, coalesce(o.old_id, f.new_id)::BIG
 
 def _append(spark, sf):
     """All captions sent in again, to a dataset that has those of status F."""
-    every = b.texts(spark, sf)
+    every = b.stored_texts(spark, sf)
     images = b.part_images(spark, sf).withColumn("split", F.lit("train"))
     stored = every.where("status = 'F'").withColumn("split", F.lit("train"))
     payload = filtering.links(every).join(images.select("image_id", "image_b64"), "image_id")
@@ -654,18 +654,18 @@ SELECT split, (SELECT max(text_id) FROM {own} x WHERE x.split = f.split) + row_n
 
 @query(_variants_sql("texts", "texts", max_new=2, min_len=8, max_len=55, split_subjects=False))
 def expand_variants(spark, sf):
-    return expand.expand_variants(b.texts(spark, sf)).select("split", "text_id", "text", joined("image_ids"))
+    return expand.expand_variants(b.stored_texts(spark, sf)).select("split", "text_id", "text", joined("image_ids"))
 
 
 @query(_variants_sql("texts", "texts", single=True, max_new=2, min_len=6, max_len=45, split_subjects=False))
 def expand_variants_single_image(spark, sf):
-    out = expand.expand_variants(b.texts(spark, sf), min_len=6, max_len=45, single_image_only=True)
+    out = expand.expand_variants(b.stored_texts(spark, sf), min_len=6, max_len=45, single_image_only=True)
     return out.select("split", "text_id", "text", joined("image_ids"))
 
 
 @query(_variants_sql("texts", "texts", max_new=4, min_len=8, max_len=55, split_subjects=True))
 def expand_variants_split_subjects(spark, sf):
-    out = expand.expand_variants(b.texts(spark, sf), max_new=4, split_subjects=True)
+    out = expand.expand_variants(b.stored_texts(spark, sf), max_new=4, split_subjects=True)
     return out.select("split", "text_id", "text", joined("image_ids"))
 
 
@@ -692,7 +692,7 @@ n AS (SELECT split, count(*) AS input_rows FROM texts GROUP BY split),
 m AS (SELECT split, count(*) AS output_rows, count(*) FILTER (derived) AS expanded_rows FROM expanded GROUP BY split)
 SELECT split, input_rows, output_rows, expanded_rows, round_even(expanded_rows / input_rows, 2) AS avg_new_per_input FROM n JOIN m USING (split)""")
 def expansion_stats(spark, sf):
-    texts = b.texts(spark, sf)
+    texts = b.stored_texts(spark, sf)
     return expand.expansion_stats(texts, expand.expand_attributes(texts, MAX_QUERIES))
 
 
@@ -701,7 +701,7 @@ gains AS (SELECT t.split, t.ord, count(e.source_ord) AS new_rows FROM texts t
   LEFT JOIN (SELECT * FROM expanded WHERE derived) e ON e.split = t.split AND e.source_ord = t.ord GROUP BY ALL)
 SELECT split, new_rows, count(*) AS inputs FROM gains GROUP BY ALL""")
 def expansion_histogram(spark, sf):
-    texts = b.texts(spark, sf)
+    texts = b.stored_texts(spark, sf)
     return expand.expansion_histogram(texts, expand.expand_attributes(texts, MAX_QUERIES))
 
 
@@ -742,7 +742,7 @@ def collection_coverage(spark, sf):
 SELECT split, row_number() OVER (PARTITION BY split ORDER BY ord) - 1 AS ord, text_id, text, {JOINED} FROM texts""")
 def texts_file_round_trip(spark, sf):
     """Write caption files, read them back in line order."""
-    texts, folder = b.texts(spark, sf), scratch_path(spark, "texts")
+    texts, folder = b.stored_texts(spark, sf), scratch_path(spark, "texts")
     parts = []
     for split in ("train", "valid"):
         path = text_files.texts_path(folder, split)

@@ -13,7 +13,6 @@ DEFAULTS = {
     # split a hot join partition even when that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -30,32 +29,33 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder: on a
     cluster a machine-local path would not survive a lost executor.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
         return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rsplit("/", 1)[0]
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    local = tempfile.mkdtemp(prefix="pairloom-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pairloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from there.
 
-    Used where one costly frame feeds two branches of a plan.
+    Used where one costly frame feeds several branches of a plan.  Parquet,
+    so that a branch reads only the columns it needs; the files outlive any
+    executor and go away with the application.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
 
 
 def pin_file_splits(spark: SparkSession) -> None:

@@ -24,7 +24,7 @@ def read_exports(spark: SparkSession, folders: list[str]) -> DataFrame:
         .option("multiLine", True)
         .option("mode", "FAILFAST")
         .json([f"{folder}/{_DOCUMENT}" for folder in folders])
-        .select("*", paths.plain(F.col("_metadata.file_path")).alias("path"))
+        .select("*", paths.plain(paths.decoded(F.col("_metadata.file_path"))).alias("path"))
     )
     # as long as the argument list, so it is safe to broadcast
     order = spark.createDataFrame(

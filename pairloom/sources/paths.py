@@ -50,6 +50,11 @@ def plain(path: Column) -> Column:
     return F.regexp_replace(path, _SLASHES, "$1:/")
 
 
+def decoded(path: Column) -> Column:
+    """``_metadata.file_path`` is URL-encoded; undo that (a plus is a plus)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def is_filled(spark: SparkSession, path: str) -> bool:
     fs, where = _fs(spark, path)
     return fs.exists(where) and len(fs.listStatus(where)) > 0
