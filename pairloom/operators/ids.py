@@ -45,20 +45,23 @@ def integer_bucket(key: str, rows: int = BUCKET_ROWS) -> Column:
 def sampled_bucket(df: DataFrame, order: Sequence[str]) -> Column:
     """Bucket for any unique composite key, also with a hot leading column.
 
-    Cut points come from a bounded sample: the keys with the smallest hashes,
-    so a second run finds the same points.  They go into the plan as one
-    literal array and are searched by halving.
+    Cut points come from a sample of bounded size, chosen by key hash so that a
+    second run finds the same points.  They go into the plan as one literal
+    array and are searched by halving.
     """
     spark = df.sparkSession
     buckets = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), _MAX_BUCKETS)
     keys = df.select(*order)
-    sample = (
-        keys.orderBy(F.xxhash64(*order), *order)
-        .limit(buckets * _SAMPLE_PER_BUCKET)
-        .orderBy(*order)
-        .select(F.to_json(F.struct(*order), {"ignoreNullFields": "false"}).alias("key"))
+    # unique keys hash evenly, so the share below is about as many rows
+    wanted = buckets * _SAMPLE_PER_BUCKET
+    share = min(wanted / max(keys.count(), 1), 1.0)
+    sample = keys if share == 1.0 else keys.where(
+        F.xxhash64(*order) < F.lit(int(share * 2**64) - 2**63)
     )
-    cuts = [row.key for row in sample.collect()][_SAMPLE_PER_BUCKET - 1 :: _SAMPLE_PER_BUCKET]
+    points = sample.orderBy(*order).select(
+        F.to_json(F.struct(*order), {"ignoreNullFields": "false"}).alias("key")
+    )
+    cuts = [row.key for row in points.collect()][_SAMPLE_PER_BUCKET - 1 :: _SAMPLE_PER_BUCKET]
     if not cuts:
         return F.lit(0).cast("bigint")
     points = F.from_json(F.lit("[" + ",".join(cuts) + "]"), T.ArrayType(keys.schema))
@@ -139,8 +142,8 @@ def neighbours(ids: DataFrame, column: str, within: Sequence[str] = ()) -> DataF
 def neighbour_of(ids: DataFrame, column: str, current: int, step: int) -> DataFrame:
     """One row ``id``: the neighbour of any number, present or not.
 
-    Both ends clamp.  Going forward from above the largest id wraps to the
-    first one, as the reference's lookup page does.
+    Both ends clamp, but going forward from above the largest id leads to the
+    first one.
     """
     key, here = F.col(column), F.lit(current)
     found = ids.agg(

@@ -23,6 +23,11 @@ NOUNS = {
     "gear": "头盔", "bolt": "背包", "anvil": "挡风被", "gizmo": "口罩",
 }
 VERBS = {"rod": "骑着", "gear": "戴着", "gizmo": "戴着", "bolt": "背着", "anvil": "有"}
+CLAUSES = {
+    f"{adjective} {noun}": f"{VERBS.get(noun, '穿着')}{COLOURS[adjective]}的{NOUNS[noun]}"
+    for adjective in COLOURS
+    for noun in NOUNS
+}
 TAILS = {"F": "，地上有积水。", "O": "，旁边有小孩。"}
 # Leading bytes per part type, as hex, and what they stand for.
 LEADS = {
@@ -62,10 +67,13 @@ def order_split(priority: Column) -> Column:
 
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
-    """``order_key, part_key, ord, clause, txt`` of every line item."""
+    """``order_key, part_key, ord, code, txt`` of every line item.
+
+    ``code`` is the place of the part's clause in ``CLAUSES``.
+    """
     part = part_words(table(spark, sf, "part")).select(
         F.col("p_partkey").alias("part_key"),
-        F.concat("verb", "colour", F.lit("的"), "noun").alias("clause"),
+        F.array_position(F.array(*map(F.lit, CLAUSES)), F.col("p_name")).cast("int").alias("code"),
         F.col("p_name").alias("txt"),
     )
     lines = table(spark, sf, "lineitem").select(
@@ -78,16 +86,18 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     """One caption per order: its distinct clauses in line order."""
-    # repeats fold before the lists are built: one entry per cited part
-    cited = items(spark, sf).groupBy("order_key", "part_key", "clause").agg(F.min("ord").alias("ord"))
+    # repeats fold first; an entry is a number and a code, little more than the
+    # image id that the caption row has to hold anyway
+    cited = items(spark, sf).groupBy("order_key", "part_key", "code").agg(F.min("ord").alias("ord"))
     lists = cited.groupBy("order_key").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "part_key", "clause"))).alias("cited")
+        F.array_sort(F.collect_list(F.struct("ord", "code"))).alias("cited")
     )
-    clauses = F.array_distinct(F.transform("cited", lambda c: c["clause"]))
+    words = F.array(*(F.lit(clause) for clause in CLAUSES.values()))
+    codes = F.array_distinct(F.transform("cited", lambda c: c["code"]))
     lists = lists.select(
         "order_key",
-        F.array_join(clauses, "，").alias("body"),
-        F.array_sort(F.transform("cited", lambda c: c["part_key"])).alias("image_ids"),
+        F.array_join(F.transform(codes, lambda code: F.get(words, code - 1)), "，").alias("body"),
+        F.array_sort(F.transform("cited", lambda c: c["ord"] % LINE)).alias("image_ids"),
     )
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_key"), "o_orderpriority", "o_orderstatus"

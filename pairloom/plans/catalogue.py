@@ -72,6 +72,16 @@ def filter_report(spark, sf):
     return filtering.filter_report(b.texts(spark, sf), b.shared_images(spark, sf), CAPTION_LEN)
 
 
+@query(f"""WITH {b.DOCUMENTS_SQL}
+SELECT split, text_id, text FROM docs WHERE split <> 'train' OR length(text) <= {DOCUMENT_LEN}""")
+def filter_one_split(spark, sf):
+    """Only the train split is filtered, the other one passes through."""
+    docs = b.documents(spark, sf)
+    chosen = text_files.resolve_splits("train")
+    kept = filtering.short_texts(docs.where(F.col("split").isin(*chosen)), DOCUMENT_LEN)
+    return sinks.with_other_splits(kept, docs, chosen).select("split", "text_id", "text")
+
+
 # --- text rules ---------------------------------------------------------------
 
 
@@ -350,9 +360,12 @@ def folder_first_positive(spark, sf):
 
 @query(f"""{_FOLDER_SQL}
 SELECT sample, CASE WHEN query = '' THEN '{build.EMPTY_QUERY_ONE}' ELSE '{build.NO_IMAGE_ONE}' END AS skip_reason
-FROM status WHERE query = '' OR all_files = 0""")
+FROM status WHERE query = '' OR first_files = 0""")
 def folder_first_positive_skips(spark, sf):
-    _, _, skipped = build.build_one_positive(*b.samples(spark, sf), start=0, end=2**62)
+    """Samples left out when only the first folder is there."""
+    folders, queries, files = b.samples(spark, sf)
+    first = files.where(F.col("folder") == build.FOLDERS[0])
+    _, _, skipped = build.build_one_positive(folders, queries, first, start=0, end=2**62)
     return skipped.select("sample", "skip_reason")
 
 
