@@ -89,8 +89,9 @@ def uid(prefix: Column, image_id: Column) -> Column:
 
 def number_samples(samples: DataFrame) -> DataFrame:
     """Image ids 1, 2, .. over all exports in argument order."""
+    # counted and numbered, so written once
     return dense_id(
-        samples, "image_id", ["source_ord", "pos"], start=1, bucket=ranked_bucket("source_ord", "pos")
+        staged(samples), "image_id", ["source_ord", "pos"], start=1, bucket=ranked_bucket("source_ord", "pos")
     )
 
 
@@ -159,13 +160,14 @@ def build_all_positives(
     after those of the first.
     """
     files = files.where(F.col("folder") == FOLDERS[0])
-    status = sample_status(group_split(samples, "sample_id", ratio, seed), queries, files)
+    # feeds both outputs and the skips, as do the numbered images below
+    status = staged(sample_status(group_split(samples, "sample_id", ratio, seed), queries, files))
     skipped = status.where(F.col("skip_reason").isNotNull()).select("split", "sample", "skip_reason")
     kept = status.where(F.col("skip_reason").isNull()).withColumn("rank", split_rank())
 
     images = files.select("sample_id", "name", "path").join(kept.select("sample_id", "split", "rank"), "sample_id")
     # one sample may own very many images, so the cut points are sampled
-    images = dense_id(images, "image_id", ["rank", "sample_id", "name"], start=image_start)
+    images = staged(dense_id(images, "image_id", ["rank", "sample_id", "name"], start=image_start))
     # ids of a sample are consecutive: its list is a range, nothing to collect
     spans = images.groupBy("sample_id").agg(
         F.min("image_id").alias("lo"), F.max("image_id").alias("hi")
@@ -226,7 +228,7 @@ def build_one_positive(
         F.lit(split).alias("split"), "sample", "skip_reason"
     )
     kept = status.where(F.col("skip_reason").isNull()).join(first, "sample_id")
-    kept = dense_id(kept, "place", ["sample_id"])
+    kept = dense_id(staged(kept), "place", ["sample_id"])
     shift = lambda by: (F.col("place") + (by if isinstance(by, Column) else F.lit(by))).cast("bigint")
     rows = kept.select(
         F.lit(split).alias("split"),
