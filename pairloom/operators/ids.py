@@ -42,15 +42,12 @@ def integer_bucket(key: str, rows: int = BUCKET_ROWS) -> Column:
     return F.floor(F.col(key) / F.lit(rows)).cast("bigint")
 
 
-def sampled_bucket(df: DataFrame, order: Sequence[str]) -> Column:
-    """Bucket for any unique composite key, also with a hot leading column.
+def _cut_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[str]:
+    """At most about ``buckets`` keys, as JSON, that cut the rows evenly.
 
-    Cut points come from a sample of bounded size, chosen by key hash so that a
-    second run finds the same points.  They go into the plan as one literal
-    array and are searched by halving.
+    They come from a sample of bounded size, chosen by key hash so that a second
+    run finds the same points.
     """
-    spark = df.sparkSession
-    buckets = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), _MAX_BUCKETS)
     keys = df.select(*order)
     # unique keys hash evenly, so the share below is about as many rows
     wanted = buckets * _SAMPLE_PER_BUCKET
@@ -61,17 +58,41 @@ def sampled_bucket(df: DataFrame, order: Sequence[str]) -> Column:
     points = sample.orderBy(*order).select(
         F.to_json(F.struct(*order), {"ignoreNullFields": "false"}).alias("key")
     )
-    cuts = [row.key for row in points.collect()][_SAMPLE_PER_BUCKET - 1 :: _SAMPLE_PER_BUCKET]
+    return [row.key for row in points.collect()][_SAMPLE_PER_BUCKET - 1 :: _SAMPLE_PER_BUCKET]
+
+
+def _bucket_of(df: DataFrame, order: Sequence[str], cuts: list[str]) -> Column:
+    """Number of cut points up to the key: one literal array, halved per step."""
     if not cuts:
-        return F.lit(0).cast("bigint")
-    points = F.from_json(F.lit("[" + ",".join(cuts) + "]"), T.ArrayType(keys.schema))
+        return F.lit(0)
+    points = F.from_json(F.lit("[" + ",".join(cuts) + "]"), T.ArrayType(df.select(*order).schema))
     key = F.struct(*order)
     steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))))
     return F.aggregate(
         steps,
         F.lit(0),
         lambda at, step: F.when(F.get(points, at + step - 1) <= key, at + step).otherwise(at),
-    ).cast("bigint")
+    )
+
+
+def sampled_bucket(df: DataFrame, order: Sequence[str]) -> Column:
+    """Bucket for any unique composite key, also with a hot leading column."""
+    buckets = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _MAX_BUCKETS)
+    return _bucket_of(df, order, _cut_points(df, order, buckets)).cast("bigint")
+
+
+def in_order(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Partitions that follow each other in ``key`` order, sorted inside.
+
+    Unlike a range repartition it samples the key column alone, so a payload
+    next to it is computed and moved once.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = _cut_points(df, [key], parts)
+    # about ``parts`` of them, whatever the sample gave
+    cuts = cuts[:: max(len(cuts) // parts, 1)]
+    place = _bucket_of(df, [key], cuts)
+    return df.repartitionById(len(cuts) + 1, place).sortWithinPartitions(key)
 
 
 def dense_id(

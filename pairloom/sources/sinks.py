@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.operators.ids import in_order
 from pairloom.schema import SPLITS
 from pairloom.sources import paths
 from pairloom.sources.images import images_path
@@ -20,7 +21,7 @@ _TEXT_KEYS = ("text_id", "text", "image_ids", "source_text_id")
 def _in_order(df: DataFrame, ordered: bool) -> DataFrame:
     if not ordered:
         return df
-    return df.repartitionByRange("ord").sortWithinPartitions("ord")
+    return in_order(df, "ord")
 
 
 def text_lines(texts: DataFrame) -> DataFrame:

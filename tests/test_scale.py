@@ -88,6 +88,16 @@ def test_sampled_buckets_split_a_hot_leading_key(spark):
     assert sizes.count() > 16 and sizes.agg(F.max("count")).first()[0] < 20000 // 8
 
 
+def test_in_order_gives_ordered_even_parts(spark):
+    df = spark.range(5000).select((F.col("id") * 37 % 5000).alias("ord"))
+    parts = ids.in_order(df, "ord", 6).select(F.spark_partition_id().alias("p"), "ord").groupBy("p").agg(
+        F.min("ord").alias("lo"), F.max("ord").alias("hi"), F.count("*").alias("n")
+    ).orderBy("p").collect()
+    assert sum(r.n for r in parts) == 5000 and len(parts) > 4
+    assert all(a.hi < b.lo for a, b in zip(parts, parts[1:]))
+    assert max(r.n for r in parts) < 2500
+
+
 def test_neighbours_cross_buckets(spark, monkeypatch):
     monkeypatch.setattr(ids, "integer_bucket", lambda key: F.floor(F.col(key) / 4).cast("bigint"))
     df = spark.range(0, 100, 3).select("id")
