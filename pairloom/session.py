@@ -52,10 +52,13 @@ def staged(df: DataFrame) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, deleted when the application ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
+    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # only a folder that exists can be marked for deletion
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return f"{folder}/data"
 
 
 def pin_file_splits(spark: SparkSession) -> None:
