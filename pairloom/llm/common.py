@@ -45,13 +45,13 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that ``column`` has about SLICE_BYTES in each."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that ``column`` has about ``most`` bytes in each."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         total, start = 0, 0
         for at, n in enumerate(lengths):
-            if total and total + n > SLICE_BYTES:
+            if total and total + n > most:
                 yield batch.slice(start, at - start)
                 total, start = 0, at
             total += int(n)

@@ -22,7 +22,9 @@ empty table gives no piece.  Columns besides the named ones are not looked at.
 
 from __future__ import annotations
 
+import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +37,15 @@ from pairloom.session import staged
 
 WINDOW = 2048
 #: Tokens of a unit; a power of two that divides the window.
-UNIT = 128
+UNIT = 256
 END = 1
 SEED = 42
 #: Ranges of serving times.
 _RANGES = 16384
-#: Words whose ids a worker keeps for the next batch (a cache, not a limit).
-_KEPT = 300_000
+#: Words whose ids a worker keeps for the next batch (a cache, not a limit): about 80 MB.
+_KEPT = 1_000_000
+#: Text bytes that are encoded at once.
+_SLICE = 8 << 20
 #: ASCII signs that the tokenizer always parts from letters (not the apostrophe).
 _SIGNS = '.,;:!?$%&*#|()"'
 
@@ -49,72 +53,71 @@ _SIGNS = '.,;:!?$%&*#|()"'
 class Encoder:
     """Token ids of texts by a tokenizer that drops white space and parts words there.
 
-    A batch's distinct words are encoded once.  Trailing signs are cut off
-    first when the word is letters and such signs only: the tokenizer parts
-    them as well, and fewer distinct words are left.
+    A batch's distinct words are encoded once, and kept for later batches.
+    Trailing signs are cut off first when the word is letters and such signs
+    only: the tokenizer parts them as well, and fewer distinct words are left.
     """
 
     def __init__(self, path: str, end: int):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end
-        self.known: dict[str, np.ndarray] = {}
-
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        missing = [w for w in words if w not in self.known]
-        if missing:
-            ids = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-            if len(self.known) + len(missing) > _KEPT:
-                self.known = {w: self.known[w] for w in words if w in self.known}
-            self.known.update((w, np.array(e.ids, np.uint32)) for w, e in zip(missing, ids))
-        return [self.known[w] for w in words]
-
-    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all distinct words in one array, and where each word's ids start."""
-        # in other cases than its own, the name of a special token is ordinary text
-        low = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words))
-        parts = pc.match_substring_regex(low, r"^\p{L}+[" + "".join("\\" + c for c in _SIGNS) + "]+$")
-        stem = pc.if_else(parts, pc.ascii_rtrim(low, characters=_SIGNS), low)
-        coded = pa.concat_arrays([stem, _tails(low, stem)]).dictionary_encode()
-        ids = self._encode(coded.dictionary.to_pylist())
-        sizes = np.array([len(i) for i in ids], np.int64)
-        flat = np.concatenate([*ids, np.zeros(0, np.uint32)])
-        starts = np.cumsum(sizes) - sizes
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        return _gathered(flat, starts, sizes, np.stack([code[: len(words)], code[len(words) :]], axis=1).ravel(), 2)
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.words = pa.array([], pa.string())
+        self.ids, self.bounds = np.zeros(0, self.kind), np.zeros(1, np.int64)
+
+    def _stored(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A store of ids, its bounds, and the place of each of ``words`` (distinct) in it."""
+        place = pc.index_in(words, self.words)
+        fresh = words.filter(pc.is_null(place))
+        found = self.tokenizer.encode_batch(fresh.to_pylist(), add_special_tokens=False)
+        lists = [e.ids for e in found]
+        more = np.fromiter(chain.from_iterable(lists), self.kind)
+        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists))) + self.bounds[-1]
+        ids, bounds = np.concatenate([self.ids, more]), np.concatenate([self.bounds, ends])
+        at = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[at < 0] = len(self.words) + np.arange(len(fresh))
+        if len(self.words) + len(fresh) <= _KEPT:
+            self.words, self.ids, self.bounds = pa.concat_arrays([self.words, fresh]), ids, bounds
+        return ids, bounds, at
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's end token included, and the bounds of each text."""
         words = Words(texts)
-        flat, bounds = self._distinct(pa.concat_arrays([words.distinct, pa.array([""])]))
-        flat = np.concatenate([flat, np.array([self.end], np.uint32)])
-        starts, sizes = bounds[:-1].copy(), np.diff(bounds)
-        starts[-1], sizes[-1] = len(flat) - 1, 1  # the last word stands for the end token
+        # in other cases than its own, the name of a special token is ordinary text
+        low = pc.if_else(pc.match_substring(words.distinct, "<|"), words.distinct, pc.ascii_lower(words.distinct))
+        parts = pc.match_substring_regex(low, r"^\p{L}+[" + "".join("\\" + c for c in _SIGNS) + "]+$")
+        stem = pc.if_else(parts, pc.ascii_rtrim(low, characters=_SIGNS), low)
+        tail = pc.if_else(parts, pc.replace_substring_regex(low, r"^\p{L}+", ""), "")
+        coded = pa.concat_arrays([stem, tail]).dictionary_encode()
+        ids, bounds, at = self._stored(coded.dictionary)
+        at = at[coded.indices.to_numpy(zero_copy_only=False)].reshape(2, -1)
+        # every word is a stem and a tail; every text has one more word, the end token
+        ids = np.append(ids, self.kind(self.end))
+        starts, sizes = np.append(bounds[:-1], len(ids) - 1), np.append(np.diff(bounds), 1)
         n = len(words.offsets) - 1
-        codes = np.insert(words.codes.astype(np.int64), words.offsets[1:], len(starts) - 1)
-        ids, at = _gathered(flat, starts, sizes, codes, 1)
-        return ids, at[words.offsets + np.arange(n + 1)]
-
-
-def _tails(whole: pa.Array, stem: pa.Array) -> pa.Array:
-    """What ``stem`` leaves of ``whole`` at its end."""
-    whole, stem = whole.cast(pa.binary()), stem.cast(pa.binary())
-    cut = [w[len(s) :] for w, s in zip(whole.to_pylist(), stem.to_pylist())]
-    return pa.array(cut, pa.binary()).cast(pa.string())
+        runs = np.full((len(words.codes) + n, 2), at[1, 0] if at.size else 0)
+        last = words.offsets[1:] + np.arange(n)
+        inner = np.ones(len(runs), bool)
+        inner[last] = False
+        runs[inner] = at.T[words.codes]
+        runs[last, 0] = len(starts) - 1
+        lengths = sizes[runs]
+        lengths[last, 1] = 0
+        runs, lengths = runs.ravel(), lengths.ravel()
+        ends = np.cumsum(lengths)
+        index = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[runs] - (ends - lengths), lengths)
+        return ids[index], np.append(0, ends[2 * last + 1]).astype(np.int64)
 
 
-def _gathered(flat, starts, sizes, codes, every: int) -> tuple[np.ndarray, np.ndarray]:
-    """The runs named by ``codes`` one after the other, and the bounds of every ``every`` runs."""
-    n = sizes[codes]
-    ends = np.cumsum(n)
-    total = int(ends[-1]) if len(ends) else 0
-    index = np.arange(total) + np.repeat(starts[codes] - (ends - n), n)
-    return flat[index], np.concatenate([[0], ends[every - 1 :: every]]).astype(np.int64)
+#: One encoder per tokenizer file and worker process, kept between tasks.
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
 def encoded(docs: DataFrame, path: str, keep: list[Column], text: str = "text", end: int = END) -> DataFrame:
-    """``keep`` columns, ``row_id``, ``ids`` (little-endian unsigned 32-bit) and ``doc_tokens``.
+    """``keep`` columns, ``row_id``, ``ids`` (little-endian unsigned, 16 bits where they suffice) and ``doc_tokens``.
 
     Written to the shared folder: ids are needed when the pieces are known.
     """
@@ -122,11 +125,11 @@ def encoded(docs: DataFrame, path: str, keep: list[Column], text: str = "text",
     kept = rows.columns[:-1]
 
     def run(batches):
-        encoder = Encoder(path, end)
-        for batch in slices(batches, "__text"):
+        encoder = _ENCODERS.get((path, end)) or _ENCODERS.setdefault((path, end), Encoder(path, end))
+        for batch in slices(batches, "__text", _SLICE):
             ids, bounds = encoder(batch.column("__text"))
             raw = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds * 4), pa.py_buffer(ids.astype("<u4"))]
+                pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds * ids.itemsize), pa.py_buffer(ids)]
             )
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), raw.cast(pa.binary()), pa.array(np.diff(bounds))],
@@ -255,11 +258,12 @@ def _cut(batch: pa.RecordBatch):
     fresh[1:] = (np.diff(doc) != 0) | (np.diff(field["sequence_id"]) != 0) | (field["offset"][1:] != end[:-1])
     first = np.flatnonzero(fresh)
     length = np.add.reduceat(field["length"], first)
+    tokens = batch.column("doc_tokens").to_pylist()
     crc, start = np.empty(len(first), np.int64), field["start"][first]
     for k, (d, a, n) in enumerate(zip(doc[first].tolist(), start.tolist(), length.tolist())):
         if k == 0 or d != doc[first[k - 1]]:
-            whole = memoryview(ids[d].as_buffer())
-        crc[k] = zlib.crc32(whole[4 * a : 4 * (a + n)])
+            whole = np.frombuffer(ids[d].as_buffer(), "<u2" if 2 * tokens[d] == len(ids[d].as_buffer()) else "<u4").astype("<u4")
+        crc[k] = zlib.crc32(whole[a : a + n])
     rows = pa.array(doc[first])
     yield pa.RecordBatch.from_arrays(
         [
