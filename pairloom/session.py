@@ -50,11 +50,33 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Folders in the shared folder that this process made and has not dropped.
+_folders: list[str] = []
+
+
+def scratch_folders() -> list[str]:
+    """The scratch folders there are, oldest first."""
+    return list(_folders)
+
+
+def drop_scratch(spark: SparkSession, folders: list[str]) -> None:
+    """Delete scratch folders that no frame in use reads any more."""
+    for folder in folders:
+        where, files = _place(spark, folder)
+        files.delete(where, True)
+        _folders.remove(folder)
+
+
+def _place(spark: SparkSession, folder: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, deleted when the application ends."""
     folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    where, files = _place(spark, folder)
+    _folders.append(folder)
     # only a folder that exists can be marked for deletion
     files.mkdirs(where)
     files.deleteOnExit(where)
