@@ -31,6 +31,9 @@ BITS = 20
 #: Groups (languages) a model may have; more are an error, as each widens the arrays.
 MAX_GROUPS = 256
 
+#: Words that are scored at once.
+_WORDS = 1 << 15
+
 _SIGN = 21  # bits of a sign: a code point, 0 before the word, 1 after it
 _ONE, _TWO = (1 << _SIGN) - 1, (1 << 2 * _SIGN) - 1
 # fixed primes and factors of the slot hash; products stay below 2 ** 62
@@ -52,8 +55,15 @@ def _runs(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text = "\x01".join(words.to_pylist()) + "\x01" if len(words) else ""
     signs = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
     at = np.arange(len(signs)) - np.repeat(np.cumsum(counts) - counts, counts)
-    back = [np.where(at >= d, np.concatenate([np.zeros(d, np.int64), signs[: len(signs) - d]]), 0) for d in range(ORDER)]
-    return (back[4] << _SIGN) | back[3], (back[2] << 2 * _SIGN) | (back[1] << _SIGN) | back[0], counts
+
+    def back(d: int) -> np.ndarray:
+        """The sign ``d`` places before, 0 before the word."""
+        moved = np.zeros_like(signs)
+        moved[d:] = signs[: max(len(signs) - d, 0)]
+        moved[at < d] = 0
+        return moved
+
+    return (back(4) << _SIGN) | back(3), (back(2) << 2 * _SIGN) | (back(1) << _SIGN) | signs, counts
 
 
 def _counted(words: Words, groups: list, tokens) -> Iterator[pa.RecordBatch]:
@@ -108,6 +118,10 @@ class CharModel:
 
     def score(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Per word: log probability in each group (word x group), and its number of signs."""
+        parts = [self._score(words.slice(at, _WORDS)) for at in range(0, max(len(words), 1), _WORDS)]
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+    def _score(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hi, lo, counts = _runs(words)
         out = np.zeros((len(lo), len(self.groups)), np.float32)
         left = np.arange(len(lo))

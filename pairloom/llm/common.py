@@ -45,6 +45,18 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def kept_with(docs: DataFrame, keep: list[Column], text: str) -> tuple[DataFrame, list[str], str]:
+    """``keep`` of ``docs`` and the text, the names kept, and the name of the text.
+
+    A text that is kept under its own name is not carried twice.
+    """
+    rows = docs.select(*keep)
+    kept = rows.columns
+    if text in kept:
+        return rows, kept, text
+    return docs.select(*keep, F.col(text).alias("__text")), kept, "__text"
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that ``column`` has about SLICE_BYTES in each."""
     for batch in batches:

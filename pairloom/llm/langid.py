@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.charlm import CharModel, fit, letters
-from pairloom.llm.common import Words, schema, slices
+from pairloom.llm.common import Words, kept_with, schema, slices
 from pairloom.session import staged
 
 UND = "und"
@@ -45,8 +45,7 @@ def predict(docs: DataFrame, model: CharModel | None, keep: list[Column], text:
     the power of the number of signs (SURE_AFTER at most), is compared over all
     languages.
     """
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    kept = [c for c in rows.columns if c != "__text"]
+    rows, kept, text = kept_with(docs, keep, text)
     if model is None:
         return rows.select(
             *kept, F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"),
@@ -55,9 +54,9 @@ def predict(docs: DataFrame, model: CharModel | None, keep: list[Column], text:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: 2 ** bits slots
 
     def judge(batches):
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, text):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + _judged(shared.value, batch.column("__text")), names=kept + _NAMES
+                [batch.column(c) for c in kept] + _judged(shared.value, batch.column(text)), names=kept + _NAMES
             )
 
     return rows.mapInArrow(judge, schema(rows, kept, _SCORED))

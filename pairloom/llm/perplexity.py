@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.charlm import CharModel, fit, plain
-from pairloom.llm.common import Words, schema, slices
+from pairloom.llm.common import Words, kept_with, schema, slices
 from pairloom.session import staged
 
 #: Characters that count as symbols (fixed values).
@@ -91,21 +91,19 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> CharModel
 
 def measure(docs: DataFrame, model: CharModel | None, keep: list[Column], text: str = "text", lang: str = "lang") -> DataFrame:
     """``keep`` columns with the statistics and ``cross_entropy`` (NULL without a word)."""
-    rows = docs.select(*keep, F.col(text).alias("__text"), F.coalesce(F.col(lang), F.lit("")).alias("__lang"))
-    kept = rows.columns[:-2]
+    rows, kept, text = kept_with(docs, [*keep, F.coalesce(F.col(lang), F.lit("")).alias("__lang")], text)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: 2 ** bits slots
 
     def run(batches):
-        for batch in slices(batches, "__text"):
-            texts, words = batch.column("__text"), Words(batch.column("__text"))
+        for batch in slices(batches, text):
+            texts, words = batch.column(text), Words(batch.column(text))
             stats = _stats(texts, words)
             cross = _cross_entropy(shared.value, words, batch.column("__lang"))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in [*kept, "__lang"]), *map(pa.array, stats), cross],
-                names=[*kept, "__lang", *_NAMES],
+                [*(batch.column(c) for c in kept), *map(pa.array, stats), cross], names=[*kept, *_NAMES]
             )
 
-    return rows.mapInArrow(run, schema(rows, [*kept, "__lang"], f"{_STATS}, cross_entropy double"))
+    return rows.mapInArrow(run, schema(rows, kept, f"{_STATS}, cross_entropy double"))
 
 
 def _cross_entropy(model: CharModel | None, words: Words, langs: pa.Array) -> pa.Array:
