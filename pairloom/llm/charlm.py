@@ -22,8 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Words, slices
-from pairloom.session import staged
+from pairloom.llm.common import Words, slices, staged_batches
 
 ORDER = 5
 #: Slots of a model are at most 2 ** BITS: about 30 MB for four groups.
@@ -69,25 +68,31 @@ def _runs(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _counted(words: Words, groups: list, tokens) -> Iterator[pa.RecordBatch]:
     """Counts of five-sign runs of a batch, per group of its texts."""
     distinct = tokens(words.distinct)
-    hi, lo, counts = _runs(distinct)
-    mixed = hi.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ lo.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    _, first, same = np.unique(mixed, return_index=True, return_inverse=True)
-    text_group, names = pa.array(groups, pa.string()).dictionary_encode(), []
+    text_group = pa.array(groups, pa.string()).dictionary_encode()
     names = text_group.dictionary.to_pylist()
     of_word = np.repeat(text_group.indices.to_numpy(zero_copy_only=False), np.diff(words.offsets))
-    for g, name in enumerate(names):
-        per_word = np.bincount(words.codes[of_word == g], minlength=len(distinct))
-        per_word[counts == 1] = 0  # nothing but the end sign
-        total = np.bincount(same, weights=np.repeat(per_word, counts), minlength=len(first))
+    per_word = [np.bincount(words.codes[of_word == g], minlength=len(distinct)) for g in range(len(names))]
+    blocks = []
+    for at in range(0, len(distinct), _WORDS):
+        hi, lo, counts = _runs(distinct.slice(at, _WORDS))
+        empty = counts == 1  # nothing but the end sign
+        times = [np.repeat(np.where(empty, 0, n[at : at + _WORDS]), counts) for n in per_word]
+        blocks.append(_summed(hi, lo, times))
+    if not blocks:
+        return
+    hi, lo, *totals = (np.concatenate(c) for c in zip(*blocks))
+    hi, lo, *totals = _summed(hi, lo, totals)
+    for name, total in zip(names, totals):
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "grp": pa.array([name] * len(seen), pa.string()),
-                "hi": hi[first[seen]],
-                "lo": lo[first[seen]],
-                "c": total[seen].astype(np.int64),
-            }
-        )
+        columns = [pa.array([name] * len(seen), pa.string()), hi[seen], lo[seen], total[seen]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["grp", "hi", "lo", "c"])
+
+
+def _summed(hi: np.ndarray, lo: np.ndarray, times: list[np.ndarray]) -> list[np.ndarray]:
+    """Each different run once, with the sums of its counts."""
+    mixed = hi.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ lo.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    _, first, same = np.unique(mixed, return_index=True, return_inverse=True)
+    return [hi[first], lo[first], *(np.bincount(same, weights=n, minlength=len(first)).astype(np.int64) for n in times)]
 
 
 def plain(words: pa.Array) -> pa.Array:
@@ -174,7 +179,7 @@ def fit(texts: DataFrame, tokens, modified: bool, bits: int = BITS) -> CharModel
     Every text counts.  Only slot rows come to the driver, ``2 ** bits`` per
     group at most.
     """
-    full = staged(count_runs(texts, tokens))
+    full = staged_batches(count_runs(texts, tokens))
     parts, hi, lo = [full.select("grp", F.lit(5).alias("n"), "hi", "lo", "c")], F.col("hi"), F.col("lo")
     level = full
     for n in (4, 3, 2, 1):

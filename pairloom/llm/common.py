@@ -32,6 +32,17 @@ def with_row_ids(docs: DataFrame, name: str = "row_id") -> DataFrame:
     return staged(docs.withColumn(name, F.monotonically_increasing_id()))
 
 
+def staged_batches(df: DataFrame) -> DataFrame:
+    """``staged``, while rows go to Python in batches of SLICE_BYTES, however long they are."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(SLICE_BYTES))
+    try:
+        return staged(df)
+    finally:
+        conf.set(key, before)
+
+
 def schema(df: DataFrame, columns: list[str], more: str) -> StructType:
     """Named columns of ``df``, then the fields of the DDL string ``more``."""
     return StructType([df.schema[c] for c in columns] + StructType.fromDDL(more).fields)

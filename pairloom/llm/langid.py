@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.charlm import CharModel, fit, letters
-from pairloom.llm.common import Words, kept_with, schema, slices
-from pairloom.session import staged
+from pairloom.llm.common import Words, kept_with, schema, slices, staged_batches
 
 UND = "und"
 #: A text is rejected this many nats per sign above the training texts' 99th percentile.
@@ -94,7 +93,7 @@ def identify(docs: DataFrame, trains: Column, keep: list[Column], text: str = "t
     trains = F.coalesce(trains, F.lit(False))
     model = train(docs.where(trains), text, lang)
     fits = (trains & F.col(lang).isNotNull()).alias("__trains")
-    judged = staged(predict(docs, model, [*keep, fits], text))
+    judged = staged_batches(predict(docs, model, [*keep, fits], text))
     limits = judged.where("__trains AND cross_entropy IS NOT NULL").groupBy("lang_pred").agg(
         (F.percentile_approx("cross_entropy", 0.99, 1000) + MARGIN).alias("__limit")
     )

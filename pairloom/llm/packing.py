@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Words, hash_key, numbered, running_total, schema, slices
+from pairloom.llm.common import Words, hash_key, numbered, running_total, schema, slices, staged_batches
 from pairloom.session import staged
 
 WINDOW = 2048
@@ -134,7 +134,7 @@ def encoded(docs: DataFrame, path: str, keep: list[Column], text: str = "text",
                 names=[*kept, "ids", "doc_tokens"],
             )
 
-    return staged(rows.mapInArrow(run, schema(rows, kept, "ids binary, doc_tokens long")))
+    return staged_batches(rows.mapInArrow(run, schema(rows, kept, "ids binary, doc_tokens long")))
 
 
 def layout(rows: DataFrame, shares: dict[str | None, float] | None = None, window: int = WINDOW, seed: int = SEED) -> DataFrame:

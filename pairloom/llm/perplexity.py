@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.charlm import CharModel, fit, plain
-from pairloom.llm.common import Words, kept_with, schema, slices
-from pairloom.session import staged
+from pairloom.llm.common import Words, kept_with, schema, slices, staged_batches
 
 #: Characters that count as symbols (fixed values).
 SYMBOLS = b"#*$%&|<>"
@@ -134,7 +133,7 @@ def bands(measured: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame, keep: list[Column], text: str = "text", lang: str = "lang") -> DataFrame:
     """``keep`` columns, the statistics, ``perplexity``, ``base_failed`` and ``kept``."""
-    measured = staged(measure(docs, train(docs, text, lang), keep, text, lang).withColumn("base_failed", base_failed()))
+    measured = staged_batches(measure(docs, train(docs, text, lang), keep, text, lang).withColumn("base_failed", base_failed()))
     # a row per language, MAX_GROUPS at most
     banded = measured.join(F.broadcast(bands(measured)), "__lang", "left")
     inside = F.coalesce(F.col("cross_entropy").between(F.col("lower"), F.col("upper")), F.lit(False))

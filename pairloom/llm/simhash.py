@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import schema, slices
+from pairloom.llm.common import schema, slices, staged_batches
 from pairloom.llm.graphs import components
 from pairloom.session import staged
 
@@ -199,7 +199,7 @@ def forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def near_duplicates(docs: DataFrame, keep: list[Column], member: str, text: str = "text") -> DataFrame:
     """``keep`` columns (``member`` among them), ``fp``, and ``least``: the smallest ``member`` of the component."""
-    marked = staged(fingerprints(docs, keep, text))
+    marked = staged_batches(fingerprints(docs, keep, text))
     nodes = staged(marked.groupBy("fp").agg(F.min(member).alias("least")))
     roots = components(links(nodes.select("fp")))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
