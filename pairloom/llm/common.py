@@ -16,7 +16,7 @@ from pairloom.session import staged
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes that a task works on at once; a longer document is a slice alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def word_count(text: Column) -> Column:

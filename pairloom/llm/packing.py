@@ -42,8 +42,8 @@ END = 1
 SEED = 42
 #: Ranges of serving times.
 _RANGES = 16384
-#: Words whose ids a worker keeps for the next batch (a cache, not a limit): about 80 MB.
-_KEPT = 1_000_000
+#: Words whose ids a worker keeps for the next batch (a cache, not a limit): about 40 MB.
+_KEPT = 500_000
 #: ASCII signs that the tokenizer always parts from letters (not the apostrophe).
 _SIGNS = '.,;:!?$%&*#|()"'
 
