@@ -47,7 +47,7 @@ def parts(url: Column) -> tuple[Column, Column]:
 
 def given_rule(host: Column, path: Column, rules=GIVEN) -> Column:
     """Struct (rule, verdict) of the longest given rule that fits, or NULL."""
-    found = F.lit(None)
+    found = F.lit(None).cast("struct<rule:string,verdict:string>")
     for rule_host, rule_path, verdict in sorted(rules, key=lambda r: len(r[0] + r[1])):
         fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
         found = F.when(fits, F.struct(F.lit(rule_host + rule_path).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
