@@ -27,8 +27,12 @@ def split_rank(splits: Sequence[str] = SPLITS) -> Column:
 
 
 def ranked_bucket(rank: str, key: str) -> Column:
-    """Ordered, bounded bucket for the pair (small rank, unique integer)."""
-    return F.shiftleft(F.col(rank), 46) + F.floor(F.col(key) / F.lit(BUCKET_ROWS)).cast("bigint")
+    """Ordered, bounded bucket for the pair (rank, unique integer); both below 2 ** 31 buckets."""
+    bucket = F.floor(F.col(key) / F.lit(BUCKET_ROWS)).cast("bigint")
+    large = (F.col(rank) >= 1 << 31) | (bucket >= 1 << 31)
+    return F.when(large, F.raise_error(F.lit("Rank or key is too large to be numbered."))).otherwise(
+        F.shiftleft(F.col(rank).cast("bigint"), 31) + bucket
+    )
 
 
 # --- annotation exports ----------------------------------------------------
@@ -252,9 +256,12 @@ def attach_payload(images: DataFrame, files: DataFrame) -> DataFrame:
     """Read the bytes of ``path, content`` rows into ``image_b64``.
 
     All id work runs without the payload; this join is the one place it moves.
+    A listed image whose file is gone is an error.
     """
-    return images.join(files.select("path", "content"), "path").select(
-        "split", "ord", "image_id", encode_image(F.col("content")).alias("image_b64")
+    gone = F.raise_error(F.concat(F.lit("No file for a listed image: "), F.col("path")))
+    content = F.coalesce(F.col("content"), gone.cast("binary"))
+    return images.join(files.select("path", "content"), "path", "left").select(
+        "split", "ord", "image_id", encode_image(content).alias("image_b64")
     )
 
 

@@ -17,11 +17,11 @@ def short_texts(texts: DataFrame, max_len: int = 120) -> DataFrame:
 
 
 def links(texts: DataFrame) -> DataFrame:
-    """One row per caption-image reference, in array order."""
+    """One row per caption-image reference, in array order; a NULL reference is one too."""
     # the outer form keeps Spark from copying the array expression into a filter
     return (
         texts.select("split", "ord", "text_id", F.posexplode_outer("image_ids").alias("pos", "image_id"))
-        .where(F.col("image_id").isNotNull())
+        .where(F.col("pos").isNotNull())
     )
 
 

@@ -124,11 +124,15 @@ def dense_id(
     )
     inside = Window.partitionBy(*within, "__bucket").orderBy(*order)
     start = start if isinstance(start, Column) else F.lit(start)
+    # NULL is a value of its own here: no row may go
+    keys = [*within, "__bucket"]
+    offsets = offsets.select("__offset", *[F.col(c).alias(f"__key{i}") for i, c in enumerate(keys)])
+    same = [F.col(c).eqNullSafe(F.col(f"__key{i}")) for i, c in enumerate(keys)]
     return (
-        keyed.join(offsets, [*within, "__bucket"])
+        keyed.join(offsets, same)
         .withColumn("__row", F.row_number().over(inside))
         .withColumn(name, (F.col("__offset") + F.col("__row") - 1 + start).cast("bigint"))
-        .drop("__bucket", "__offset", "__row")
+        .drop("__bucket", "__offset", "__row", *[f"__key{i}" for i in range(len(keys))])
     )
 
 

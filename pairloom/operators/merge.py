@@ -103,7 +103,7 @@ def merge_datasets(
             "ord": F.coalesce("first_ord", F.lit(0)) + F.col("place"),
         }
     )
-    texts = _stack(base_texts, new_texts, ["split", "ord", "text_id", "text", "image_ids", "source_text_id"])
+    texts = _stack(base_texts, new_texts, _every(base_texts, added_texts))
 
     image_ends = base_images.groupBy("split").agg((F.max("ord") + 1).alias("first_ord"))
     moved = added_images.drop("image_id").join(
@@ -112,10 +112,15 @@ def merge_datasets(
     moved = moved.join(F.broadcast(image_ends), "split", "left").withColumn(
         "ord", F.coalesce("first_ord", F.lit(0)) + F.col("ord")
     )
-    images = _stack(base_images, moved, base_images.columns)
+    images = _stack(base_images, moved, _every(base_images, added_images))
     return texts, images
 
 
+def _every(base: DataFrame, added: DataFrame) -> list[str]:
+    """The columns of either side, unknown ones too."""
+    return list(dict.fromkeys([*base.columns, *added.columns]))
+
+
 def _stack(base: DataFrame, added: DataFrame, columns: Sequence[str]) -> DataFrame:
     have = [c for c in columns if c in base.columns]
     return (

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _DIGITS = 3
-_SMALL = 4096
+#: Rows that are few enough to be ranked instead of counted once more.
+_FEW = 4096
 
 
 def key_digest(key: Column, seed: int) -> Column:
@@ -29,7 +30,7 @@ def valid_rows(total: int, ratio: float) -> int:
 
 def _cutoff(keys: DataFrame, digest: Column, ratio: float) -> str | None:
     """Largest digest that still belongs to the validation part."""
-    prefix, wanted = "", None
+    prefix, wanted, size = "", None, 0
     while True:
         inside = keys.select(digest.alias("digest")).where(F.col("digest").startswith(prefix))
         width = len(prefix) + _DIGITS
@@ -44,15 +45,16 @@ def _cutoff(keys: DataFrame, digest: Column, ratio: float) -> str | None:
             wanted = valid_rows(sum(rows for _, rows in bars), ratio)
             if wanted == 0:
                 return None
+            size = wanted
         for head, rows in bars:
             if wanted <= rows:
                 break
             wanted -= rows
         prefix = head
-        if rows <= _SMALL:
+        if rows <= _FEW:
             break
         if width >= 32:
-            raise ValueError("split keys must be unique")
+            raise ValueError("Keys repeat at the cut of the split.")
     last = (
         keys.select(digest.alias("digest"))
         .where(F.col("digest").startswith(prefix))
@@ -60,7 +62,11 @@ def _cutoff(keys: DataFrame, digest: Column, ratio: float) -> str | None:
         .limit(wanted)
         .agg(F.max("digest"))
     )
-    return last.first()[0]
+    cut = last.first()[0]
+    # equal keys would go to one side together, at whatever number of them
+    if keys.where(digest <= cut).count() != size:
+        raise ValueError("Keys repeat at the cut of the split.")
+    return cut
 
 
 def exact_split(

@@ -20,11 +20,12 @@ def present_splits(spark: SparkSession, folder: str, splits=SPLITS) -> list[str]
 
 
 def read_dataset(
-    spark: SparkSession, folder: str, splits=SPLITS, required: tuple[str, ...] = ()
+    spark: SparkSession, folder: str, splits=SPLITS, required: tuple[str, ...] = (), *, extras: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Captions and images of all splits that exist.
 
-    A split named in ``required`` must exist; at least one must.
+    A split named in ``required`` must exist; at least one must.  ``extras``
+    keeps the unknown keys of caption rows.
     """
     have = present_splits(spark, folder, splits)
     for split in required:
@@ -35,6 +36,7 @@ def read_dataset(
         raise FileNotFoundError(f"No train/valid files found in {folder}")
     texts, images = empty_texts(spark), empty_images(spark)
     for split in have:
-        texts = texts.unionByName(read_texts(spark, texts_path(folder, split), split))
+        rows = read_texts(spark, texts_path(folder, split), split, extras=extras)
+        texts = texts.unionByName(rows, allowMissingColumns=True)
         images = images.unionByName(read_images(spark, images_path(folder, split), split))
     return texts, images

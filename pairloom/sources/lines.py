@@ -12,17 +12,6 @@ from pyspark.sql import functions as F
 
 from pairloom.session import pin_file_splits
 
-_BROADCAST_BLOCKS = 200_000
-
-
-def _block_bound(spark: SparkSession, raw: DataFrame) -> int:
-    """Upper bound for the number of blocks of a scan."""
-    files = len(raw.inputFiles())
-    size = int(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    parts = int(spark.conf.get("spark.sql.files.minPartitionNum"))
-    return files + size // most + 2 * parts
-
 
 def numbered_lines(
     spark: SparkSession, paths: str | list[str], keep: Column | None = None
@@ -41,14 +30,15 @@ def numbered_lines(
     counts = lines.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("lines"), F.min("row").alias("first")
     )
-    earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    # a folder's part files by task number: names pad it to five digits only
+    folder = F.regexp_extract("file", "^(.*/)", 1)
+    task = F.regexp_extract("file", r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
+    earlier = Window.orderBy(folder, task, "file", "block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "file",
         "block",
         (F.coalesce(F.sum("lines").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
     )
-    if _block_bound(spark, raw) <= _BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
     return lines.join(offsets, ["file", "block"]).select(
         "value", "file", (F.col("row") + F.col("shift")).alias("ord")
     )

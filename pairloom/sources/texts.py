@@ -30,6 +30,12 @@ def _checked(value: Column) -> Column:
     return F.when(F.col(f"row.{_BAD}").isNull(), value).otherwise(F.raise_error(message))
 
 
+def _present(value: Column, what: str) -> Column:
+    """``value``; NULL is an error that names file and line."""
+    place = F.concat("file", F.lit(", record "), (F.col("ord") + 1).cast("string"))
+    return F.coalesce(value, F.raise_error(F.concat(F.lit(f"No {what} in "), place)).cast("string"))
+
+
 def read_texts(
     spark: SparkSession, path: str | list[str], split: str, *, extras: bool = False
 ) -> DataFrame:
@@ -41,9 +47,12 @@ def read_texts(
     columns = [
         F.lit(split).alias("split"),
         "ord",
-        _checked(F.col("row.text_id")).cast("bigint").alias("text_id"),
+        _checked(_present(F.col("row.text_id"), "text_id")).cast("bigint").alias("text_id"),
         F.coalesce("row.text", F.lit("")).alias("text"),
-        F.coalesce(F.col("row.image_ids").cast("array<bigint>"), F.expr("cast(array() as array<bigint>)")).alias("image_ids"),
+        F.coalesce(
+            F.transform("row.image_ids", lambda x: _present(x, "element of image_ids").cast("bigint")),
+            F.expr("cast(array() as array<bigint>)"),
+        ).alias("image_ids"),
         F.col("row.source_text_id").cast("bigint").alias("source_text_id"),
     ]
     if extras:
@@ -63,8 +72,9 @@ def read_refs(spark: SparkSession, path: str | list[str], split: str) -> DataFra
     """Every referenced image id, repeats included."""
     return (
         read_texts(spark, path, split)
-        .select("split", F.explode_outer("image_ids").alias("image_id"))
-        .where(F.col("image_id").isNotNull())
+        .select("split", F.posexplode_outer("image_ids").alias("pos", "image_id"))
+        .where(F.col("pos").isNotNull())
+        .select("split", "image_id")
     )
 
 
@@ -77,7 +87,7 @@ def read_edits(spark: SparkSession, path: str | list[str], default_split: str) -
     has = lambda key: F.array_contains(F.json_object_keys("value"), key)
     return parsed.select(
         F.when(has("split"), F.col("row.split")).otherwise(F.lit(default_split)).alias("split"),
-        _checked(F.col("row.text_id")).cast("bigint").alias("text_id"),
+        _checked(_present(F.col("row.text_id"), "text_id")).cast("bigint").alias("text_id"),
         F.when(has("clean_text"), F.col("row.clean_text"))
         .otherwise(F.coalesce("row.text", F.lit("")))
         .alias("clean_text"),
