@@ -32,11 +32,11 @@ def with_row_ids(docs: DataFrame, name: str = "row_id") -> DataFrame:
     return staged(docs.withColumn(name, F.monotonically_increasing_id()))
 
 
-def staged_batches(df: DataFrame) -> DataFrame:
-    """``staged``, while rows go to Python in batches of SLICE_BYTES, however long they are."""
+def staged_batches(df: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
+    """``staged``, while rows go to Python in batches of ``most`` bytes, however long they are."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     before = conf.get(key)
-    conf.set(key, str(SLICE_BYTES))
+    conf.set(key, str(most))
     try:
         return staged(df)
     finally:
@@ -68,13 +68,13 @@ def kept_with(docs: DataFrame, keep: list[Column], text: str) -> tuple[DataFrame
     return docs.select(*keep, F.col(text).alias("__text")), kept, "__text"
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that ``column`` has about SLICE_BYTES in each."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that ``column`` has about ``most`` bytes in each."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         total, start = 0, 0
         for at, n in enumerate(lengths):
-            if total and total + n > SLICE_BYTES:
+            if total and total + n > most:
                 yield batch.slice(start, at - start)
                 total, start = 0, at
             total += int(n)

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Words, hash_key, numbered, running_total, schema, slices, staged_batches
+from pairloom.llm.common import SLICE_BYTES, Words, hash_key, numbered, running_total, schema, slices, staged_batches
 from pairloom.session import staged
 
 WINDOW = 2048
@@ -42,8 +42,10 @@ END = 1
 SEED = 42
 #: Ranges of serving times.
 _RANGES = 16384
-#: Words whose ids a worker keeps for the next batch (a cache, not a limit): about 40 MB.
-_KEPT = 500_000
+#: Text bytes that are encoded at once: twice as many share more words.
+_SLICE = 2 * SLICE_BYTES
+#: Words whose ids a worker keeps for the next batch (a cache, not a limit): about 80 MB.
+_KEPT = 1_000_000
 #: ASCII signs that the tokenizer always parts from letters (not the apostrophe).
 _SIGNS = '.,;:!?$%&*#|()"'
 
@@ -124,7 +126,7 @@ def encoded(docs: DataFrame, path: str, keep: list[Column], text: str = "text",
 
     def run(batches):
         encoder = _ENCODERS.get((path, end)) or _ENCODERS.setdefault((path, end), Encoder(path, end))
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, "__text", _SLICE):
             ids, bounds = encoder(batch.column("__text"))
             raw = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds * ids.itemsize), pa.py_buffer(ids)]
@@ -134,7 +136,7 @@ def encoded(docs: DataFrame, path: str, keep: list[Column], text: str = "text",
                 names=[*kept, "ids", "doc_tokens"],
             )
 
-    return staged_batches(rows.mapInArrow(run, schema(rows, kept, "ids binary, doc_tokens long")))
+    return staged_batches(rows.mapInArrow(run, schema(rows, kept, "ids binary, doc_tokens long")), _SLICE)
 
 
 def layout(rows: DataFrame, shares: dict[str | None, float] | None = None, window: int = WINDOW, seed: int = SEED) -> DataFrame:
