@@ -80,7 +80,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             total += int(n)
         if start < batch.num_rows:
             yield batch.slice(start)
-        pa.default_memory_pool().release_unused()  # a worker lives on between tasks
 
 
 class Words:
