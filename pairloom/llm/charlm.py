@@ -7,8 +7,9 @@ all texts, and the shorter ones by the number of different signs before them
 arrays with a row per slot: for each group the interpolated log probability of
 the run's last sign and the log weight left for shorter runs.
 
-Runs fall into ``2 ** bits`` slots by a hash, so the arrays have a bound that
-does not depend on the texts; runs that share a slot share their counts.
+Runs fall into ``2 ** bits`` slots by a hash; runs that share a slot share their
+counts.  Only slots that occur have a row, so a model grows with the different
+runs of the texts; ``slot_bits`` bounds what it can grow to.
 """
 
 from __future__ import annotations
@@ -25,8 +26,11 @@ from pyspark.sql import functions as F
 from pairloom.llm.common import Words, slices, staged_batches
 
 ORDER = 5
-#: Slots of a model are at most 2 ** BITS: about 30 MB for four groups.
-BITS = 20
+#: Pairs of slot and group that a model has at most, as a power of two.  A pair takes
+#: 23 bytes on its way to the driver (770 MB, below Spark's own limit) and 8 in a task.
+PAIR_BITS = 25
+#: Bits of a slot at most.
+MAX_BITS = 23
 #: Groups (languages) a model may have; more are an error, as each widens the arrays.
 MAX_GROUPS = 256
 
@@ -39,6 +43,11 @@ _ONE, _TWO = (1 << _SIGN) - 1, (1 << 2 * _SIGN) - 1
 _P, _Q, _A, _B, _C = 2147483647, 2147483629, 1103515245, 715827883, 40503
 
 
+def slot_bits(groups: int) -> int:
+    """Bits of the slots of a model of so many groups, whatever the size of the texts."""
+    return min(PAIR_BITS - (groups - 1).bit_length(), MAX_BITS)
+
+
 def _slot(n, hi, lo, bits: int):
     """The slot of a run: integers, numpy arrays or columns."""
     return (((hi % _P) * _A + (lo % _P) * _B + n * _C) % _Q) % (1 << bits)
@@ -174,13 +183,19 @@ def count_runs(texts: DataFrame, tokens) -> DataFrame:
     return runs.groupBy("grp", "hi", "lo").agg(F.sum("c").alias("c"))
 
 
-def fit(texts: DataFrame, tokens, modified: bool, bits: int = BITS) -> CharModel | None:
+def fit(texts: DataFrame, tokens, modified: bool, bits: int | None = None) -> CharModel | None:
     """A model of ``texts`` (grp string not NULL, text string); None if they hold no word.
 
     Every text counts.  Only slot rows come to the driver, ``2 ** bits`` per
-    group at most.
+    group at most (``slot_bits`` if not given).
     """
     full = staged_batches(count_runs(texts, tokens))
+    groups = sorted(r.grp for r in full.select("grp").distinct().limit(MAX_GROUPS + 1).collect())
+    if len(groups) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups of texts")
+    if not groups:
+        return None
+    bits = bits or slot_bits(len(groups))
     parts, hi, lo = [full.select("grp", F.lit(5).alias("n"), "hi", "lo", "c")], F.col("hi"), F.col("lo")
     level = full
     for n in (4, 3, 2, 1):
@@ -196,20 +211,21 @@ def fit(texts: DataFrame, tokens, modified: bool, bits: int = BITS) -> CharModel
     suffix = [_columns(k, hi, lo) for k in (1, 2, 3, 4)]
     short_hi = F.when(n == 5, suffix[3][0]).otherwise(F.lit(0).cast("long"))
     short_lo = F.when(n == 5, lo).when(n == 4, suffix[2][1]).when(n == 3, suffix[1][1]).otherwise(suffix[0][1])
+    number = F.array_position(F.array(*map(F.lit, groups)), F.col("grp")) - 1
     rows = (
         runs.select(
-            "grp",
-            "n",
-            _slot(n, hi, lo, bits).alias("slot"),
-            _slot(n - 1, before_hi, before_lo, bits).alias("before"),
-            _slot(n - 1, short_hi, short_lo, bits).alias("short"),
+            number.cast("short").alias("grp"),
+            F.col("n").cast("byte").alias("n"),
+            _slot(n, hi, lo, bits).cast("int").alias("slot"),
+            _slot(n - 1, before_hi, before_lo, bits).cast("int").alias("before"),
+            _slot(n - 1, short_hi, short_lo, bits).cast("int").alias("short"),
             "c",
         )
         .groupBy("grp", "slot")
         .agg(F.min("n").alias("n"), F.sum("c").alias("c"), F.min("before").alias("before"), F.min("short").alias("short"))
         .toArrow()
     )
-    return _arrays(rows, modified, bits) if rows.num_rows else None
+    return _arrays(rows, groups, modified, bits)
 
 
 def _columns(n: int, hi: Column, lo: Column) -> tuple[Column, Column]:
@@ -219,22 +235,16 @@ def _columns(n: int, hi: Column, lo: Column) -> tuple[Column, Column]:
     return F.lit(0).cast("long"), lo.bitwiseAND(keep)
 
 
-def _arrays(rows: pa.Table, modified: bool, bits: int) -> CharModel:
-    col = {c: rows.column(c).to_numpy() for c in ("n", "c", "slot", "before", "short")}
-    groups = sorted(set(rows.column("grp").to_pylist()))
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"{len(groups)} groups of texts; a model takes {MAX_GROUPS} at most")
-    number = {g: i for i, g in enumerate(groups)}
-    coded = rows.column("grp").combine_chunks().dictionary_encode()
-    group = np.array([number[g] for g in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
+def _arrays(rows: pa.Table, groups: list[str], modified: bool, bits: int) -> CharModel:
+    col = {c: rows.column(c).to_numpy() for c in ("grp", "n", "c", "slot", "before", "short")}
     slots, row = np.unique(col["slot"], return_inverse=True)
     size, wide = len(slots), len(groups)
+    slots = slots.astype(np.int64)
     order, before, short = np.full(size, 9), np.full(size, 1 << 62), np.full(size, 1 << 62)
     for target, name in ((order, "n"), (before, "before"), (short, "short")):
         np.minimum.at(target, row, col[name])
     count = np.zeros((size, wide))
-    count[row, group] = col["c"]
-    log_p, log_rest = np.zeros((size, wide), np.float32), np.zeros((size, wide), np.float32)
+    count[row, col["grp"]] = col["c"]
     p, rest = np.zeros((size, wide)), np.ones((size, wide))
     signs = max(int((order == 1).sum()), 1) + 1
     before_row = np.minimum(np.searchsorted(slots, before), size - 1)
@@ -254,15 +264,12 @@ def _arrays(rows: pa.Table, modified: bool, bits: int) -> CharModel:
             unseen = np.maximum(spare, 1e-6) / signs
             p[mine] = (c - taken) / total + unseen
             continue
-        ctx = before_row[mine]
-        total, spare = np.zeros((size, wide)), np.zeros((size, wide))
-        np.add.at(total, ctx, c)
-        np.add.at(spare, ctx, taken)
-        known = np.unique(ctx)
-        rest[known] = np.where(total[known] > 0, np.maximum(spare[known], 1e-6) / np.maximum(total[known], 1), 1.0)
+        known, ctx = np.unique(before_row[mine], return_inverse=True)
+        total, spare = (np.stack([np.bincount(ctx, x[:, g]) for g in range(wide)], axis=1) for x in (c, taken))
+        rest[known] = np.where(total > 0, np.maximum(spare, 1e-6) / np.maximum(total, 1), 1.0)
         own = np.where(total[ctx] > 0, (c - taken) / np.maximum(total[ctx], 1), 0.0)
-        p[mine] = np.minimum(own + rest[ctx] * np.maximum(p[short_row[mine]], 1e-9), 1.0)
-    log_p[:], log_rest[:] = np.log(np.maximum(p, 1e-12)), np.log(np.minimum(rest, 1.0))
+        p[mine] = np.minimum(own + rest[known][ctx] * np.maximum(p[short_row[mine]], 1e-9), 1.0)
+    log_p, log_rest = (np.log(x).astype(np.float32) for x in (np.maximum(p, 1e-12), np.minimum(rest, 1.0)))
     return CharModel(groups, slots, log_p, log_rest, np.log(unseen).astype(np.float32), bits)
 
 
