@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.images import content_hash
+from pairloom.functions.images import content_hash, encode_image, is_image_path, parse_data_url
 from pairloom.functions.text import or_empty, strip
 from pairloom.operators.filtering import links
 from pairloom.operators.ids import dense_id, integer_bucket, next_image_id, next_text_id
@@ -17,9 +17,11 @@ KEY = ["text", "contents", "files"]
 def _existing(train_texts: DataFrame, train_images: DataFrame, wanted: DataFrame) -> DataFrame:
     """First train row of every (text, set of contents, number of images)."""
     stripped = train_texts.withColumn("text", strip(or_empty(F.col("text"))))
-    # only captions the batch asks for are worth looking at
+    # only captions the batch asks for, and the images they cite, are worth looking at
     asked = stripped.join(wanted.select("text").distinct(), "text", "left_semi")
-    hashes = train_images.groupBy("image_id").agg(
+    asked = staged(asked.select("split", "ord", "text_id", "text", "image_ids"))
+    cited = train_images.join(links(asked).select("image_id").distinct(), "image_id", "left_semi")
+    hashes = cited.groupBy("image_id").agg(
         F.max_by(content_hash(F.col("image_b64")), "ord").alias("content")
     )
     sets = (
@@ -41,6 +43,29 @@ def _existing(train_texts: DataFrame, train_images: DataFrame, wanted: DataFrame
     )
 
 
+def from_uploads(batch: DataFrame) -> DataFrame:
+    """``batch`` whose ``images`` are (name, data URL) structs, with bare base64 instead."""
+    return batch.withColumn("images", F.transform("images", lambda x: parse_data_url(x["src"])))
+
+
+def from_files(batch: DataFrame, files: DataFrame) -> DataFrame:
+    """``batch_ord, text, images`` from ``batch_ord, text, paths`` and the listing ``path, content``.
+
+    A path without a file, or of an unsupported kind, is an error.
+    """
+    wrong = F.raise_error(F.concat(F.lit("No image file of a supported kind: "), F.col("path")))
+    content = F.when(is_image_path(F.col("path")), F.col("content"))
+    asked = batch.select("batch_ord", F.posexplode_outer("paths").alias("pos", "path")).where(F.col("pos").isNotNull())
+    read = asked.join(files.select("path", "content"), "path", "left").select(
+        "batch_ord", "pos", F.coalesce(encode_image(content), wrong.cast("string")).alias("image")
+    )
+    # a batch row holds its images, whatever way they come in
+    lists = read.groupBy("batch_ord").agg(F.array_sort(F.collect_list(F.struct("pos", "image"))).alias("read"))
+    return batch.join(lists, "batch_ord", "left").select(
+        "batch_ord", "text", F.transform("read", lambda x: x["image"]).alias("images")
+    )
+
+
 def append_annotations(
     texts: DataFrame, images: DataFrame, batch: DataFrame, split: str = "train"
 ) -> DataFrame:

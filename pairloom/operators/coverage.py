@@ -34,14 +34,20 @@ def quotas(items: DataFrame) -> DataFrame:
     )
 
 
-def attribute_images(texts: DataFrame, lex: Lexicon = CHINESE) -> DataFrame:
-    """``label, images``: distinct images per colour and object in captions."""
+def attribute_images(texts: DataFrame, lex: Lexicon = CHINESE, wanted: DataFrame | None = None) -> DataFrame:
+    """``label, images``: distinct images per colour and object in captions.
+
+    With ``wanted`` (``label``) only those labels meet the captions' id lists.
+    """
     rows = with_attrs_only(texts.select("split", "text", "image_ids"), lex=lex)
-    labels = rows.select("split", "image_ids", F.explode_outer("attrs").alias("phrase"))
-    label = F.regexp_extract("phrase", f"{lex.colour_pattern}.*", 0)
-    cited = labels.select("split", label.alias("label"), F.explode_outer("image_ids").alias("image_id"))
+    # several phrases of a caption may have one label
+    named = F.array_distinct(F.transform("attrs", lambda p: F.regexp_extract(p, f"{lex.colour_pattern}.*", 0)))
+    labels = rows.select("split", "image_ids", F.explode_outer(named).alias("label")).where(F.col("label") != "")
+    if wanted is not None:
+        labels = labels.join(wanted.select("label").distinct(), "label", "left_semi")
+    cited = labels.select("split", "label", F.explode_outer("image_ids").alias("image_id"))
     return (
-        cited.where((F.col("label") != "") & F.col("image_id").isNotNull())
+        cited.where(F.col("image_id").isNotNull())
         .distinct()
         .groupBy("label")
         .agg(F.count(F.lit(1)).alias("images"))
@@ -51,5 +57,5 @@ def attribute_images(texts: DataFrame, lex: Lexicon = CHINESE) -> DataFrame:
 def coverage(texts: DataFrame, items: DataFrame, lex: Lexicon = CHINESE) -> DataFrame:
     """Each item with its image count and what is still missing."""
     wanted = items.withColumn("label", F.concat("color", "attribute"))
-    have = wanted.join(attribute_images(texts, lex), "label", "left").na.fill(0, ["images"])
+    have = wanted.join(attribute_images(texts, lex, wanted), "label", "left").na.fill(0, ["images"])
     return have.withColumn("missing", F.greatest(F.col("target_lo") - F.col("images"), F.lit(0)))

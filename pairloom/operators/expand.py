@@ -3,12 +3,13 @@
 Both operators give every emitted caption one BIGINT rank (row order, then
 slot).  Duplicates fold in an aggregate that keeps the smallest rank, which is
 combined before the shuffle: a caption repeated in a third of all rows leaves
-every task as one row.
+every task as one row.  A digest stands for the id list there, which may be very
+long; the list itself joins the emissions that are left.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.attributes import with_attribute_queries
@@ -20,15 +21,31 @@ from pairloom.operators.merge import NO_IDS
 from pairloom.session import staged
 
 
+def _list_key(ids: Column) -> Column:
+    """128 bits that stand for an id list."""
+    return F.md5(F.array_join(ids.cast("array<string>"), ",", "-"))
+
+
+def _with_lists(emitted: DataFrame, texts: DataFrame) -> DataFrame:
+    """``emitted`` with the ``image_ids`` of the row (``source_ord``) that each comes from."""
+    lists = texts.select(
+        F.col("split").alias("_split"), F.col("ord").alias("_ord"),
+        F.coalesce("image_ids", F.expr(NO_IDS)).alias("image_ids"),
+    )
+    same = F.col("split").eqNullSafe(F.col("_split")) & (F.col("source_ord") == F.col("_ord"))
+    return emitted.join(lists, same).drop("_split", "_ord")
+
+
 def _emissions(df: DataFrame, slots, per_row: int) -> DataFrame:
     """Explode ``slots`` and rank each element; empty texts are left out."""
     # outer, because Spark would copy the whole expression into a size filter
-    rows = df.select(
-        "split", "ord", "text_id", "image_ids", F.posexplode_outer(slots).alias("slot", "emitted")
+    keyed = df.withColumn("ids_key", _list_key(F.col("image_ids")))
+    rows = keyed.select(
+        "split", "ord", "text_id", "ids_key", F.posexplode_outer(slots).alias("slot", "emitted")
     )
     return rows.where(F.col("emitted.text") != "").select(
         "split",
-        "image_ids",
+        "ids_key",
         F.col("emitted.text").alias("text"),
         F.col("emitted.derived").alias("derived"),
         F.when(F.col("emitted.derived"), F.col("text_id")).alias("source_text_id"),
@@ -43,7 +60,7 @@ def _slot(text, derived: bool):
 def attribute_emissions(
     texts: DataFrame, max_new: int = 8, keep_original: bool = True, lex: Lexicon = CHINESE
 ) -> DataFrame:
-    """First emission of every (caption, images) pair, with its rank."""
+    """First emission of every (caption, images) pair: its rank, the row it comes from, and whether it is derived."""
     rows = texts.select(
         "split", "ord", "text_id", "text", F.coalesce("image_ids", F.expr(NO_IDS)).alias("image_ids")
     )
@@ -51,14 +68,19 @@ def attribute_emissions(
     derived = F.transform(tidy_queries(F.col("queries"), lex), lambda q: _slot(q, True))
     own = F.array(_slot(tidy_query(F.col("text"), lex), False))
     slots = F.concat(own, derived) if keep_original else derived
-    return (
+    first = (
         _emissions(rows, slots, max_new + 1)
-        .groupBy("split", "text", "image_ids")
+        .groupBy("split", "text", "ids_key")
         .agg(
             F.min("rank").alias("rank"),
             F.min_by("source_text_id", "rank").alias("source_text_id"),
         )
     )
+    derived = (F.col("rank") % (max_new + 1) > 0) if keep_original else F.lit(True)
+    return first.select(
+        "split", "text", "rank", "source_text_id", derived.alias("derived"),
+        F.expr(f"rank div {max_new + 1}").alias("source_ord"),
+    )
 
 
 def expand_attributes(
@@ -70,21 +92,23 @@ def expand_attributes(
     """
     first = staged(attribute_emissions(texts, max_new, keep_original, lex))
     numbered = dense_id(first, "text_id", ["rank"], within=["split"])
-    slot = F.col("rank") % (max_new + 1)
-    return numbered.select(
+    return _with_lists(numbered, texts).select(
         "split",
         F.col("text_id").alias("ord"),
         "text_id",
         "text",
         "image_ids",
         "source_text_id",
-        ((slot > 0) if keep_original else F.lit(True)).alias("derived"),
-        F.expr(f"rank div {max_new + 1}").alias("source_ord"),
+        "derived",
+        "source_ord",
     )
 
 
 def expansion_histogram(texts: DataFrame, expanded: DataFrame) -> DataFrame:
-    """``split, new_rows, inputs``: how many inputs gained how many rows."""
+    """``split, new_rows, inputs``: how many inputs gained how many rows.
+
+    ``expanded`` may be the expansion or just its emissions.
+    """
     inputs = texts.select("split", F.col("ord").alias("source_ord"), F.lit(0).alias("new"))
     gained = expanded.where("derived").select("split", "source_ord", F.lit(1).alias("new"))
     per_input = inputs.unionByName(gained).groupBy("split", "source_ord").agg(F.sum("new").alias("new_rows"))
@@ -92,7 +116,10 @@ def expansion_histogram(texts: DataFrame, expanded: DataFrame) -> DataFrame:
 
 
 def expansion_stats(texts: DataFrame, expanded: DataFrame) -> DataFrame:
-    """Input, output and derived rows, and mean gain, per split."""
+    """Input, output and derived rows, and mean gain, per split.
+
+    ``expanded`` may be the expansion or just its emissions.
+    """
     before = texts.groupBy("split").agg(F.count(F.lit(1)).alias("input_rows"))
     after = expanded.groupBy("split").agg(
         F.count(F.lit(1)).alias("output_rows"), F.count_if("derived").alias("expanded_rows")
@@ -128,16 +155,16 @@ def expand_variants(
     slots = F.concat(F.array(_slot(F.col("tidied"), False)), new)
     first = (
         _emissions(rows, slots, max_new + 1)
-        .groupBy("split", "text", "image_ids")
+        .groupBy("split", "text", "ids_key")
         .agg(F.min("rank").alias("rank"), F.bool_and("derived").alias("unseen"))
         .where("unseen")
+        .select("split", "text", "rank", F.expr(f"rank div {max_new + 1}").alias("source_ord"))
     )
-    added = dense_id(staged(first.drop("unseen")), "place", ["rank"], within=["split"])
-    # one row per split
+    added = _with_lists(dense_id(staged(first), "place", ["rank"], within=["split"]), texts)
     ends = texts.groupBy("split").agg(
         (F.max("text_id") + 1).alias("first_id"), (F.max("ord") + 1).alias("first_ord")
     )
-    added = added.join(F.broadcast(ends), "split").select(
+    added = added.join(ends, "split").select(
         "split",
         (F.col("first_ord") + F.col("place")).alias("ord"),
         (F.col("first_id") + F.col("place")).alias("text_id"),

@@ -31,13 +31,13 @@ def image_id_map(
     start = next_image_id(base_images)
     narrow = added_images.select("split", "ord", "image_id").withColumn("rank", split_rank(splits))
     if dense_ord:
-        # one row per split: summed up in one small window and safe to broadcast
+        # one row per split, summed up in one small window
         sizes = narrow.groupBy("split", "rank").agg(F.count(F.lit(1)).alias("rows"))
         earlier = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
         offsets = sizes.select(
             "split", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("skip")
         )
-        numbered = narrow.join(F.broadcast(offsets), "split").withColumn(
+        numbered = narrow.join(offsets, "split").withColumn(
             "new_image_id", start + F.col("skip") + F.col("ord")
         )
     else:
@@ -92,12 +92,11 @@ def merge_datasets(
     if check:
         require_unique_images(added_images)
     id_map = image_id_map(base_images, added_images, splits, dense_ord=dense_ord)
-    # one row per split, so these are safe to broadcast
     ends = base_texts.groupBy("split").agg(
         (F.max("text_id") + 1).alias("first_id"), (F.max("ord") + 1).alias("first_ord")
     )
     numbered = dense_id(remap_image_ids(added_texts, id_map), "place", ["ord"], within=["split"])
-    new_texts = numbered.join(F.broadcast(ends), "split", "left").withColumns(
+    new_texts = numbered.join(ends, "split", "left").withColumns(
         {
             "text_id": F.coalesce("first_id", F.lit(0)) + F.col("place"),
             "ord": F.coalesce("first_ord", F.lit(0)) + F.col("place"),
@@ -109,7 +108,7 @@ def merge_datasets(
     moved = added_images.drop("image_id").join(
         id_map.select("split", "ord", F.col("new_image_id").alias("image_id")), ["split", "ord"]
     )
-    moved = moved.join(F.broadcast(image_ends), "split", "left").withColumn(
+    moved = moved.join(image_ends, "split", "left").withColumn(
         "ord", F.coalesce("first_ord", F.lit(0)) + F.col("ord")
     )
     images = _stack(base_images, moved, _every(base_images, added_images))

@@ -56,11 +56,22 @@ def get_text(texts: DataFrame, images: DataFrame, split: str, text_id: int) -> D
     return text_images(one, images.where(F.col("split") == split), unique=False).orderBy("pos")
 
 
-def get_image(texts: DataFrame, images: DataFrame, split: str, image_id: int) -> DataFrame:
-    """Captions of one image in row order."""
+def get_image(
+    texts: DataFrame, images: DataFrame, split: str, image_id: int, edges: DataFrame | None = None
+) -> DataFrame:
+    """Captions of one image in row order.
+
+    With a stored ``link_table`` as ``edges`` its filter on the image id reaches
+    the scan, and no id list is searched.
+    """
     hit = images.where((F.col("split") == split) & (F.col("image_id") == image_id))
     _require(hit, f"image_id {image_id} not found in split {split}")
-    mine = texts.where((F.col("split") == split) & F.array_contains("image_ids", F.lit(image_id)))
+    mine = texts.where(F.col("split") == split)
+    if edges is None:
+        mine = mine.where(F.array_contains("image_ids", F.lit(image_id)))
+    else:
+        citing = edges.where((F.col("split") == split) & (F.col("image_id") == image_id))
+        mine = mine.join(citing.select("text_id"), "text_id", "left_semi")
     return image_texts(mine, hit).orderBy("ord", "pos")
 
 

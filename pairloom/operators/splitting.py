@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.session import staged
+
 _DIGITS = 3
 #: Rows that are few enough to be ranked instead of counted once more.
 _FEW = 4096
@@ -80,7 +82,8 @@ def group_split(
     df: DataFrame, key: str, ratio: float = 0.0, seed: int = 42, column: str = "split"
 ) -> DataFrame:
     """As ``exact_split``, but whole groups of rows stay together."""
-    return _marked(df, df.select(key).distinct(), key, ratio, seed, column)
+    # read once per step of the search
+    return _marked(df, staged(df.select(key).distinct()), key, ratio, seed, column)
 
 
 def _marked(df, keys, key, ratio, seed, column):

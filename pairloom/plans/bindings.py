@@ -103,7 +103,11 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderkey").alias("order_key"), "o_orderpriority", "o_orderstatus"
     )
     text = F.concat(F.lit("一个"), "body", F.lit("的人"), _case(F.col("o_orderstatus"), TAILS, ""))
-    return orders.join(lists, "order_key").select(
+    # an order without a known part has a caption too: no clause, no image
+    orders = orders.join(lists, "order_key", "left").withColumns(
+        {"body": F.coalesce("body", F.lit("")), "image_ids": F.coalesce("image_ids", F.array().cast("array<bigint>"))}
+    )
+    return orders.select(
         order_split(F.col("o_orderpriority")).alias("split"),
         F.col("order_key").alias("ord"),
         F.col("order_key").alias("text_id"),
@@ -251,9 +255,9 @@ refs AS (
 texts AS (
   SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'valid' ELSE 'train' END AS split,
     o_orderkey AS ord, o_orderkey AS text_id,
-    '一个' || body || '的人' || {sql_case("o_orderstatus", TAILS, "")} AS text,
-    image_ids, o_orderstatus AS status
-  FROM orders JOIN bodies ON o_orderkey = bodies.order_key JOIN refs ON o_orderkey = refs.order_key),
+    '一个' || coalesce(body, '') || '的人' || {sql_case("o_orderstatus", TAILS, "")} AS text,
+    coalesce(image_ids, []) AS image_ids, o_orderstatus AS status
+  FROM orders LEFT JOIN bodies ON o_orderkey = bodies.order_key LEFT JOIN refs ON o_orderkey = refs.order_key),
 links AS (
   SELECT split, ord, text_id, status, unnest(image_ids) AS image_id,
     generate_subscripts(image_ids, 1) - 1 AS pos

@@ -395,7 +395,7 @@ merged AS (
   UNION ALL
   SELECT 'added', t.split,
     (SELECT max(text_id) FROM texts x WHERE x.split = t.split AND status = 'F') + row_number() OVER (PARTITION BY t.split ORDER BY t.ord),
-    text, lists.image_ids FROM texts t JOIN lists USING (ord) WHERE status <> 'F')"""
+    text, coalesce(lists.image_ids, '') FROM texts t LEFT JOIN lists USING (ord) WHERE status <> 'F')"""
 
 
 @query(f"""{_MERGE_SQL} SELECT origin, split, text_id, text, image_ids FROM merged""")
@@ -648,6 +648,20 @@ def append_images(spark, sf):
     return new_images.select("image_id", "image_b64")
 
 
+@query(f"""{_APPEND_SQL}
+SELECT text_id, text, {JOINED} FROM texts WHERE status = 'F'
+UNION ALL
+SELECT new_id::BIGINT, text, array_to_string(generate_series((last_image - files + 1)::BIGINT, last_image::BIGINT), ',') FROM fresh""")
+def append_to_files(spark, sf):
+    """Write a dataset, append a batch to its files, read the captions back."""
+    stored, images, batch, resolved = _append(spark, sf)
+    folder = scratch_path(spark, "dataset")
+    sinks.write_dataset(stored, images, folder, ("train",))
+    sinks.append_rows(*append.new_rows(resolved, batch, stored, images), folder)
+    texts = text_files.read_texts(spark, text_files.texts_path(folder, "train"), "train")
+    return texts.select("text_id", "text", joined("image_ids"))
+
+
 # --- expansion ------------------------------------------------------------------------------
 
 
@@ -696,7 +710,7 @@ expanded AS (SELECT split, row_number() OVER (PARTITION BY split ORDER BY place)
 
 @query(f"""{_EXPANDED_SQL} SELECT split, text_id, text, image_ids, source_text_id FROM expanded""")
 def expand_attributes(spark, sf):
-    out = expand.expand_attributes(b.texts(spark, sf), MAX_QUERIES)
+    out = expand.expand_attributes(b.stored_texts(spark, sf), MAX_QUERIES)
     return out.select("split", "text_id", "text", joined("image_ids"), "source_text_id")
 
 
@@ -706,7 +720,7 @@ m AS (SELECT split, count(*) AS output_rows, count(*) FILTER (derived) AS expand
 SELECT split, input_rows, output_rows, expanded_rows, round_even(expanded_rows / input_rows, 2) AS avg_new_per_input FROM n JOIN m USING (split)""")
 def expansion_stats(spark, sf):
     texts = b.stored_texts(spark, sf)
-    return expand.expansion_stats(texts, expand.expand_attributes(texts, MAX_QUERIES))
+    return expand.expansion_stats(texts, expand.attribute_emissions(texts, MAX_QUERIES))
 
 
 @query(f"""{_EXPANDED_SQL},
@@ -715,7 +729,7 @@ gains AS (SELECT t.split, t.ord, count(e.source_ord) AS new_rows FROM texts t
 SELECT split, new_rows, count(*) AS inputs FROM gains GROUP BY ALL""")
 def expansion_histogram(spark, sf):
     texts = b.stored_texts(spark, sf)
-    return expand.expansion_histogram(texts, expand.expand_attributes(texts, MAX_QUERIES))
+    return expand.expansion_histogram(texts, expand.attribute_emissions(texts, MAX_QUERIES))
 
 
 # --- quotas -----------------------------------------------------------------------------------
@@ -784,3 +798,28 @@ def review_file_round_trip(spark, sf):
     path = scratch_path(spark, "review")
     sinks.write_review(review.review_rows(b.documents(spark, sf), REVIEW_LEN, REVIEW_WORDS), path)
     return text_files.read_edits(spark, path, "train").select("split", "text_id", "clean_text")
+
+
+@query(f"WITH {b.TEXTS_SQL} SELECT split, image_id FROM links")
+def references_from_file(spark, sf):
+    """Write caption files, read every reference back."""
+    texts, folder = b.stored_texts(spark, sf), scratch_path(spark, "texts")
+    parts = []
+    for split in ("train", "valid"):
+        path = text_files.texts_path(folder, split)
+        sinks.write_texts(texts.where(F.col("split") == split), path)
+        parts.append(text_files.read_refs(spark, path, split))
+    return parts[0].unionByName(parts[1])
+
+
+@query(f"""WITH {b.IMAGES_SQL}
+SELECT split, row_number() OVER (PARTITION BY split ORDER BY ord) - 1 AS ord, image_id FROM images""")
+def image_ids_from_file(spark, sf):
+    """Write image tables, read only their ids back."""
+    images, folder = b.part_images(spark, sf), scratch_path(spark, "images")
+    parts = []
+    for split in ("train", "valid"):
+        path = image_files.images_path(folder, split)
+        sinks.write_images(images.where(F.col("split") == split), path)
+        parts.append(image_files.read_image_ids(spark, path, split))
+    return parts[0].unionByName(parts[1])

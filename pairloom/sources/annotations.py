@@ -26,13 +26,12 @@ def read_exports(spark: SparkSession, folders: list[str]) -> DataFrame:
         .json([f"{folder}/{_DOCUMENT}" for folder in folders])
         .select("*", paths.plain(paths.decoded(F.col("_metadata.file_path"))).alias("path"))
     )
-    # as long as the argument list, so it is safe to broadcast
     order = spark.createDataFrame(
         [(at, paths.qualified(spark, folder)) for at, folder in enumerate(folders)],
         "source_ord bigint, root string",
     )
     root = F.regexp_extract("path", rf"\A(.*)/{_DOCUMENT}\z", 1)
-    return docs.withColumn("root", root).join(F.broadcast(order), "root").select(
+    return docs.withColumn("root", root).join(order, "root").select(
         "source_ord", "root", "images", "annotations"
     )
 

@@ -5,6 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from pairloom.functions.images import parse_data_url
+from pairloom.operators import append, expand, relations
 from pairloom.operators.build import attach_payload, ranked_bucket
 from pairloom.operators.filtering import links
 from pairloom.operators.ids import dense_id
@@ -63,3 +65,57 @@ def test_a_missing_file_is_an_error(spark):
     listed = spark.createDataFrame([("train", 0, 1, "gone.png")], "split string, ord long, image_id long, path string")
     with pytest.raises(Exception, match="No file for a listed image"):
         attach_payload(listed, spark.createDataFrame([], "path string, content binary")).collect()
+
+
+@pytest.mark.parametrize("b64, good", [("", True), ("QUJD", True), ("QUI=", True), ("QQ==", True), ("QU JD\n", True), ("QUJ", False), ("Q", False)])
+def test_data_url_is_readable(spark, b64, good):
+    one = spark.createDataFrame([(f"data:image/png;base64,{b64}",)], "u string").select(parse_data_url(F.col("u")).alias("b"))
+    if good:
+        assert one.first().b == b64
+    else:
+        with pytest.raises(Exception, match="readable image"):
+            one.collect()
+
+
+def test_batches_from_files_and_uploads(spark):
+    files = spark.createDataFrame([("x/a.png", b"ABC"), ("x/b.jpg", b"DE")], "path string, content binary")
+    batch = spark.createDataFrame([(1, "t", ["x/b.jpg", "x/a.png", "x/b.jpg"]), (2, "u", [])], "batch_ord long, text string, paths array<string>")
+    got = {r.batch_ord: r.images for r in append.from_files(batch, files).collect()}
+    assert got == {1: ["REU=", "QUJD", "REU="], 2: None}
+    for bad in ("x/none.png", "x/a.txt"):
+        rows = spark.createDataFrame([(1, "t", [bad])], "batch_ord long, text string, paths array<string>")
+        with pytest.raises(Exception, match="No image file"):
+            append.from_files(rows, files).collect()
+    sent = spark.createDataFrame([(1, "t", [("a", "data:image/png;base64,QUJD")])], "batch_ord long, text string, images array<struct<name:string,src:string>>")
+    assert append.from_uploads(sent).first().images == ["QUJD"]
+
+
+def test_append_hashes_cited_images_only(spark):
+    texts = spark.createDataFrame([("train", 0, 0, "t", [7])], "split string, ord long, text_id long, text string, image_ids array<long>")
+    images = spark.createDataFrame([("train", 0, 7, "QUJD"), ("train", 1, 8, "REU=")], "split string, ord long, image_id long, image_b64 string")
+    wanted = spark.createDataFrame([("t",)], "text string")
+    known = append._existing(texts, images, wanted)
+    plan = known._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("sha2(") < plan.index("LeftSemi")
+    assert [(r.old_text_id, r.files) for r in known.collect()] == [(0, 1)]
+
+
+def test_captions_of_an_image_by_stored_links(spark, tmp_path):
+    texts = spark.createDataFrame([("train", 0, 0, "a", [1, 2, 2]), ("train", 1, 1, "b", [1]), ("valid", 0, 0, "c", [2])],
+                                  "split string, ord long, text_id long, text string, image_ids array<long>")
+    images = spark.createDataFrame([("train", 0, 1, "x"), ("train", 1, 2, "y"), ("valid", 0, 2, "z")], "split string, ord long, image_id long, image_b64 string")
+    relations.link_table(texts).write.parquet(f"{tmp_path}/links")
+    edges = spark.read.parquet(f"{tmp_path}/links")
+    found = relations.get_image(texts, images, "train", 2, edges)
+    assert [r.text for r in found.collect()] == [r.text for r in relations.get_image(texts, images, "train", 2).collect()] == ["a", "a"]
+    assert "EqualTo(image_id,2)" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_id_lists_do_not_shuffle_with_captions(spark):
+    texts = spark.createDataFrame([("train", 0, 0, "一个穿着黑色的上衣的人", [1, 2]), ("train", 1, 1, "一个穿着黑色的上衣的人", [1, 2]), ("train", 2, 2, "一个穿着黑色的上衣的人", [12])],
+                                  "split string, ord long, text_id long, text string, image_ids array<long>")
+    first = expand.attribute_emissions(texts)
+    assert "image_ids" not in first.columns
+    out = expand.expand_attributes(texts).orderBy("text_id").collect()
+    # the second row repeats the first; the third has other images
+    assert {r.source_ord for r in out} == {0, 2} and {tuple(r.image_ids) for r in out} == {(1, 2), (12,)}
