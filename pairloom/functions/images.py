@@ -59,7 +59,7 @@ def parse_data_url(url: Column) -> Column:
     b64 = F.get(F.split(url, ",", 2), F.lit(1))
     head = F.regexp_replace(F.substring(b64, 1, 128), "[^A-Za-z0-9+/=]", "")
     good = url.startswith("data:image/") & head.rlike(_BASE64)
-    return F.when(good, b64).otherwise(F.raise_error(F.lit("Not a data URL with a readable image: no base64 after its comma")))
+    return F.when(good, b64).otherwise(F.raise_error(F.lit("Invalid uploaded picture: not a data URL with a readable image")))
 
 
 def content_hash(b64: Column) -> Column:
