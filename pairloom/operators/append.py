@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.functions.images import content_hash, encode_image, is_image_path, parse_data_url
 from pairloom.functions.text import or_empty, strip
 from pairloom.operators.filtering import links
-from pairloom.operators.ids import dense_id, integer_bucket, next_image_id, next_text_id
+from pairloom.operators.ids import dense_id, next_image_id, next_text_id
 from pairloom.session import staged
 
 KEY = ["text", "contents", "files"]
@@ -100,10 +100,7 @@ def append_annotations(
     slots = fresh.select(
         "first_ord", F.explode_outer(F.sequence(F.lit(1), F.col("files"))).alias("slot")
     )
-    placed = dense_id(
-        slots, "image_id", ["first_ord", "slot"],
-        start=next_image_id(images), bucket=integer_bucket("first_ord"),
-    )
+    placed = dense_id(slots, "image_id", ["first_ord", "slot"], start=next_image_id(images))
     spans = placed.groupBy("first_ord").agg(
         F.sequence(F.min("image_id"), F.max("image_id")).alias("new_image_ids")
     )

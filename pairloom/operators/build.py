@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.images import encode_image
 from pairloom.functions.text import collapse_blanks, or_empty, strip
-from pairloom.operators.ids import BUCKET_ROWS, dense_id
+from pairloom.operators.ids import dense_id
 from pairloom.operators.splitting import exact_split, group_split
 from pairloom.schema import SPLITS
 from pairloom.session import staged
@@ -26,15 +26,6 @@ def split_rank(splits: Sequence[str] = SPLITS) -> Column:
     return rank.cast("bigint")
 
 
-def ranked_bucket(rank: str, key: str) -> Column:
-    """Ordered, bounded bucket for the pair (rank, unique integer); both below 2 ** 31 buckets."""
-    bucket = F.floor(F.col(key) / F.lit(BUCKET_ROWS)).cast("bigint")
-    large = (F.col(rank) >= 1 << 31) | (bucket >= 1 << 31)
-    return F.when(large, F.raise_error(F.lit("Rank or key is too large to be numbered."))).otherwise(
-        F.shiftleft(F.col(rank).cast("bigint"), 31) + bucket
-    )
-
-
 # --- annotation exports ----------------------------------------------------
 
 
@@ -93,10 +84,7 @@ def uid(prefix: Column, image_id: Column) -> Column:
 
 def number_samples(samples: DataFrame) -> DataFrame:
     """Image ids 1, 2, .. over all exports in argument order."""
-    # counted and numbered, so written once
-    return dense_id(
-        staged(samples), "image_id", ["source_ord", "pos"], start=1, bucket=ranked_bucket("source_ord", "pos")
-    )
+    return dense_id(samples, "image_id", ["source_ord", "pos"], start=1)
 
 
 def build_from_annotations(
@@ -147,6 +135,18 @@ def sample_status(
     return rows.withColumn("skip_reason", reason)
 
 
+def positives_status(
+    samples: DataFrame, queries: DataFrame, files: DataFrame, *, ratio: float = 0.0, seed: int = 42
+) -> DataFrame:
+    """``sample_status`` with a split, over the images of the first folder."""
+    files = files.where(F.col("folder") == FOLDERS[0])
+    return sample_status(group_split(samples, "sample_id", ratio, seed), queries, files)
+
+
+def skipped_samples(status: DataFrame) -> DataFrame:
+    return status.where(F.col("skip_reason").isNotNull()).select("split", "sample", "skip_reason")
+
+
 def build_all_positives(
     samples: DataFrame,
     queries: DataFrame,
@@ -163,22 +163,19 @@ def build_all_positives(
     over all samples, skipped ones included.  Ids of the second split go on
     after those of the first.
     """
+    # feeds both outputs and the skips
+    status = staged(positives_status(samples, queries, files, ratio=ratio, seed=seed))
     files = files.where(F.col("folder") == FOLDERS[0])
-    # feeds both outputs and the skips, as do the numbered images below
-    status = staged(sample_status(group_split(samples, "sample_id", ratio, seed), queries, files))
-    skipped = status.where(F.col("skip_reason").isNotNull()).select("split", "sample", "skip_reason")
+    skipped = skipped_samples(status)
     kept = status.where(F.col("skip_reason").isNull()).withColumn("rank", split_rank())
 
     images = files.select("sample_id", "name", "path").join(kept.select("sample_id", "split", "rank"), "sample_id")
-    # one sample may own very many images, so the cut points are sampled
-    images = staged(dense_id(images, "image_id", ["rank", "sample_id", "name"], start=image_start))
+    images = dense_id(images, "image_id", ["rank", "sample_id", "name"], start=image_start)
     # ids of a sample are consecutive: its list is a range, nothing to collect
     spans = images.groupBy("sample_id").agg(
         F.min("image_id").alias("lo"), F.max("image_id").alias("hi")
     )
-    texts = dense_id(
-        kept, "text_id", ["rank", "sample_id"], start=text_start, bucket=ranked_bucket("rank", "sample_id")
-    ).join(spans, "sample_id")
+    texts = dense_id(kept, "text_id", ["rank", "sample_id"], start=text_start).join(spans, "sample_id")
     texts = texts.select(
         "split",
         F.col("text_id").alias("ord"),
@@ -232,7 +229,7 @@ def build_one_positive(
         F.lit(split).alias("split"), "sample", "skip_reason"
     )
     kept = status.where(F.col("skip_reason").isNull()).join(first, "sample_id")
-    kept = dense_id(staged(kept), "place", ["sample_id"])
+    kept = dense_id(kept, "place", ["sample_id"])
     shift = lambda by: (F.col("place") + (by if isinstance(by, Column) else F.lit(by))).cast("bigint")
     rows = kept.select(
         F.lit(split).alias("split"),

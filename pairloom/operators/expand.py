@@ -18,7 +18,6 @@ from pairloom.functions.text import tidy_queries, tidy_query
 from pairloom.functions.variants import with_variants
 from pairloom.operators.ids import dense_id
 from pairloom.operators.merge import NO_IDS
-from pairloom.session import staged
 
 
 def _list_key(ids: Column) -> Column:
@@ -90,7 +89,7 @@ def expand_attributes(
 
     ``ord`` equals the new id; ``source_ord`` is the input row.
     """
-    first = staged(attribute_emissions(texts, max_new, keep_original, lex))
+    first = attribute_emissions(texts, max_new, keep_original, lex)
     numbered = dense_id(first, "text_id", ["rank"], within=["split"])
     return _with_lists(numbered, texts).select(
         "split",
@@ -160,7 +159,7 @@ def expand_variants(
         .where("unseen")
         .select("split", "text", "rank", F.expr(f"rank div {max_new + 1}").alias("source_ord"))
     )
-    added = _with_lists(dense_id(staged(first), "place", ["rank"], within=["split"]), texts)
+    added = _with_lists(dense_id(first, "place", ["rank"], within=["split"]), texts)
     ends = texts.groupBy("split").agg(
         (F.max("text_id") + 1).alias("first_id"), (F.max("ord") + 1).alias("first_ord")
     )

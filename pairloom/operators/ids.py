@@ -1,8 +1,8 @@
 """Dense ids, id maxima and neighbours without a single-partition sort.
 
-``row_number`` over a whole table needs one task.  Here the key space is cut
-into ordered buckets of bounded size; rows are numbered inside a bucket and
-only the bucket counts, a tiny table, are summed up in order.
+``row_number`` over a whole table needs one task.  Here rows go to range
+partitions of the key and are numbered where they lie; only the partitions' row
+counts, a tiny table, are summed up in order.
 """
 
 from __future__ import annotations
@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET_ROWS = 1 << 18
+from pairloom.session import staged
+
 _SAMPLE_PER_BUCKET = 16
-_MAX_BUCKETS = 2048
+#: Bits of a row's place within its partition in ``monotonically_increasing_id``.
+_ROW_BITS = 33
 
 
 def next_id(df: DataFrame, column: str, default_max: int) -> Column:
@@ -37,11 +39,6 @@ def next_text_ids(texts: DataFrame) -> DataFrame:
     return texts.groupBy("split").agg((F.max("text_id") + 1).alias("next_text_id"))
 
 
-def integer_bucket(key: str, rows: int = BUCKET_ROWS) -> Column:
-    """Bucket of a unique integer key: never more than ``rows`` keys."""
-    return F.floor(F.col(key) / F.lit(rows)).cast("bigint")
-
-
 def _cut_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[str]:
     """At most about ``buckets`` keys, as JSON, that cut the rows evenly.
 
@@ -75,12 +72,6 @@ def _bucket_of(df: DataFrame, order: Sequence[str], cuts: list[str]) -> Column:
     )
 
 
-def sampled_bucket(df: DataFrame, order: Sequence[str]) -> Column:
-    """Bucket for any unique composite key, also with a hot leading column."""
-    buckets = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _MAX_BUCKETS)
-    return _bucket_of(df, order, _cut_points(df, order, buckets)).cast("bigint")
-
-
 def in_order(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """Partitions that follow each other in ``key`` order, sorted inside.
 
@@ -95,6 +86,26 @@ def in_order(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     return df.repartitionById(len(cuts) + 1, place).sortWithinPartitions(key)
 
 
+def _ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` in range partitions of ``keys``, sorted, with ``__at`` and ``__part``.
+
+    ``__at`` grows with the keys, by one from row to row of a partition.  Whole
+    keys are cut, so a leading value with very many rows is spread.  Written
+    once: a row keeps its place when a task runs again.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    rows = staged(rows.withColumn("__at", F.monotonically_increasing_id()))
+    return rows.withColumn("__part", F.shiftright("__at", _ROW_BITS))
+
+
+def _with_edges(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join a row per partition to the partition's rows; NULL is a key like any other."""
+    named = edges.withColumnsRenamed({k: f"__key{i}" for i, k in enumerate(keys)})
+    same = [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)]
+    return rows.join(named, same).drop(*[f"__key{i}" for i in range(len(keys))])
+
+
 def dense_id(
     df: DataFrame,
     name: str,
@@ -102,65 +113,43 @@ def dense_id(
     *,
     within: Sequence[str] = (),
     start: Column | int = 0,
-    bucket: Column | None = None,
 ) -> DataFrame:
     """Number rows ``start, start + 1, ..`` by ``order``, a unique key.
 
-    Numbering restarts for every value of ``within``.  ``bucket`` must grow
-    with ``order``; it defaults to a cut of the integer key or, for composite
-    keys, to sampled cut points.
+    Numbering restarts for every value of ``within``.  Rows move once.
     """
     order, within = list(order), list(within)
-    if bucket is None:
-        single = len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.LongType)
-        bucket = integer_bucket(order[0]) if single else sampled_bucket(df, order)
-    keyed = df.withColumn("__bucket", bucket)
-    counts = keyed.groupBy(*within, "__bucket").agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.partitionBy(*within).orderBy("__bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    rows, keys = _ranged(df, [*within, *order]), [*within, "__part"]
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))
+    before = Window.partitionBy(*within).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *within, "__bucket", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")
+        *keys, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")
     )
-    inside = Window.partitionBy(*within, "__bucket").orderBy(*order)
     start = start if isinstance(start, Column) else F.lit(start)
-    # NULL is a value of its own here: no row may go
-    keys = [*within, "__bucket"]
-    offsets = offsets.select("__offset", *[F.col(c).alias(f"__key{i}") for i, c in enumerate(keys)])
-    same = [F.col(c).eqNullSafe(F.col(f"__key{i}")) for i, c in enumerate(keys)]
-    return (
-        keyed.join(offsets, same)
-        .withColumn("__row", F.row_number().over(inside))
-        .withColumn(name, (F.col("__offset") + F.col("__row") - 1 + start).cast("bigint"))
-        .drop("__bucket", "__offset", "__row", *[f"__key{i}" for i in range(len(keys))])
+    number = F.col("__at") - F.col("__first") + F.col("__offset") + start
+    return _with_edges(rows, offsets, keys).withColumn(name, number.cast("bigint")).drop(
+        "__at", "__part", "__first", "__offset"
     )
 
 
 def neighbours(ids: DataFrame, column: str, within: Sequence[str] = ()) -> DataFrame:
     """``previous_id`` and ``next_id`` of every distinct id, clamped at the ends."""
     within = list(within)
-    distinct = ids.select(*within, F.col(column)).distinct()
-    keyed = distinct.withColumn("__bucket", integer_bucket(column))
-    edges = keyed.groupBy(*within, "__bucket").agg(
-        F.min(column).alias("__first"), F.max(column).alias("__last")
-    )
-    across = Window.partitionBy(*within).orderBy("__bucket")
-    edges = edges.select(
-        *within,
-        "__bucket",
+    rows = _ranged(ids.select(*within, F.col(column)).distinct(), [*within, column])
+    keys = [*within, "__part"]
+    across = Window.partitionBy(*within).orderBy("__part")
+    edges = rows.groupBy(*keys).agg(F.min(column).alias("__first"), F.max(column).alias("__last")).select(
+        *keys,
         F.lag("__last").over(across).alias("__before"),
         F.lead("__first").over(across).alias("__after"),
     )
-    inside = Window.partitionBy(*within, "__bucket").orderBy(column)
-    return (
-        keyed.join(edges, [*within, "__bucket"])
-        .withColumns({"__lag": F.lag(column).over(inside), "__lead": F.lead(column).over(inside)})
-        .select(
-            *within,
-            column,
-            F.coalesce("__lag", "__before", column).alias("previous_id"),
-            F.coalesce("__lead", "__after", column).alias("next_id"),
-        )
+    inside = Window.partitionBy(*keys).orderBy(column)
+    lagged = rows.withColumns({"__lag": F.lag(column).over(inside), "__lead": F.lead(column).over(inside)})
+    return _with_edges(lagged, edges, keys).select(
+        *within,
+        column,
+        F.coalesce("__lag", "__before", column).alias("previous_id"),
+        F.coalesce("__lead", "__after", column).alias("next_id"),
     )
 
 
@@ -168,17 +157,13 @@ def neighbour_of(ids: DataFrame, column: str, current: int, step: int) -> DataFr
     """One row ``id``: the neighbour of any number, present or not.
 
     Both ends clamp, but going forward from above the largest id leads to the
-    first one.
+    first one.  Each look is an aggregate whose filter reaches the scan; the
+    next one is taken only if nothing is found.
     """
     key, here = F.col(column), F.lit(current)
-    found = ids.agg(
-        F.max(F.when(key < here, key)).alias("below"),
-        F.min(F.when(key > here, key)).alias("above"),
-        F.max(F.when(key == here, key)).alias("same"),
-        F.min(key).alias("lowest"),
-    )
-    if step > 0:
-        answer = F.coalesce("above", "same", "lowest")
-    else:
-        answer = F.coalesce("below", "same", "lowest")
-    return found.select(answer.alias("id"))
+    beyond = ids.where(key > here).agg(F.min(key)) if step > 0 else ids.where(key < here).agg(F.max(key))
+    looks = [beyond, ids.where(key == here).agg(F.max(key)), ids.agg(F.min(key))]
+    for look in looks[:-1]:
+        if look.first()[0] is not None:
+            return look.toDF("id")
+    return looks[-1].toDF("id")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.operators.build import ranked_bucket, split_rank
+from pairloom.operators.build import split_rank
 from pairloom.operators.filtering import links
 from pairloom.operators.ids import dense_id, next_image_id
 from pairloom.operators.validate import duplicate_images, missing_references
@@ -41,9 +41,7 @@ def image_id_map(
             "new_image_id", start + F.col("skip") + F.col("ord")
         )
     else:
-        numbered = dense_id(
-            narrow, "new_image_id", ["rank", "ord"], start=start, bucket=ranked_bucket("rank", "ord")
-        )
+        numbered = dense_id(narrow, "new_image_id", ["rank", "ord"], start=start)
     return numbered.select("split", "ord", "image_id", "new_image_id")
 
 
@@ -95,7 +93,7 @@ def merge_datasets(
     ends = base_texts.groupBy("split").agg(
         (F.max("text_id") + 1).alias("first_id"), (F.max("ord") + 1).alias("first_ord")
     )
-    numbered = dense_id(remap_image_ids(added_texts, id_map), "place", ["ord"], within=["split"])
+    numbered = remap_image_ids(dense_id(added_texts, "place", ["ord"], within=["split"]), id_map)
     new_texts = numbered.join(ends, "split", "left").withColumns(
         {
             "text_id": F.coalesce("first_id", F.lit(0)) + F.col("place"),

@@ -148,6 +148,21 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def citing_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """One caption per order that cites its parts in line order, repeats included."""
+    # an order has a few lines only
+    lists = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("cited")
+    )
+    return table(spark, sf, "orders").join(lists, "o_orderkey", "left").select(
+        F.lit("train").alias("split"),
+        F.col("o_orderkey").alias("ord"),
+        F.col("o_orderkey").alias("text_id"),
+        F.col("o_orderpriority").alias("text"),
+        F.coalesce(F.col("cited.l_partkey"), F.array().cast("array<bigint>")).alias("image_ids"),
+    )
+
+
 def edits(spark: SparkSession, sf: str) -> DataFrame:
     """A first edit for every labelled document, a later one if it is poor."""
     labelled = table(spark, sf, "labels").join(
@@ -216,6 +231,35 @@ def samples(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
     return folders, queries, files
 
 
+ROOT = "file:/queries"
+
+
+def sample_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """A file path for every turn: some too deep, some without an image's ending."""
+    name = F.concat(F.col("turn").cast("string"), F.when(F.col("role") == "user", ".txt").otherwise(".JPG"))
+    folder = F.when(F.col("turn") % 3 == 2, "pos_images/more").when(F.col("role") == "system", "pos").otherwise("pos_images")
+    return table(spark, sf, "conversations").select(
+        F.concat_ws("/", F.lit(ROOT), F.format_string("%06d", "conv_id"), folder, name).alias("path")
+    )
+
+
+def export_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """An export document per order, as JSON: one image, two notes."""
+    key = F.col("o_orderkey").cast("string")
+    note = lambda text: F.concat(
+        F.lit('{"image_id":'), key, F.lit(',"attributes":{"txt":"'), text, F.lit('","colour":1}}')
+    )
+    document = F.concat(
+        F.lit('{"categories":[],"images":[{"id":'), key, F.lit(',"file_name":"'), key, F.lit('.jpg"}],"annotations":['),
+        note(F.col("o_orderpriority")), F.lit(","), note(F.col("o_orderstatus")), F.lit("]}"),
+    )
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("source_ord"),
+        F.concat(F.lit("/exports/"), "o_orderpriority", F.lit("_"), key).alias("root"),
+        document.alias("document"),
+    )
+
+
 def header_bytes(spark: SparkSession, sf: str) -> DataFrame:
     """``part_key, content``: part names behind the header of some format."""
     lead = _case(F.col("p_type"), LEADS, OTHER_LEAD)

@@ -13,8 +13,9 @@ from pairloom.operators import (
     append, build, coverage, expand, filtering, ids, merge, relations, review, splitting, validate,
 )
 from pairloom.plans import bindings as b, sqlforms as q
-from pairloom.session import scratch_path
-from pairloom.sources import images as image_files, sinks, texts as text_files
+from pairloom.schema import ANNOTATION_EXPORT
+from pairloom.session import scratch_path, staged
+from pairloom.sources import annotations, datasets, folders, images as image_files, sinks, texts as text_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -321,8 +322,8 @@ def folder_images(spark, sf):
 SELECT split, sample, CASE WHEN query = '' THEN '{build.EMPTY_QUERY}' ELSE '{build.NO_IMAGES}' END AS skip_reason
 FROM status WHERE query = '' OR first_files = 0""")
 def folder_skips(spark, sf):
-    _, _, skipped = build.build_all_positives(*b.samples(spark, sf), ratio=0.1)
-    return skipped
+    """Skipped samples, without numbering the others."""
+    return build.skipped_samples(build.positives_status(*b.samples(spark, sf), ratio=0.1))
 
 
 @query(f"""{_FOLDER_SQL},
@@ -369,6 +370,49 @@ def folder_first_positive_skips(spark, sf):
     return skipped.select("sample", "skip_reason")
 
 
+FIRST, LAST = 3, 17
+
+
+@query(f"""{_FOLDER_SQL}
+SELECT row_number() OVER (ORDER BY conv_id) - 1 AS text_id, query AS text, lpad(conv_id::VARCHAR, 6, '0') AS sample
+FROM status WHERE query <> '' AND all_files > 0 AND conv_id BETWEEN {FIRST} AND {LAST}""")
+def folder_id_range(spark, sf):
+    """Only the folders numbered FIRST to LAST, both included."""
+    made, images, _ = build.build_one_positive(*b.samples(spark, sf), start=FIRST, end=LAST)
+    names = images.select("ord", F.lpad(F.col("sample_id").cast("string"), 6, "0").alias("sample"))
+    return made.join(names, "ord").select("text_id", "text", "sample")
+
+
+@query(f"""SELECT conv_id AS sample_id, lpad(conv_id::VARCHAR, 6, '0') AS sample,
+  CASE role WHEN 'system' THEN 'pos' ELSE 'pos_images' END AS folder, turn || '.JPG' AS name
+FROM conversations WHERE role <> 'user' AND turn % 3 <> 2""")
+def sample_files(spark, sf):
+    """Sample, folder and name of image paths; other files and depths are left out."""
+    found = folders.folder_files(b.sample_paths(spark, sf), b.ROOT)
+    return found.select("sample_id", "sample", "folder", "name")
+
+
+def _exports(spark: SparkSession, sf: str) -> DataFrame:
+    rows = b.export_documents(spark, sf)
+    parsed = F.from_json("document", ANNOTATION_EXPORT, {"mode": "FAILFAST"})
+    return rows.select("source_ord", "root", parsed.alias("d")).select("source_ord", "root", "d.*")
+
+
+@query("""SELECT o_orderkey AS source_ord, 0::BIGINT AS pos, o_orderkey AS export_image_id, o_orderkey || '.jpg' AS file_name,
+  '/exports/' || o_orderpriority || '_' || o_orderkey || '/images/' || o_orderkey || '.jpg' AS path,
+  o_orderpriority || '_' || o_orderkey AS source FROM orders""")
+def export_image_rows(spark, sf):
+    """Image entries of export documents."""
+    return annotations.export_images(_exports(spark, sf))
+
+
+@query("""SELECT o_orderkey AS source_ord, 0::BIGINT AS ord, o_orderkey AS export_image_id, o_orderpriority AS txt FROM orders
+UNION ALL SELECT o_orderkey, 1, o_orderkey, o_orderstatus FROM orders""")
+def export_note_rows(spark, sf):
+    """Annotation entries of export documents."""
+    return annotations.export_annotations(_exports(spark, sf))
+
+
 @query(f"""{_FOLDER_SQL}
 SELECT conv_id AS sample_id, folder, name FROM files f WHERE folder = 'pos_images'
   OR NOT EXISTS (SELECT 1 FROM files g WHERE g.conv_id = f.conv_id AND g.folder = 'pos_images')""")
@@ -518,6 +562,54 @@ def image_texts(spark, sf):
     return found.select("split", "image_id", "text_id", F.col("pos").cast("bigint").alias("pos"), "text")
 
 
+@query(f"""WITH {b.IMAGES_SQL}, lines AS (
+  SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS pos FROM lineitem)
+SELECT 'train' AS split, l_partkey AS image_id, l_orderkey AS text_id, pos, o_orderpriority AS text
+FROM lines JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey""")
+def image_texts_repeated(spark, sf):
+    """A caption that cites an image twice is listed twice."""
+    stock = b.part_images(spark, sf).withColumn("split", F.lit("train"))
+    found = relations.image_texts(b.citing_lines(spark, sf), stock)
+    return found.select("split", "image_id", "text_id", F.col("pos").cast("bigint").alias("pos"), "text")
+
+
+_CITED = "(SELECT max(text_id) FROM texts WHERE split = 'train' AND len(image_ids) > 0)"
+
+
+@query(f"""WITH {b.TEXTS_SQL}, {b.SHARED_IMAGES_SQL}
+SELECT split, text_id, pos, image_id, 'data:image/jpeg;base64,' || image_b64 AS src
+FROM links JOIN images USING (split, image_id) WHERE split = 'train' AND text_id = {_CITED}""")
+def text_lookup(spark, sf):
+    """Images of one caption: the last train caption that cites any."""
+    every = b.stored_texts(spark, sf)
+    last = every.where((F.col("split") == "train") & (F.size("image_ids") > 0)).agg(F.max("text_id")).first()[0]
+    found = relations.get_text(every, b.shared_images(spark, sf), "train", last)
+    return found.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query(f"""WITH {b.TEXTS_SQL}
+SELECT split, image_id, text_id, pos, text FROM links JOIN texts USING (split, text_id)
+WHERE split = 'train' AND image_id = (SELECT min(image_id) FROM links WHERE split = 'train')""")
+def image_lookup(spark, sf):
+    """Captions of one image, found through the stored links."""
+    every = b.stored_texts(spark, sf)
+    edges = staged(relations.link_table(every))
+    least = edges.where("split = 'train'").agg(F.min("image_id")).first()[0]
+    found = relations.get_image(every, b.shared_images(spark, sf), "train", least, edges)
+    return found.select("split", "image_id", "text_id", F.col("pos").cast("bigint").alias("pos"), "text")
+
+
+@query("""WITH o AS (SELECT o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT'),
+mid AS (SELECT (min(id) + max(id)) // 2 AS m FROM o)
+SELECT (SELECT max(id) FROM o, mid WHERE id < m) AS previous_id, (SELECT min(id) FROM o, mid WHERE id > m) AS next_id""")
+def neighbour_lookup(spark, sf):
+    """Ids on either side of the middle of the key range."""
+    urgent = b.table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("id"))
+    middle = urgent.agg(F.expr("(min(id) + max(id)) div 2")).first()[0]
+    back, on = (ids.neighbour_of(urgent, "id", middle, step) for step in (-1, 1))
+    return back.select(F.col("id").alias("previous_id"), on.scalar().alias("next_id"))
+
+
 @query(f"""WITH {b.TEXTS_SQL}, {b.IMAGES_SQL}
 SELECT split, 'texts' AS kind, count(DISTINCT text_id) AS ids, min(text_id) AS first_id, max(text_id) AS last_id FROM texts GROUP BY split
 UNION ALL SELECT split, 'images', count(DISTINCT image_id), min(image_id), max(image_id) FROM images GROUP BY split""")
@@ -823,3 +915,26 @@ def image_ids_from_file(spark, sf):
         sinks.write_images(images.where(F.col("split") == split), path)
         parts.append(image_files.read_image_ids(spark, path, split))
     return parts[0].unionByName(parts[1])
+
+
+def _written(spark: SparkSession, sf: str, splits: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Write the given splits as a dataset, read whatever splits there are."""
+    folder = scratch_path(spark, "dataset")
+    sinks.write_dataset(b.stored_texts(spark, sf), b.part_images(spark, sf), folder, splits)
+    return datasets.read_dataset(spark, folder)
+
+
+@query(f"""WITH {b.TEXTS_SQL}
+SELECT split, row_number() OVER (PARTITION BY split ORDER BY ord) - 1 AS ord, text_id, text, {JOINED} FROM texts""")
+def dataset_texts(spark, sf):
+    """Captions of both splits of a stored dataset."""
+    texts, _ = _written(spark, sf, ("train", "valid"))
+    return texts.select("split", "ord", "text_id", "text", joined("image_ids"))
+
+
+@query(f"""WITH {b.IMAGES_SQL}
+SELECT split, row_number() OVER (ORDER BY ord) - 1 AS ord, image_id, image_b64 FROM images WHERE split = 'valid'""")
+def dataset_optional_split(spark, sf):
+    """Images of a stored dataset that has no train split."""
+    _, images = _written(spark, sf, ("valid",))
+    return images.select("split", "ord", "image_id", "image_b64")

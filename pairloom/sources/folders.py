@@ -31,25 +31,27 @@ def read_queries(spark: SparkSession, root: str) -> DataFrame:
     return _numeric(rows).select("sample_id", "sample", "query")
 
 
+def folder_files(files: DataFrame, root: str) -> DataFrame:
+    """Supported images right below ``root/<digits>/<folder>`` of ``files`` (path, ..).
+
+    Adds ``sample_id, sample, folder, name``; files at any other depth are left out.
+    """
+    inside = F.split(F.substring(F.col("path"), len(root) + 2, 1 << 30), "/")
+    step = lambda n: F.get(inside, F.lit(n))
+    rows = files.where(
+        F.col("path").startswith(f"{root}/") & (F.size(inside) == 3) & step(1).isin(*FOLDERS) & is_image_path(F.col("path"))
+    ).select(step(0).alias("sample"), step(1).alias("folder"), step(2).alias("name"), *files.columns)
+    return _numeric(rows).select("sample_id", "sample", "folder", "name", *files.columns)
+
+
 def read_folder_files(spark: SparkSession, root: str, *, content: bool = False) -> DataFrame:
-    """``sample_id, sample, folder, name, path`` (and bytes) of supported images."""
-    found = [f for f in (f"{root}/*/{name}/*" for name in FOLDERS) if paths.matches(spark, f)]
-    extra = ", content binary" if content else ""
-    if not found:
-        return spark.createDataFrame([], f"sample_id bigint, sample string, folder string, name string, path string{extra}")
-    # deeper files are not read: the globs stop at this level
-    files = spark.read.format("binaryFile").load(found).where(is_image_path(F.col("path")))
-    step = lambda n: F.element_at(F.split("path", "/"), -n)
-    rows = files.select(
-        step(3).alias("sample"),
-        step(2).alias("folder"),
-        step(1).alias("name"),
-        paths.plain(F.col("path")).alias("path"),
-        *(["content"] if content else []),
-    )
-    return _numeric(rows).select(
-        "sample_id", "sample", "folder", "name", "path", *(["content"] if content else [])
-    )
+    """``sample_id, sample, folder, name, path`` (and bytes) of supported images.
+
+    Spark lists the files; bytes are read only where the path passes.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    files = files.select(paths.plain(F.col("path")).alias("path"), *(["content"] if content else []))
+    return folder_files(files, paths.qualified(spark, root))
 
 
 def read_samples(spark: SparkSession, root: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.images import parse_data_url
 from pairloom.operators import append, expand, relations
-from pairloom.operators.build import attach_payload, ranked_bucket
+from pairloom.operators.build import attach_payload
 from pairloom.operators.filtering import links
 from pairloom.operators.ids import dense_id
 from pairloom.operators.merge import merge_datasets
@@ -25,7 +25,7 @@ def test_equal_keys_never_split(spark, n):
 def test_ranks_keep_their_order(spark):
     ranks = [0, 1, 131071, 131072, 262144, 2**31 - 1]
     rows = spark.createDataFrame([(r, p) for r in ranks for p in (0, 5)], "source_ord long, pos long")
-    got = dense_id(rows, "id", ["source_ord", "pos"], bucket=ranked_bucket("source_ord", "pos")).orderBy("id").collect()
+    got = dense_id(rows, "id", ["source_ord", "pos"]).orderBy("id").collect()
     assert [(r.source_ord, r.pos) for r in got] == [(r, p) for r in ranks for p in (0, 5)]
 
 

@@ -70,8 +70,7 @@ def test_append_with_a_hot_row(spark):
 
 
 @pytest.mark.parametrize("order", [["n"], ["k", "s"], ["s", "k"]])
-def test_dense_id_equals_row_number(spark, order, monkeypatch):
-    monkeypatch.setattr(ids, "integer_bucket", lambda key: F.floor(F.col(key) / 16).cast("bigint"))
+def test_dense_id_equals_row_number(spark, order):
     # a third of the rows share the leading key
     df = spark.range(1000).select(
         (F.col("id") * 37 % 1000).alias("n"),
@@ -82,10 +81,18 @@ def test_dense_id_equals_row_number(spark, order, monkeypatch):
     assert got.count() == 1000 and got.where("dense <> want").count() == 0
 
 
-def test_sampled_buckets_split_a_hot_leading_key(spark):
+def test_ranges_split_a_hot_leading_key(spark):
     df = spark.range(20000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), "id")
-    sizes = df.groupBy(ids.sampled_bucket(df, ["k", "id"]).alias("b")).count()
-    assert sizes.count() > 16 and sizes.agg(F.max("count")).first()[0] < 20000 // 8
+    sizes = ids._ranged(df, ["k", "id"]).groupBy("__part").count()
+    assert sizes.count() == 8 and sizes.agg(F.max("count")).first()[0] < 20000 // 4
+
+
+def test_sparse_ids_are_numbered_by_partition(spark):
+    df = spark.range(500).select((F.col("id") * 2**40).alias("n"))
+    assert ids._ranged(df, ["n"]).select("__part").distinct().count() <= 8
+    assert ids.dense_id(df, "id", ["n"]).where(F.col("id") * 2**40 != F.col("n")).count() == 0
+    near = ids.neighbours(df, "n").where((F.col("next_id") - F.col("n") != 2**40) | (F.col("n") - F.col("previous_id") != 2**40))
+    assert sorted(r.n for r in near.collect()) == [0, 499 * 2**40]
 
 
 def test_in_order_gives_ordered_even_parts(spark):
@@ -98,8 +105,7 @@ def test_in_order_gives_ordered_even_parts(spark):
     assert max(r.n for r in parts) < 2500
 
 
-def test_neighbours_cross_buckets(spark, monkeypatch):
-    monkeypatch.setattr(ids, "integer_bucket", lambda key: F.floor(F.col(key) / 4).cast("bigint"))
+def test_neighbours_cross_partitions(spark):
     df = spark.range(0, 100, 3).select("id")
     got = {r.id: (r.previous_id, r.next_id) for r in ids.neighbours(df, "id").collect()}
     assert got == {n: (max(n - 3, 0), min(n + 3, 99)) for n in range(0, 100, 3)}
