@@ -46,6 +46,8 @@ _RANGES = 16384
 _SLICE = 2 * SLICE_BYTES
 #: Words whose ids a worker keeps for the next batch (a cache, not a limit): about 80 MB.
 _KEPT = 1_000_000
+#: Words that are encoded at once: the tokenizer's own objects are far larger than the ids.
+_WORDS = 1 << 13
 #: ASCII signs that the tokenizer always parts from letters (not the apostrophe).
 _SIGNS = '.,;:!?$%&*#|()"'
 
@@ -72,11 +74,13 @@ class Encoder:
         """A store of ids, its bounds, and the place of each of ``words`` (distinct) in it."""
         place = pc.index_in(words, self.words)
         fresh = words.filter(pc.is_null(place))
-        found = self.tokenizer.encode_batch(fresh.to_pylist(), add_special_tokens=False)
-        lists = [e.ids for e in found]
-        more = np.fromiter(chain.from_iterable(lists), self.kind)
-        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists))) + self.bounds[-1]
-        ids, bounds = np.concatenate([self.ids, more]), np.concatenate([self.bounds, ends])
+        more, sizes = [self.ids], [self.bounds[-1:]]
+        for start in range(0, len(fresh), _WORDS):
+            found = self.tokenizer.encode_batch(fresh.slice(start, _WORDS).to_pylist(), add_special_tokens=False)
+            lists = [e.ids for e in found]
+            more.append(np.fromiter(chain.from_iterable(lists), self.kind))
+            sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        ids, bounds = np.concatenate(more), np.concatenate([self.bounds[:-1], np.cumsum(np.concatenate(sizes))])
         at = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
         at[at < 0] = len(self.words) + np.arange(len(fresh))
         if len(self.words) + len(fresh) <= _KEPT:
@@ -93,12 +97,14 @@ class Encoder:
         tail = pc.if_else(parts, pc.replace_substring_regex(low, r"^\p{L}+", ""), "")
         coded = pa.concat_arrays([stem, tail]).dictionary_encode()
         ids, bounds, at = self._stored(coded.dictionary)
-        at = at[coded.indices.to_numpy(zero_copy_only=False)].reshape(2, -1)
+        # a batch of strings is below 2 GB, so 32 bits hold all places and sums
+        at = at[coded.indices.to_numpy(zero_copy_only=False)].reshape(2, -1).astype(np.int32)
         # every word is a stem and a tail; every text has one more word, the end token
         ids = np.append(ids, self.kind(self.end))
-        starts, sizes = np.append(bounds[:-1], len(ids) - 1), np.append(np.diff(bounds), 1)
+        starts = np.append(bounds[:-1], len(ids) - 1).astype(np.int32)
+        sizes = np.append(np.diff(bounds), 1).astype(np.int32)
         n = len(words.offsets) - 1
-        runs = np.full((len(words.codes) + n, 2), at[1, 0] if at.size else 0)
+        runs = np.full((len(words.codes) + n, 2), at[1, 0] if at.size else 0, np.int32)
         last = words.offsets[1:] + np.arange(n)
         inner = np.ones(len(runs), bool)
         inner[last] = False
@@ -107,8 +113,9 @@ class Encoder:
         lengths = sizes[runs]
         lengths[last, 1] = 0
         runs, lengths = runs.ravel(), lengths.ravel()
-        ends = np.cumsum(lengths)
-        index = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[runs] - (ends - lengths), lengths)
+        ends = np.cumsum(lengths, dtype=np.int32)
+        index = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+        index += np.repeat(starts[runs] - (ends - lengths), lengths)
         return ids[index], np.append(0, ends[2 * last + 1]).astype(np.int64)
 
 
