@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import compare, duck
-from pairloom.llm import charlm, langid, licenses, mixing, packing, perplexity, queries, simhash, topk, urlrules, warc, wordpiece
+from pairloom.llm import charlm, langid, licenses, minhash, mixing, packing, perplexity, queries, simhash, topk, urlrules, warc, wordpiece
 from pairloom.llm.common import Words
 from pairloom.llm.graphs import components
 from pairloom.session import scratch_path
@@ -395,6 +395,63 @@ def test_warc_empty(spark):
     assert warc.read(spark, root).count() == 0
 
 
+# the stage of near duplicates
+
+
+def word_sets(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+
+def groups_of(rows):
+    """The smallest id of each (id, text)'s group, from all pairs."""
+    sets = {i: word_sets(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_near_duplicates_stage_finds_planted_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)  # 4: components are cut into many cells
+    rng = random.Random(9)
+    texts = ["", None, " \n", "one two", "One  two", "one three"]
+    for _ in range(12):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([8, 60, 200]))]
+        for edits in (0, 0, 1, 1, 2, 3, 4, 6):
+            copy = list(words)
+            for _ in range(edits):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(3000)}"
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    want = groups_of(list(enumerate(texts)))
+    assert 20 < len(set(want.values())) < len(texts) - 20
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], DOCS)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(set(want.values()))
+    assert all(r.text == texts[r.doc_id] for r in got)
+
+
+def test_band_keys_find_pairs_at_the_limit():
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(500):
+        h = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
+        sets += [h[:90], np.concatenate([h[:80], h[90:]])]  # 80 of 100
+    keys = minhash.band_keys(sets)
+    assert (keys[0::2] == keys[1::2]).any(axis=1).all()
+
+
 # the pipeline
 
 
