@@ -4,8 +4,9 @@ The language models are modified Kneser-Ney models of characters, counted over
 all texts (see ``charlm``), one per value of the language column.  A text whose
 cross-entropy per sign leaves the band of its language is rejected.  The band is
 set from all texts that pass the base rules: the median, and on either side a
-multiple of the distance to an outer percentile, WIDTH_FLOOR nats at least, so
-that a language made of copies still has a band of some width.
+multiple of the distance to an outer percentile.  A side whose percentile is the
+median takes the other side's distance.  Only a language whose both percentiles
+are the median (one text, or copies) has WIDTH_FLOOR on either side.
 
 Special rows.  A NULL text has no word, so it fails the base rule and is not
 kept.  A NULL language is a language of its own.  Repeated rows get the same
@@ -29,8 +30,10 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Outer percentiles, and how many of their distances to the median make the band.
 LOWER_PERCENTILE, UPPER_PERCENTILE, DISTANCES = 0.05, 0.95, 4.0
-#: Least half-width of a band, in nats per sign.
+#: Half-width of the band of a language without any spread, in nats per sign.
 WIDTH_FLOOR = 0.5
+#: Distances up to this are sums in another order, not spread.
+ROUNDING = 1e-6
 
 _STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 _NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "cross_entropy"]
@@ -127,17 +130,18 @@ def bands(measured: DataFrame) -> DataFrame:
     """(__lang, lower, upper): the band of each language, from texts that pass the base rules."""
     cuts = F.percentile_approx("cross_entropy", [LOWER_PERCENTILE, 0.5, UPPER_PERCENTILE], 1000)
     found = measured.where(~F.col("base_failed") & F.col("cross_entropy").isNotNull()).groupBy("__lang").agg(cuts.alias("q"))
-    width = [F.greatest(DISTANCES * (F.col("q")[k + 1] - F.col("q")[k]), F.lit(WIDTH_FLOOR)) for k in (0, 1)]
+    below, above = (F.when(F.col("q")[k + 1] - F.col("q")[k] > ROUNDING, F.col("q")[k + 1] - F.col("q")[k]) for k in (0, 1))
+    width = [F.coalesce(DISTANCES * own, DISTANCES * other, F.lit(WIDTH_FLOOR)) for own, other in ((below, above), (above, below))]
     return found.select("__lang", (F.col("q")[1] - width[0]).alias("lower"), (F.col("q")[1] + width[1]).alias("upper"))
 
 
 def judge(docs: DataFrame, keep: list[Column], text: str = "text", lang: str = "lang") -> DataFrame:
-    """``keep`` columns, the statistics, ``perplexity``, ``base_failed`` and ``kept``."""
+    """``keep`` columns, the statistics, ``perplexity``, ``base_failed``, ``band_failed`` and ``kept``."""
     measured = staged_batches(measure(docs, train(docs, text, lang), keep, text, lang).withColumn("base_failed", base_failed()))
     # a row per language, MAX_GROUPS at most
     banded = measured.join(F.broadcast(bands(measured)), "__lang", "left")
     inside = F.coalesce(F.col("cross_entropy").between(F.col("lower"), F.col("upper")), F.lit(False))
     return banded.select(
         *measured.columns[: measured.columns.index("__lang")], *_NAMES[:-1], "base_failed",
-        (~F.col("base_failed") & inside).alias("kept"), F.exp("cross_entropy").alias("perplexity"), "lower", "upper",
+        (~F.col("base_failed") & ~inside).alias("band_failed"), (~F.col("base_failed") & inside).alias("kept"), F.exp("cross_entropy").alias("perplexity"), "lower", "upper",
     )

@@ -71,7 +71,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = perplexity.judge(read(spark, sf_dir, "documents"), [F.col("doc_id")])
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "perplexity"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "band_failed", "kept",
+        "perplexity",
     )
 
 

@@ -179,6 +179,23 @@ def test_perplexity_rejects_noise_and_keeps_prose(spark):
     assert [i for i, kept in got.items() if not kept] == [99]
 
 
+def test_band_rejects_a_foreign_text(spark):
+    rng = random.Random(6)
+    english = "the river runs under old stone bridges near quiet farms while winter winds carry distant voices over green fields".split()
+    foreign = "przed wschodem rybacy wypychali swoje szerokie czarne czolna poza piaszczyste lawice".split()
+    some = lambda words: " ".join(rng.choice(words) for _ in range(120))
+    rows = [(i, some(english), "en", "a", 0) for i in range(300)]
+    rows += [(900 + i, some(foreign), "en", "a", 0) for i in range(3)]
+    rows += [(950, some(english), "xx", "a", 0)]  # a language of one text
+    rows += [(960 + i, rows[0][1], "yy", "a", 0) for i in range(4)]  # and one of copies
+    got = perplexity.judge(spark.createDataFrame(rows, DOCS), [F.col("doc_id")]).collect()
+    assert not any(r.base_failed for r in got)
+    assert sorted(r.doc_id for r in got if r.band_failed) == [900, 901, 902]
+    assert all(r.kept != r.band_failed for r in got)
+    one = next(r for r in got if r.doc_id == 1)
+    assert one.upper - one.lower < 2 * perplexity.WIDTH_FLOOR
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_repeat_words(seed):
     rng = random.Random(seed)
