@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import langid, licenses, mixing, packing, perplexity, simhash, topk, urlrules, warc, wordpiece
+from pairloom.llm import langid, licenses, linededup, mixing, negatives, packing, perplexity, simhash, spelling, topk, urlrules, warc, wordpiece
 from pairloom.session import scratch_path
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -82,6 +82,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), topk.whole(F.col("embedding"), 256).alias("v"))
+    return negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup(read(spark, sf_dir, "documents"), [F.col("doc_id")])
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -146,6 +161,85 @@ SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
 FROM first
 """
 
+_SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (  -- the table of the reflected polynomial
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT range AS i FROM range(256))
+), runs AS (
+  SELECT doc_id, run, count(*) AS n, doc_id || ':' || run AS named FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run
+), signs AS (
+  SELECT run, n, list_transform(range(1, length(named) + 1), lambda i: unicode(substr(named, i, 1))::BIGINT) AS s FROM runs
+), hashed AS (
+  SELECT run, n, xor(list_reduce([4294967295] || flatten(list_transform(s, lambda c: CASE WHEN c < 128 THEN [c] ELSE [195, c - 64] END)),
+                                 lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM signs, crc
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, n
+    FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1))::INTEGER AS i FROM words)
+), longer AS (
+  SELECT DISTINCT w.word AS short, w.n AS short_n, c.word AS long, c.n AS long_n FROM cuts c JOIN words w ON w.word = c.rest
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT short, long, long_n FROM longer
+  UNION ALL SELECT long, short, short_n FROM longer
+), best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), chain AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL SELECT c.word, c.next, f.form FROM chain c JOIN formed f ON f.word = c.next
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL
+"""
+
+_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank,
+       s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+WHERE 100 * s.score BETWEEN 50 * positive_score AND 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+_LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.*, coalesce(doc_id <> keeper, false) AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_exact_topk": op2_exact_topk,
@@ -157,7 +251,17 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_perplexity": op9_perplexity,
     "op10_warc": op10_warc,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_line_dedup": op13_line_dedup,
     "pipeline": pipeline,
 }
 
-SQL = {"op2_exact_topk": _TOPK_SQL, "op6_mixing": _MIXING_SQL, "op10_warc": _WARC_SQL}
+SQL = {
+    "op2_exact_topk": _TOPK_SQL,
+    "op6_mixing": _MIXING_SQL,
+    "op10_warc": _WARC_SQL,
+    "op11_spelling_variants": _SPELLING_SQL,
+    "op12_hard_negatives": _NEGATIVES_SQL,
+    "op13_line_dedup": _LINES_SQL,
+}
