@@ -1,56 +1,67 @@
 """Character language models with Kneser-Ney smoothing, one per group of texts.
 
-A word is scored by itself: its characters, then an end sign, each after the
-four signs before it (start signs in front).  Spark counts the five-sign runs of
-all texts, and the shorter ones by the number of different signs before them
-(continuation counts).  A model is one sorted array of run slots and, beside it,
-arrays with a row per slot: for each group the interpolated log probability of
-the run's last sign and the log weight left for shorter runs.
-
-Runs fall into ``2 ** bits`` slots by a hash; runs that share a slot share their
-counts.  Only slots that occur have a row, so a model grows with the different
-runs of the texts; ``slot_bits`` bounds what it can grow to.
+A word is scored by itself: its signs (characters, then an end sign), each after
+the four signs before it, with four start signs in front of the word.  Spark
+counts the five-sign runs of all texts; a shorter run counts the different signs
+before it (continuation counts), runs that begin with start signs included.  Then
+
+    p_n(w | c) = (N(c w) - D(N(c w))) / N(c) + rest(c) p_{n-1}(w | c without its first sign)
+
+for n = 5 .. 1, where N(c) sums over the signs after c, rest(c) is the discounts
+of those runs over N(c), and p_0 is 1 / V, V being the different signs of all
+groups and one more for a sign that no group has.  Counts, discounts, contexts
+and probabilities are group-bys, windows and joins; a context is keyed by its own
+signs, so contexts of start signs are contexts like any other.
+
+A model is sorted hash arrays: each run with log p, each context with log rest,
+under its whole key (a 64-bit mix of the key and the part of the key from which
+the rest can be told), so different runs never share an entry.  Each group has
+arrays of its own, cut by the leading bits of the mix into parts of PART_ROWS
+entries on average and written by Spark to the shared folder.  Nothing but a row
+per group comes to the driver, and the number of runs and groups has no limit: a
+task keeps CACHE_BYTES of parts and reads others as it needs them.
 """
 
 from __future__ import annotations
 
+import math
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Words, slices, staged_batches
+from pairloom.llm.common import Words, mix64, slices, staged_batches
+from pairloom.session import scratch_path, staged
 
 ORDER = 5
-#: Pairs of slot and group that a model has at most, as a power of two.  A pair takes
-#: 23 bytes on its way to the driver (770 MB, below Spark's own limit) and 8 in a task.
-PAIR_BITS = 25
-#: Bits of a slot at most.
-MAX_BITS = 23
-#: Groups (languages) a model may have; more are an error, as each widens the arrays.
-MAX_GROUPS = 256
+#: Entries of a part, on average (20 bytes each).
+PART_ROWS = 1 << 20
+#: Bytes of parts that a Python worker keeps.
+CACHE_BYTES = 192 << 20
+#: Least discount, so that every context leaves some weight to shorter ones.
+LEAST_DISCOUNT = 0.1
 
 #: Words that are scored at once.
 _WORDS = 1 << 15
 
 _SIGN = 21  # bits of a sign: a code point, 0 before the word, 1 after it
 _ONE, _TWO = (1 << _SIGN) - 1, (1 << 2 * _SIGN) - 1
-# fixed primes and factors of the slot hash; products stay below 2 ** 62
-_P, _Q, _A, _B, _C = 2147483647, 2147483629, 1103515245, 715827883, 40503
+_CONTEXT = 8  # added to a context's number of signs in its key
+_TURN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def slot_bits(groups: int) -> int:
-    """Bits of the slots of a model of so many groups, whatever the size of the texts."""
-    return min(PAIR_BITS - (groups - 1).bit_length(), MAX_BITS)
-
-
-def _slot(n, hi, lo, bits: int):
-    """The slot of a run: integers, numpy arrays or columns."""
-    return (((hi % _P) * _A + (lo % _P) * _B + n * _C) % _Q) % (1 << bits)
+def _key(kind: int, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash and the rest of the key of runs of one kind; together they tell ``hi`` and ``lo``."""
+    rest = (hi.astype(np.uint64) << np.uint64(4)) | np.uint64(kind)
+    return mix64(lo.astype(np.uint64)) ^ mix64(rest + _TURN), rest
 
 
 def _runs(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,10 +108,19 @@ def _counted(words: Words, groups: list, tokens) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["grp", "hi", "lo", "c"])
 
 
+def _distinct(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the different runs, and for each run the place of its like among those."""
+    codes, names = pd.factorize(_key(ORDER, hi, lo)[0])
+    first = np.empty(len(names), np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    if (hi[first][codes] != hi).any():  # two runs of one hash
+        _, first, codes = np.unique(np.stack([hi, lo], axis=1), axis=0, return_index=True, return_inverse=True)
+    return first, codes.ravel()
+
+
 def _summed(hi: np.ndarray, lo: np.ndarray, times: list[np.ndarray]) -> list[np.ndarray]:
     """Each different run once, with the sums of its counts."""
-    mixed = hi.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ lo.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    _, first, same = np.unique(mixed, return_index=True, return_inverse=True)
+    first, same = _distinct(hi, lo)
     return [hi[first], lo[first], *(np.bincount(same, weights=n, minlength=len(first)).astype(np.int64) for n in times)]
 
 
@@ -110,49 +130,125 @@ def plain(words: pa.Array) -> pa.Array:
 
 
 def letters(words: pa.Array) -> pa.Array:
-    """Only the letters of words, in lower case; may leave nothing."""
-    return pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{M}]+", "")
+    """Only the letters of words and the marks on them, in lower case; words without a letter are empty."""
+    found = pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{M}]+", "")
+    return pc.if_else(pc.match_substring_regex(found, r"\p{L}"), found, "")
+
+
+# --- scoring -----------------------------------------------------------------
+
+
+class _Part:
+    """Entries in order of their hash."""
+
+    def __init__(self, row: dict):
+        self.hash, self.rest = np.frombuffer(row["hash"], np.uint64), np.frombuffer(row["rest"], np.uint64)
+        self.value = np.frombuffer(row["value"], np.float32)
+        self.nbytes = self.hash.nbytes + self.rest.nbytes + self.value.nbytes
+
+    def find(self, hashes: np.ndarray, rests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entry of each key, and whether there is one."""
+        row = np.searchsorted(self.hash, hashes)
+        top = len(self.hash) - 1
+        row = np.minimum(row, top)
+        same = self.hash[row] == hashes
+        found = same & (self.rest[row] == rests)
+        left = np.flatnonzero(same & ~found)
+        while len(left):  # keys of one hash stand next to each other
+            row[left] = np.minimum(row[left] + 1, top)
+            same = self.hash[row[left]] == hashes[left]
+            found[left] = same & (self.rest[row[left]] == rests[left])
+            left = left[same & ~found[left] & (row[left] < top)]
+        return row, found
+
+
+#: Parts that this Python worker has read.
+_loaded: OrderedDict[tuple, _Part | None] = OrderedDict()
+
+
+def _load(folder: str, group: int, part: int) -> _Part | None:
+    key = (folder, group, part)
+    if key in _loaded:
+        _loaded.move_to_end(key)
+        return _loaded[key]
+    files, base = fs.FileSystem.from_uri(folder)
+    found = files.get_file_info(fs.FileSelector(f"{base}/grp={group}/part={part}", allow_not_found=True))
+    tables = [pq.ParquetFile(files.open_input_file(f.path)).read() for f in found if f.path.endswith(".parquet")]
+    _loaded[key] = _Part(pa.concat_tables(tables).slice(0, 1).to_pylist()[0]) if tables else None
+    while len(_loaded) > 1 and sum(p.nbytes for p in _loaded.values() if p) > CACHE_BYTES:
+        _loaded.popitem(last=False)
+    return _loaded[key]
+
+
+class Signs:
+    """The different runs of some words, and where each word has which."""
+
+    def __init__(self, words: pa.Array):
+        hi, lo, counts = _runs(words)
+        first, self.codes = _distinct(hi, lo)
+        self.hi, self.lo = hi[first], lo[first]
+        self.starts = np.cumsum(counts) - counts
+        self.counts = np.where(counts == 1, 0, counts)  # no sign but the end: not a word
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sum over the runs of each word."""
+        if not len(self.starts):
+            return np.zeros(0)
+        return np.where(self.counts == 0, 0.0, np.add.reduceat(values[self.codes], self.starts))
+
+
+def signs_of(words: pa.Array) -> list[Signs]:
+    return [Signs(words.slice(at, _WORDS)) for at in range(0, len(words), _WORDS)]
+
+
+def lengths(signs: list[Signs]) -> np.ndarray:
+    """Number of signs of each word, the end sign included; 0 for an empty word."""
+    return np.concatenate([np.zeros(0, np.int64), *(s.counts for s in signs)])
 
 
 @dataclass(frozen=True)
 class CharModel:
-    """What a task needs to score words."""
+    """Where the arrays of each group are; a row per group."""
 
     groups: list[str]
-    slots: np.ndarray  # sorted
-    log_p: np.ndarray  # slot x group
-    log_rest: np.ndarray  # slot x group
-    log_unseen: np.ndarray  # group: a sign that no run has
-    bits: int
-
-    def _find(self, n: int, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        slot = _slot(n, hi, lo, self.bits)
-        row = np.minimum(np.searchsorted(self.slots, slot), len(self.slots) - 1)
-        return row, self.slots[row] == slot
-
-    def score(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Per word: log probability in each group (word x group), and its number of signs."""
-        parts = [self._score(words.slice(at, _WORDS)) for at in range(0, max(len(words), 1), _WORDS)]
-        return tuple(np.concatenate(p) for p in zip(*parts))
-
-    def _score(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        hi, lo, counts = _runs(words)
-        out = np.zeros((len(lo), len(self.groups)), np.float32)
-        left = np.arange(len(lo))
+    folder: str
+    bits: list[int]  # that name a part of each group
+    log_unseen: list[float]  # a sign that no run of the group has
+
+    def _find(self, group: int, kind: int, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of each key, and whether there is one."""
+        hashes, rests = _key(kind, hi, lo)
+        out, found = np.zeros(len(hi), np.float32), np.zeros(len(hi), bool)
+        bits = self.bits[group]
+        if not bits:
+            parts = [(0, slice(None))]
+        else:
+            number = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+            order = np.argsort(number, kind="stable")
+            names, starts = np.unique(number[order], return_index=True)
+            parts = zip(names.tolist(), np.split(order, starts[1:])) if len(names) else []
+        for name, at in parts:
+            part = _load(self.folder, group, name)
+            if part is not None:
+                row, found[at] = part.find(hashes[at], rests[at])
+                out[at] = part.value[row]
+        return out, found
+
+    def log_p(self, signs: list[Signs], group: int) -> np.ndarray:
+        """Log probability of each word in a group."""
+        return np.concatenate([np.zeros(0), *(s.sums(self._log_p(s.hi, s.lo, group)) for s in signs)])
+
+    def _log_p(self, hi: np.ndarray, lo: np.ndarray, group: int) -> np.ndarray:
+        out, left = np.zeros(len(lo)), np.arange(len(lo))
         for n in range(ORDER, 0, -1):
-            h, l = _cut(n, hi[left], lo[left])
-            row, found = self._find(n, h, l)
-            out[left[found]] += self.log_p[row[found]]
+            value, found = self._find(group, n, *_cut(n, hi[left], lo[left]))
+            out[left[found]] += value[found]
             left = left[~found]
-            if n > 1 and len(left):  # the weight that the run before leaves for shorter ones
-                h, l = _before(n, hi[left], lo[left])
-                row, found = self._find(n - 1, h, l)
-                out[left[found]] += self.log_rest[row[found]]
-        out[left] += self.log_unseen
-        starts = np.cumsum(counts) - counts
-        sums = np.add.reduceat(out, starts, axis=0, dtype=np.float64) if len(counts) else np.zeros((0, len(self.groups)))
-        sums[counts == 1] = 0  # no sign but the end: not a word
-        return sums, np.where(counts == 1, 0, counts)
+            if n > 1 and len(left):  # the weight that the context leaves for shorter runs
+                value, found = self._find(group, _CONTEXT + n - 1, *_before(n, hi[left], lo[left]))
+                out[left[found]] += value[found]
+        out[left] += self.log_unseen[group]
+        return out
 
 
 def _cut(n, hi, lo):
@@ -166,9 +262,12 @@ def _cut(n, hi, lo):
 
 
 def _before(n, hi, lo):
-    """The run of ``n`` signs without its last one."""
-    h, l = hi >> _SIGN, ((hi & _ONE) << 2 * _SIGN) | (lo >> _SIGN)
-    return _cut(n - 1, h, l)
+    """The run of ``n`` signs that ends here, without its last one."""
+    h, l = _cut(n, hi, lo)
+    return h >> _SIGN, ((h & _ONE) << 2 * _SIGN) | (l >> _SIGN)
+
+
+# --- fitting -----------------------------------------------------------------
 
 
 def count_runs(texts: DataFrame, tokens) -> DataFrame:
@@ -183,49 +282,73 @@ def count_runs(texts: DataFrame, tokens) -> DataFrame:
     return runs.groupBy("grp", "hi", "lo").agg(F.sum("c").alias("c"))
 
 
-def fit(texts: DataFrame, tokens, modified: bool, bits: int | None = None) -> CharModel | None:
-    """A model of ``texts`` (grp string not NULL, text string); None if they hold no word.
+def discounts(kinds: list[int], modified: bool) -> list[float]:
+    """Discounts for counts 1, 2 and 3 or more; ``kinds`` are the runs with counts 1, 2, 3 and 4.
+
+    A number of runs that is none counts as one.
+    """
+    n1, n2, n3, n4 = (max(k, 1) for k in kinds)
+    y = n1 / (n1 + 2.0 * n2)
+    if not modified:
+        return [max(y, LEAST_DISCOUNT)] * 3
+    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+    return [min(max(d, LEAST_DISCOUNT), most) for d, most in zip(found, (1.0, 2.0, 3.0))]
+
+
+def probabilities(texts: DataFrame, tokens, modified: bool) -> tuple[DataFrame, DataFrame, list, int]:
+    """Runs (grp, n, hi, lo, p), contexts (grp, n, hi, lo, rest), a row (grp, name, runs, unseen) per group, and V.
 
-    Every text counts.  Only slot rows come to the driver, ``2 ** bits`` per
-    group at most (``slot_bits`` if not given).
+    ``n`` is the number of signs; ``texts`` are (grp string not NULL, text).
     """
+    spark = texts.sparkSession
     full = staged_batches(count_runs(texts, tokens))
-    groups = sorted(r.grp for r in full.select("grp").distinct().limit(MAX_GROUPS + 1).collect())
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups of texts")
-    if not groups:
-        return None
-    bits = bits or slot_bits(len(groups))
-    parts, hi, lo = [full.select("grp", F.lit(5).alias("n"), "hi", "lo", "c")], F.col("hi"), F.col("lo")
-    level = full
-    for n in (4, 3, 2, 1):
+    names = sorted(r.grp for r in full.select("grp").distinct().collect())
+    if not names:
+        return full, full, [], 1
+    numbers = spark.createDataFrame(list(enumerate(names)), "g int, grp string")
+    # a row per group
+    level = full.join(F.broadcast(numbers), "grp").select(F.col("g").alias("grp"), "hi", "lo", "c")
+    hi, lo = F.col("hi"), F.col("lo")
+    runs = level.select("grp", F.lit(ORDER).alias("n"), "hi", "lo", "c")
+    for n in range(ORDER - 1, 0, -1):
         h, l = _columns(n, hi, lo)
         level = level.groupBy("grp", h.alias("hi"), l.alias("lo")).agg(F.count("*").alias("c"))
-        parts.append(level.select("grp", F.lit(n).alias("n"), "hi", "lo", "c"))
-    runs = parts[0]
-    for part in parts[1:]:
-        runs = runs.union(part)
+        runs = runs.union(level.select("grp", F.lit(n).alias("n"), "hi", "lo", "c"))
+    runs = staged(runs)
+    tally = runs.groupBy("grp", "n").agg(F.count("*").alias("runs"), *[F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)])
+    tally = tally.collect()  # ORDER rows per group
+    off = [(r.grp, r.n, *discounts([r.n1, r.n2, r.n3, r.n4], modified)) for r in tally]
+    off = spark.createDataFrame(off, "grp int, n int, d1 double, d2 double, d3 double")
+    taken = F.when(F.col("c") >= 3, F.col("d3")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d1"))
     before_hi = F.shiftright("hi", _SIGN)
     before_lo = F.shiftleft(hi.bitwiseAND(_ONE), 2 * _SIGN).bitwiseOR(F.shiftright("lo", _SIGN))
-    n = F.col("n").cast("long")
-    suffix = [_columns(k, hi, lo) for k in (1, 2, 3, 4)]
-    short_hi = F.when(n == 5, suffix[3][0]).otherwise(F.lit(0).cast("long"))
-    short_lo = F.when(n == 5, lo).when(n == 4, suffix[2][1]).when(n == 3, suffix[1][1]).otherwise(suffix[0][1])
-    number = F.array_position(F.array(*map(F.lit, groups)), F.col("grp")) - 1
-    rows = (
-        runs.select(
-            number.cast("short").alias("grp"),
-            F.col("n").cast("byte").alias("n"),
-            _slot(n, hi, lo, bits).cast("int").alias("slot"),
-            _slot(n - 1, before_hi, before_lo, bits).cast("int").alias("before"),
-            _slot(n - 1, short_hi, short_lo, bits).cast("int").alias("short"),
-            "c",
-        )
-        .groupBy("grp", "slot")
-        .agg(F.min("n").alias("n"), F.sum("c").alias("c"), F.min("before").alias("before"), F.min("short").alias("short"))
-        .toArrow()
+    context = Window.partitionBy("grp", "n", "before_hi", "before_lo")
+    weighed = staged(
+        runs.join(F.broadcast(off), ["grp", "n"])
+        .withColumns({"taken": taken, "before_hi": before_hi, "before_lo": before_lo})
+        .withColumns({"total": F.sum("c").over(context), "spare": F.sum("taken").over(context)})
+        .select(
+            "grp", "n", "hi", "lo", "before_hi", "before_lo", ((F.col("c") - F.col("taken")) / F.col("total")).alias("own"),
+            (F.col("spare") / F.col("total")).alias("rest"),
+        )
     )
-    return _arrays(rows, groups, modified, bits)
+    signs = runs.where("n = 1").select("lo").distinct().count() + 1
+    level = weighed.where("n = 1").select("grp", "n", "hi", "lo", (F.col("own") + F.col("rest") / signs).alias("p"))
+    every = level
+    for n in range(2, ORDER + 1):
+        h, l = _columns(n - 1, hi, lo)
+        mine = weighed.where(F.col("n") == n).withColumns({"short_hi": h, "short_lo": l})
+        shorter = level.select("grp", F.col("hi").alias("short_hi"), F.col("lo").alias("short_lo"), F.col("p").alias("short_p"))
+        joined = mine.join(shorter, ["grp", "short_hi", "short_lo"])
+        level = staged(joined.select("grp", "n", "hi", "lo", (F.col("own") + F.col("rest") * F.col("short_p")).alias("p")))
+        every = every.union(level)
+    contexts = weighed.where("n > 1").groupBy("grp", (F.col("n") - 1).alias("n"), F.col("before_hi").alias("hi"), F.col("before_lo").alias("lo"))
+    contexts = contexts.agg(F.first("rest").alias("rest"))
+    unseen = {r.grp: r.rest / signs for r in weighed.where("n = 1").groupBy("grp").agg(F.first("rest").alias("rest")).collect()}
+    size = dict.fromkeys(range(len(names)), 0)
+    for r in tally:
+        size[r.grp] += r.runs
+    return every, contexts, [(g, name, size[g], unseen[g]) for g, name in enumerate(names)], signs
 
 
 def _columns(n: int, hi: Column, lo: Column) -> tuple[Column, Column]:
@@ -235,49 +358,43 @@ def _columns(n: int, hi: Column, lo: Column) -> tuple[Column, Column]:
     return F.lit(0).cast("long"), lo.bitwiseAND(keep)
 
 
-def _arrays(rows: pa.Table, groups: list[str], modified: bool, bits: int) -> CharModel:
-    col = {c: rows.column(c).to_numpy() for c in ("grp", "n", "c", "slot", "before", "short")}
-    slots, row = np.unique(col["slot"], return_inverse=True)
-    size, wide = len(slots), len(groups)
-    slots = slots.astype(np.int64)
-    order, before, short = np.full(size, 9), np.full(size, 1 << 62), np.full(size, 1 << 62)
-    for target, name in ((order, "n"), (before, "before"), (short, "short")):
-        np.minimum.at(target, row, col[name])
-    count = np.zeros((size, wide))
-    count[row, col["grp"]] = col["c"]
-    p, rest = np.zeros((size, wide)), np.ones((size, wide))
-    signs = max(int((order == 1).sum()), 1) + 1
-    before_row = np.minimum(np.searchsorted(slots, before), size - 1)
-    short_row = np.minimum(np.searchsorted(slots, short), size - 1)
-    unseen = np.full(wide, 1.0 / signs)
-    for n in range(1, ORDER + 1):
-        mine = np.flatnonzero(order == n)
-        if not len(mine):
-            continue
-        c = count[mine]
-        off = _discounts(c, modified)
-        taken = np.where(c >= 3, off[2], np.where(c >= 2, off[1], np.where(c >= 1, off[0], 0.0)))
-        taken = np.minimum(taken, c)
-        if n == 1:
-            total = np.maximum(c.sum(axis=0), 1)
-            spare = np.where(c.sum(axis=0) > 0, taken.sum(axis=0) / total, 1.0)
-            unseen = np.maximum(spare, 1e-6) / signs
-            p[mine] = (c - taken) / total + unseen
-            continue
-        known, ctx = np.unique(before_row[mine], return_inverse=True)
-        total, spare = (np.stack([np.bincount(ctx, x[:, g]) for g in range(wide)], axis=1) for x in (c, taken))
-        rest[known] = np.where(total > 0, np.maximum(spare, 1e-6) / np.maximum(total, 1), 1.0)
-        own = np.where(total[ctx] > 0, (c - taken) / np.maximum(total[ctx], 1), 0.0)
-        p[mine] = np.minimum(own + rest[known][ctx] * np.maximum(p[short_row[mine]], 1e-9), 1.0)
-    log_p, log_rest = (np.log(x).astype(np.float32) for x in (np.maximum(p, 1e-12), np.minimum(rest, 1.0)))
-    return CharModel(groups, slots, log_p, log_rest, np.log(unseen).astype(np.float32), bits)
-
-
-def _discounts(c: np.ndarray, modified: bool) -> np.ndarray:
-    """Discounts for counts 1, 2 and 3 or more, per group."""
-    n1, n2, n3, n4 = (np.maximum((c == k).sum(axis=0), 1) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2.0 * n2)
-    if not modified:
-        return np.stack([y, y, y])
-    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return np.stack([np.clip(d, 0.1, k) for d, k in zip(found, (1.0, 2.0, 3.0))])
+def fit(texts: DataFrame, tokens, modified: bool, part_rows: int = PART_ROWS) -> CharModel | None:
+    """A model of ``texts`` (grp string not NULL, text string); None if they hold no word.
+
+    Every text counts.
+    """
+    runs, contexts, groups, _ = probabilities(texts, tokens, modified)
+    if not groups:
+        return None
+    # a context for each run at most
+    bits = [(max(2 * size - 1, 0) // part_rows).bit_length() for _, _, size, _ in groups]
+    kinds = runs.select("grp", F.col("n").alias("kind"), "hi", "lo", F.log("p").cast("float").alias("value")).union(
+        contexts.select("grp", (F.col("n") + _CONTEXT).alias("kind"), "hi", "lo", F.log("rest").cast("float").alias("value"))
+    )
+    shifts = np.array([64 - b for b in bits], np.uint64)
+
+    def keyed(batches):
+        for batch in batches:
+            col = {c: batch.column(c).to_numpy() for c in ("grp", "kind", "hi", "lo", "value")}
+            hashes, rests = np.empty(batch.num_rows, np.uint64), np.empty(batch.num_rows, np.uint64)
+            for kind in np.unique(col["kind"]).tolist():
+                at = col["kind"] == kind
+                hashes[at], rests[at] = _key(kind, col["hi"][at], col["lo"][at])
+            shift = shifts[col["grp"]]
+            part = np.where(shift == 64, np.uint64(0), hashes >> np.minimum(shift, np.uint64(63))).astype(np.int32)
+            columns = [col["grp"], part, hashes.view(np.int64), rests.view(np.int64), col["value"]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["grp", "part", "hash", "rest", "value"])
+
+    def pack(table: pa.Table) -> pa.Table:
+        hashes, rests = (table.column(c).to_numpy().view(np.uint64) for c in ("hash", "rest"))
+        order = np.argsort(hashes, kind="stable")
+        arrays = {"hash": hashes[order], "rest": rests[order], "value": table.column("value").to_numpy()[order]}
+        row = {"grp": table.column("grp")[0].as_py(), "part": table.column("part")[0].as_py()} | {c: a.tobytes() for c, a in arrays.items()}
+        fields = [("grp", pa.int32()), ("part", pa.int32()), *((c, pa.binary()) for c in arrays)]
+        return pa.Table.from_pylist([row], schema=pa.schema(fields))
+
+    folder = scratch_path(texts.sparkSession, "model")
+    entries = kinds.mapInArrow(keyed, "grp int, part int, hash long, rest long, value float")
+    parts = entries.groupBy("grp", "part").applyInArrow(pack, "grp int, part int, hash binary, rest binary, value binary")
+    parts.write.partitionBy("grp", "part").parquet(folder)
+    return CharModel([name for _, name, _, _ in groups], folder, bits, [math.log(unseen) for _, _, _, unseen in groups])

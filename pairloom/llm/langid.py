@@ -8,7 +8,8 @@ reach there.
 
 Special rows.  A text that is NULL or has no letter gets ``und``, score 0 and is
 rejected; it never trains.  Training rows without a language are left out.
-Without training rows every text is ``und``.  Repeated rows are judged alike,
+Without training rows every text is ``und``.  Marks without a letter are no word.
+There may be any number of languages.  Repeated rows are judged alike,
 each on its own; columns of the input other than the named ones play no part.
 """
 
@@ -19,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.charlm import CharModel, fit, letters
-from pairloom.llm.common import Words, kept_with, schema, slices, staged_batches
+from pairloom.llm.charlm import CharModel, fit, lengths, letters, signs_of
+from pairloom.llm.common import Words, kept_with, quantiles, schema, slices, staged_batches
 
 UND = "und"
 #: A text is rejected this many nats per sign above the training texts' 99th percentile.
@@ -50,7 +51,7 @@ def predict(docs: DataFrame, model: CharModel | None, keep: list[Column], text:
             *kept, F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"),
             F.lit(None).cast("double").alias("cross_entropy"), F.lit(0).cast("long").alias("n_signs"),
         )
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: 2 ** bits slots
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a row per language; the arrays are in files
 
     def judge(batches):
         for batch in slices(batches, text):
@@ -66,19 +67,22 @@ _NAMES = ["lang_pred", "score", "cross_entropy", "n_signs"]
 
 def _judged(model: CharModel, texts: pa.Array) -> list[pa.Array]:
     words = Words(texts)
-    log_p, signs = model.score(letters(words.distinct))
-    total = words.sums(signs)
-    cross = np.stack([-words.sums(log_p[:, g]) for g in range(len(model.groups))], axis=1) / np.maximum(total, 1)[:, None]
-    best = cross.argmin(axis=1)
-    lowest = cross.min(axis=1)
-    gap = (cross - lowest[:, None]) * np.minimum(total, SURE_AFTER)[:, None]
-    score = 1.0 / np.exp(-gap).sum(axis=1)
+    signs = signs_of(letters(words.distinct))
+    total = words.sums(lengths(signs))
+    least, best, weight = np.full(len(texts), 1e300), np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    for g in range(len(model.groups)):
+        cross = -words.sums(model.log_p(signs, g)) / np.maximum(total, 1)
+        # the sum of exp(-gap) over the languages so far, gaps being counted from the lowest
+        moved = np.minimum(total, SURE_AFTER) * (least - cross)
+        lower = cross < least
+        weight = np.where(lower, weight * np.exp(-np.maximum(moved, 0)) + 1, weight + np.exp(np.minimum(moved, 0)))
+        best, least = np.where(lower, g, best), np.minimum(least, cross)
     none = total == 0
     names = np.array([*model.groups, UND], dtype=object)
     return [
         pa.array(names[np.where(none, len(model.groups), best)], pa.string()),
-        pa.array(np.where(none, 0.0, score)),
-        pa.array(lowest, mask=none),
+        pa.array(np.where(none, 0.0, 1.0 / np.maximum(weight, 1.0))),
+        pa.array(least, mask=none),
         pa.array(total.astype(np.int64)),
     ]
 
@@ -94,10 +98,9 @@ def identify(docs: DataFrame, trains: Column, keep: list[Column], text: str = "t
     model = train(docs.where(trains), text, lang)
     fits = (trains & F.col(lang).isNotNull()).alias("__trains")
     judged = staged_batches(predict(docs, model, [*keep, fits], text))
-    limits = judged.where("__trains AND cross_entropy IS NOT NULL").groupBy("lang_pred").agg(
-        (F.percentile_approx("cross_entropy", 0.99, 1000) + MARGIN).alias("__limit")
-    )
+    known = judged.where("__trains AND cross_entropy IS NOT NULL")
+    limits = quantiles(known, "lang_pred", "cross_entropy", [0.99], 0.001, "__q").select("lang_pred", (F.col("__q")[0] + MARGIN).alias("__limit"))
     rejected = (F.col("lang_pred") == UND) | F.coalesce(F.col("cross_entropy") > F.col("__limit"), F.lit(False))
-    # a row per language of the model, MAX_GROUPS at most
+    # a row per language of the model
     out = judged.join(F.broadcast(limits), "lang_pred", "left").withColumn("rejected", rejected)
     return out.select(*[c for c in judged.columns if c != "__trains"], "rejected")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pairloom.llm.common import kept_with, slices
+from pairloom.llm.common import kept_with, mix64, slices
 from pairloom.session import scratch_path, staged
 
 MIN_CHARS, MIN_DOCS = 20, 3
@@ -92,17 +92,10 @@ def count_lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> Data
     return counts.groupBy("hi", "lo").agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper"))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit mixing that loses nothing."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _place(hi: np.ndarray, lo: np.ndarray, level: int, size: int) -> np.ndarray:
     """Where keys fall in the bits of a level."""
-    turned = _mix(hi + np.uint64((level + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-    return (_mix(lo ^ turned) % np.uint64(size)).astype(np.int64)
+    turned = mix64(hi + np.uint64((level + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
+    return (mix64(lo ^ turned) % np.uint64(size)).astype(np.int64)
 
 
 @dataclass
