@@ -38,8 +38,8 @@ from pairloom.llm.common import Words, kept_with, quantiles, schema, slices, sta
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Distances from the median to a quartile that make half of a band.
-DISTANCES = 8.0
+#: Distances from the median to a quartile that make half of each band; the one per sign need only tell noise.
+DISTANCES = {"per_word": 8.0, "per_sign": 12.0}
 #: Words after which a mean is as sure as it gets.
 SURE_WORDS = 400
 #: Half-width of the bands of a language without any spread, in nats.
@@ -169,7 +169,7 @@ def bands(measured: DataFrame, column: str) -> DataFrame:
     scaled = sure.join(F.broadcast(middles), "__lang").withColumn("scaled", (F.col(column) - F.col("middle")) * _scale())
     q = F.col("q")
     found = quantiles(scaled, "__lang", "scaled", [0.25, 0.5, 0.75], _SCALED_STEP, "q").join(middles, "__lang")
-    below, above = (F.when(q[k + 1] > q[k], DISTANCES * (q[k + 1] - q[k])) for k in (0, 1))
+    below, above = (F.when(q[k + 1] > q[k], DISTANCES[column] * (q[k + 1] - q[k])) for k in (0, 1))
     floor = F.lit(WIDTH_FLOORS[column] * SURE_WORDS**0.5)
     return found.select("__lang", "middle", F.coalesce(below, above, floor).alias("below"), F.coalesce(above, below, floor).alias("above"))
 

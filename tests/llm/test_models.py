@@ -203,11 +203,11 @@ def brute_quality(frame, rows):
     verdict = {}
     for ids in by_lang.values():
         inside = dict.fromkeys(ids, True)
-        for column, floor in ((1, 2.0), (2, 0.5)):
+        for column, times, floor in ((1, 8, 2.0), (2, 12, 0.5)):
             middle = at([cost[i][column] for i in ids], 0.5, 0.001)
             scaled = {i: (cost[i][column] - middle) * min(cost[i][0], 400) ** 0.5 for i in ids}
             q = [at(scaled.values(), s, 0.01) for s in (0.25, 0.5, 0.75)]
-            below, above = 8 * (q[1] - q[0]), 8 * (q[2] - q[1])
+            below, above = times * (q[1] - q[0]), times * (q[2] - q[1])
             below, above = below or above or floor * 20, above or below or floor * 20
             for i in ids:
                 inside[i] &= -below <= scaled[i] <= above
