@@ -48,6 +48,12 @@ _SLICE = 2 * SLICE_BYTES
 _KEPT = 1_000_000
 #: Words that are encoded at once: the tokenizer's own objects are far larger than the ids.
 _WORDS = 1 << 13
+#: Plain words that are encoded as one text: a text costs the tokenizer as much as several words.
+_JOINED = 256
+#: Words of letters that no step of the tokenizer changes or parts.
+_PLAIN = r"^[a-zß-öø-ÿ]+$"
+#: How a token ends that ends a word (fixed value).
+_END_OF_WORD = "</w>"
 #: ASCII signs that the tokenizer always parts from letters (not the apostrophe).
 _SIGNS = '.,;:!?$%&*#|()"'
 
@@ -66,7 +72,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        vocab = self.tokenizer.get_vocab()
+        self.kind = np.uint16 if len(vocab) <= 1 << 16 else np.uint32
+        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith(_END_OF_WORD)]] = True
         self.words = pa.array([], pa.string())
         self.ids, self.bounds = np.zeros(0, self.kind), np.zeros(1, np.int64)
 
@@ -74,19 +83,35 @@ class Encoder:
         """A store of ids, its bounds, and the place of each of ``words`` (distinct) in it."""
         place = pc.index_in(words, self.words)
         fresh = words.filter(pc.is_null(place))
-        more, sizes = [self.ids], [self.bounds[-1:]]
-        for start in range(0, len(fresh), _WORDS):
-            found = self.tokenizer.encode_batch(fresh.slice(start, _WORDS).to_pylist(), add_special_tokens=False)
-            lists = [e.ids for e in found]
-            more.append(np.fromiter(chain.from_iterable(lists), self.kind))
-            sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
-        ids, bounds = np.concatenate(more), np.concatenate([self.bounds[:-1], np.cumsum(np.concatenate(sizes))])
+        plain = pc.match_substring_regex(fresh, _PLAIN)
+        rank = np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")
+        fresh, n_plain = fresh.take(pa.array(rank)), pc.sum(plain).as_py() or 0
+        found = [self._each(fresh.slice(n_plain)[at : at + _WORDS].to_pylist()) for at in range(0, len(fresh) - n_plain, _WORDS)]
+        found = [self._joined(fresh.slice(at, min(_WORDS, n_plain - at)).to_pylist()) for at in range(0, n_plain, _WORDS)] + found
+        ids = np.concatenate([self.ids, *(f[0] for f in found)])
+        bounds = np.concatenate([self.bounds[:-1], np.cumsum(np.concatenate([self.bounds[-1:], *(f[1] for f in found)]))])
         at = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        at[at < 0] = len(self.words) + np.arange(len(fresh))
+        new = np.empty(len(rank), np.int64)
+        new[rank] = len(self.words) + np.arange(len(rank))
+        at[at < 0] = new
         if len(self.words) + len(fresh) <= _KEPT:
             self.words, self.ids, self.bounds = pa.concat_arrays([self.words, fresh]), ids, bounds
         return ids, bounds, at
 
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(lists), self.kind), np.fromiter(map(len, lists), np.int64, len(lists))
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain words, many in a text: a word's last token is the one that ends a word."""
+        texts = [" ".join(words[i : i + _JOINED]) for i in range(0, len(words), _JOINED)]
+        ids, _ = self._each(texts)
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(words) or last[-1] != len(ids) - 1:  # a tokenizer that marks no ends
+            return self._each(words)
+        return ids, np.diff(last, prepend=-1)
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's end token included, and the bounds of each text."""
         words = Words(texts)
