@@ -79,7 +79,7 @@ def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), root)
-    return warc.read(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read(spark, root, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

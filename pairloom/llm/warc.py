@@ -1,8 +1,9 @@
 """Deterministic sharded WARC archives: writer and reader.
 
-Records are put in the order of their page id and cut into shards of
+Records are put in the order of their page id and digest and cut into shards of
 RECORDS_PER_SHARD pages; the cuts are exact ranks, so equal input gives equal
-files whatever the partitions are.  A shard is written as one or more files,
+files whatever the partitions are, and an id with very many rows is cut as well
+(only rows of equal id and payload stay together).  A shard is written as one or more files,
 rolled by compressed size, each under a temporary name first and then moved to
 its own name; a task that runs again makes the same bytes.  The manifest, one
 row per file with its record count, size and SHA-256, is written by Spark when all
@@ -42,6 +43,8 @@ RECORDS_PER_SHARD = 4096
 FILE_BYTES = 32 << 20
 #: Shards an archive may have: their first ids are one array in every task.
 MAX_SHARDS = 4_000_000
+#: Tasks that write shards, one shard each up to this number.
+MAX_TASKS = 1 << 14
 DATE = "2000-01-01T00:00:00Z"
 
 _FIRST = -(1 << 63)  # where pages without an id go
@@ -81,11 +84,11 @@ def write(pages: DataFrame, root: str, date: str = DATE, file_bytes: int = FILE_
     rows = pages.select(F.col("page_id").cast("long"), "url", payload.alias("payload"))
     key = F.coalesce("page_id", F.lit(_FIRST).cast("long"))
     narrow = staged(rows.select(key.alias("page_id"), F.length("payload").alias("size"), F.sha2("payload", 256).alias("digest")))
-    ranked = numbered(narrow.select("page_id"), F.col("page_id"), name="rank")
-    starts = ranked.where(F.col("rank") % per_shard == 0).select("page_id").distinct().toArrow()
+    ranked = numbered(narrow.select("page_id", "digest"), F.col("page_id"), F.col("digest"), name="rank")
+    starts = ranked.where(F.col("rank") % per_shard == 0).select("page_id", "digest").distinct().toArrow()
     if starts.num_rows > MAX_SHARDS:
         raise ValueError(f"{starts.num_rows} shards; raise per_shard to have {MAX_SHARDS} at most")
-    cuts = rows.sparkSession.sparkContext.broadcast(np.sort(starts.column("page_id").to_numpy()))
+    cuts = rows.sparkSession.sparkContext.broadcast(np.sort(_places(starts.combine_chunks())))
     large = narrow.where((F.col("size") >= MIN_REVISIT) & (F.col("page_id") != _FIRST))
     copies = large.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
     # pages without an id revisit the others as well
@@ -95,18 +98,20 @@ def write(pages: DataFrame, root: str, date: str = DATE, file_bytes: int = FILE_
     decided = found.select(
         "page_id", nothing.cast("string").alias("url"), nothing.cast("binary").alias("payload"), "digest", "refers_to"
     )
-    every = rows.select(key.alias("page_id"), "url", "payload", F.lit("").alias("digest"), nothing.cast("long").alias("refers_to"))
+    every = rows.select(key.alias("page_id"), "url", "payload", F.sha2("payload", 256).alias("digest"), nothing.cast("long").alias("refers_to"))
 
     def route(batches):
         for batch in batches:
-            at = np.searchsorted(cuts.value, batch.column("page_id").to_numpy(zero_copy_only=False), "right")
+            at = np.searchsorted(cuts.value, _places(batch), "right")
             yield batch.append_column("shard", pa.array(at.astype(np.int64) - 1))
 
     fields = "page_id long, url string, payload binary, digest string, refers_to long, shard long"
     routed = every.unionByName(decided).mapInArrow(route, fields)
     # what is decided for a page comes before the page
     whole = F.col("payload").isNotNull()
-    sorted_rows = routed.repartition("shard").sortWithinPartitions("shard", "page_id", whole, F.sha2("payload", 256), "url")
+    parts = min(max(starts.num_rows, 1), MAX_TASKS)
+    dealt = routed.repartitionById(parts, (F.col("shard") % parts).cast("int"))
+    sorted_rows = dealt.sortWithinPartitions("shard", "page_id", "digest", whole, "url")
 
     def save(batches):
         with _Shards(root, date, file_bytes) as shards:
@@ -119,6 +124,15 @@ def write(pages: DataFrame, root: str, date: str = DATE, file_bytes: int = FILE_
     return rows.sparkSession.read.parquet(f"{root}/manifest")
 
 
+def _places(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
+    """Page id and the first half of the digest as bytes in their order."""
+    ids = rows.column("page_id").to_numpy(zero_copy_only=False).astype(np.int64) if rows.num_rows else np.zeros(0, np.int64)
+    out = np.empty((len(ids), 40), np.uint8)
+    out[:, :8] = (ids.view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").view(np.uint8).reshape(-1, 8)
+    out[:, 8:] = np.array(rows.column("digest").to_pylist(), "S64").view(np.uint8).reshape(-1, 64)[:, :32]
+    return out.view("S40").ravel()
+
+
 class _Shards:
     """Writes a task's shards, one file open at a time."""
 
@@ -154,10 +168,9 @@ class _Shards:
             if payload is None:
                 self.decided[digest] = refers_to
             else:
-                yield from self._put(page, url, payload)
+                yield from self._put(page, url, payload, digest)
 
-    def _put(self, page: int, url: str | None, payload: bytes):
-        digest = hashlib.sha256(payload).hexdigest()
+    def _put(self, page: int, url: str | None, payload: bytes, digest: str):
         copy = self.written.get(digest, 0)
         self.written[digest] = copy + 1
         first = self.decided.get(digest)
@@ -190,10 +203,11 @@ class _Shards:
         yield pa.RecordBatch.from_pylist([row])
 
 
-def read(spark: SparkSession, root: str) -> DataFrame:
+def read(spark: SparkSession, root: str, payloads: bool = True) -> DataFrame:
     """The records of the archive under ``root``; digests of payloads are made from what is read.
 
-    A file that the manifest names and whose bytes are not those written is an error.
+    A file that the manifest names and whose bytes are not those written is an
+    error.  Without ``payloads`` the column of that name is NULL.
     """
     manifest = spark.read.parquet(f"{root}/manifest")
     if manifest.isEmpty():
@@ -201,25 +215,38 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(f"{root}/archive").select(
         F.substring_index("path", "/", -1).alias("file"), "content"
     )
+    listed = files.join(manifest.select("file"), "file", "left_semi")
 
     def parse(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                yield from _records(batch.column("file")[i].as_py(), batch.column("content")[i].as_buffer())
+                yield from _records(batch.column("file")[i].as_py(), batch.column("content")[i].as_buffer(), payloads)
+
+    return listed.mapInArrow(parse, _RECORDS)
+
+
+#: Compressed bytes that are unpacked at once: what is left of them after a record is copied.
+_PIECE = 1 << 14
+
 
-    records = files.mapInArrow(parse, _RECORDS)
-    return records.join(manifest.select("file"), "file", "left_semi")
+def _members(file: str, data) -> object:
+    """The unpacked records of a file."""
+    at, view = 0, memoryview(data)
+    while at < len(view):
+        member, parts = zlib.decompressobj(wbits=31), []
+        while not member.eof:
+            piece = view[at : at + _PIECE]
+            if not len(piece):
+                raise ValueError(f"{file}: a record is cut off")
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+        yield b"".join(parts)
 
 
-def _records(file: str, data) -> object:
-    rows, size, view = [], 0, memoryview(data)
-    while len(view):
-        member = zlib.decompressobj(wbits=31)
-        raw = member.decompress(view)
-        if not member.eof:
-            raise ValueError(f"{file}: a record is cut off")
-        view = view[len(view) - len(member.unused_data) :]
-        rows.append(_parsed(file, raw))
+def _records(file: str, data, payloads: bool) -> object:
+    rows, size = [], 0
+    for raw in _members(file, data):
+        rows.append(_parsed(file, raw, payloads))
         size += len(raw)
         if size > 8 << 20:
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
@@ -240,7 +267,7 @@ def _headers(lines: list[str]) -> dict[str, str]:
     return {k.lower(): v for k, _, v in (line.partition(": ") for line in lines)}
 
 
-def _parsed(file: str, raw: bytes) -> dict:
+def _parsed(file: str, raw: bytes, payloads: bool) -> dict:
     head, _, rest = raw.partition(b"\r\n\r\n")
     field = _headers(head.decode().split("\r\n")[1:])
     block = rest[: int(field["content-length"])]
@@ -254,5 +281,5 @@ def _parsed(file: str, raw: bytes) -> dict:
     return {
         "file": file, "page_id": number("warc-page-id"), "url": field.get("warc-target-uri"), "record_type": field["warc-type"],
         "refers_to": number("warc-refers-to-page-id"), "payload_bytes": size, "payload_digest": digest,
-        "payload": None if revisit else payload,
+        "payload": payload if payloads and not revisit else None,
     }

@@ -468,3 +468,27 @@ def test_stages_take_odd_and_empty_tables(spark, odd, empty):
             assert docs is odd or not rows
             if name != "pack":
                 assert out.columns == docs.columns
+
+
+def test_warc_cuts_one_id_with_many_rows(spark):
+    rows = [(7, f"u{i % 5}", f"<p>{i % 40}</p>" * 20) for i in range(400)] + [(None, None, f"<p>{i % 3}</p>" * 40) for i in range(30)]
+    pages = spark.createDataFrame([(*r, 1, 2) for r in rows], "page_id long, url string, html string, shard int, digest int")
+    root = scratch_path(spark, "warc")
+    manifest = warc.write(pages.repartition(7), root, per_shard=50).collect()
+    assert len({r.shard for r in manifest}) >= 8 and max(r.records for r in manifest) <= 60
+    got = warc.read(spark, root, payloads=False).collect()
+    assert sum(r.record_type == "response" for r in got) == 70 and len(got) == 430  # none of those without an id is named
+    assert sorted((str(r.page_id), r.payload_digest) for r in got) == sorted((str(i), hashlib.sha256(h.encode()).hexdigest()) for i, _, h in rows)
+    assert all(r.payload is None for r in got)
+
+
+def test_encoder_joins_plain_words_only(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer("word_bpe_49k.json")
+    texts = ["straße être naïve don't İstanbul x÷y ñandú ab", "A.B c3po Å 漢字 été", " ".join(f"wörd{'abc' * (i % 7)}{chr(97 + i % 26)}" for i in range(900))]
+    for joined in (256, 2):
+        monkeypatch.setattr(packing, "_JOINED", joined)
+        ids, bounds = packing.Encoder(path, 1)(pa.array(texts))
+        want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids + [1] for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
