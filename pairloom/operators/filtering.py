@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import or_empty
+from pairloom.operators.bitmaps import id_bitmaps, with_member
 
 
 def text_len(text: str = "text") -> Column:
@@ -30,8 +31,16 @@ def referenced_ids(texts: DataFrame) -> DataFrame:
 
 
 def keep_referenced(images: DataFrame, texts: DataFrame) -> DataFrame:
-    """Images cited by a caption of the same split; duplicate rows stay."""
-    return images.join(referenced_ids(texts), ["split", "image_id"], "left_semi")
+    """Images cited by a caption of the same split; duplicate rows stay.
+
+    The cited ids are a bitmap that goes to the images, so payload is not
+    shuffled; ids too sparse for that are joined.
+    """
+    cited = links(texts).select("split", "image_id")
+    maps = id_bitmaps(cited, "image_id", ["split"])
+    if maps is None:
+        return images.join(cited.distinct(), ["split", "image_id"], "left_semi")
+    return with_member(images, maps, "image_id", ["split"])
 
 
 def filter_long(

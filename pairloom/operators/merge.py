@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.operators.bitmaps import id_bitmaps, with_rank
 from pairloom.operators.build import split_rank
 from pairloom.operators.filtering import links
 from pairloom.operators.ids import dense_id, next_image_id
 from pairloom.operators.validate import duplicate_images, missing_references
 from pairloom.schema import SPLITS
+from pairloom.session import staged
 
 NO_IDS = "cast(array() as array<bigint>)"
 
@@ -28,21 +30,33 @@ def image_id_map(
     With ``dense_ord`` the row numbers already run 0, 1, .. in every split (the
     file readers give them that way) and the new id is plain arithmetic.
     """
+    narrow = added_images.select("split", "ord", "image_id")
+    numbered = with_new_ids(narrow, base_images, splits, dense_ord=dense_ord)
+    return numbered.select("split", "ord", "image_id", "new_image_id")
+
+
+def with_new_ids(rows: DataFrame, base_images: DataFrame, splits: Sequence[str] = SPLITS, *, dense_ord: bool = False) -> DataFrame:
+    """``rows`` (split, ord, ..) with ``new_image_id``, in row order, split after split.
+
+    A row's number is the rows of the splits before plus its place among the
+    ``ord`` of its own, looked up in a bitmap, so rows stay where they are with
+    all they carry; numbers too sparse for that are ranked by a shuffle.
+    """
     start = next_image_id(base_images)
-    narrow = added_images.select("split", "ord", "image_id").withColumn("rank", split_rank(splits))
+    keys = rows.select("split", "ord").withColumn("rank", split_rank(splits))
+    # one row per split, summed up in one small window
+    sizes = staged(keys.groupBy("split", "rank").agg(F.count(F.lit(1)).alias("rows"), F.min("ord").alias("least")))
+    earlier = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(sizes.select("split", "least", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("skip")))
     if dense_ord:
-        # one row per split, summed up in one small window
-        sizes = narrow.groupBy("split", "rank").agg(F.count(F.lit(1)).alias("rows"))
-        earlier = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select(
-            "split", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("skip")
-        )
-        numbered = narrow.join(offsets, "split").withColumn(
-            "new_image_id", start + F.col("skip") + F.col("ord")
-        )
+        placed = rows.join(offsets.drop("least"), "split").withColumn("place", F.col("ord"))
     else:
-        numbered = dense_id(narrow, "new_image_id", ["rank", "ord"], start=start)
-    return numbered.select("split", "ord", "image_id", "new_image_id")
+        lifted = lambda df: df.join(offsets, "split").withColumn("__ord", F.col("ord") - F.col("least") + 1)
+        maps = id_bitmaps(lifted(keys.select("split", "ord")), "__ord", ["split"])
+        if maps is None:
+            return dense_id(rows.withColumn("rank", split_rank(splits)), "new_image_id", ["rank", "ord"], start=start).drop("rank")
+        placed = with_rank(lifted(rows), maps, "__ord", "place", ["split"]).drop("__ord", "least")
+    return placed.withColumn("new_image_id", (start + F.col("skip") + F.col("place")).cast("bigint")).drop("skip", "place")
 
 
 def remap_image_ids(texts: DataFrame, id_map: DataFrame) -> DataFrame:
@@ -103,10 +117,10 @@ def merge_datasets(
     texts = _stack(base_texts, new_texts, _every(base_texts, added_texts))
 
     image_ends = base_images.groupBy("split").agg((F.max("ord") + 1).alias("first_ord"))
-    moved = added_images.drop("image_id").join(
-        id_map.select("split", "ord", F.col("new_image_id").alias("image_id")), ["split", "ord"]
-    )
-    moved = moved.join(image_ends, "split", "left").withColumn(
+    # payload takes its new ids where it lies
+    moved = with_new_ids(added_images.drop("image_id"), base_images, splits, dense_ord=dense_ord)
+    moved = moved.withColumnRenamed("new_image_id", "image_id")
+    moved = moved.join(F.broadcast(image_ends), "split", "left").withColumn(
         "ord", F.coalesce("first_ord", F.lit(0)) + F.col("ord")
     )
     images = _stack(base_images, moved, _every(base_images, added_images))
