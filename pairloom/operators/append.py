@@ -7,93 +7,121 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.images import content_hash, encode_image, is_image_path, parse_data_url
 from pairloom.functions.text import or_empty, strip
-from pairloom.operators.filtering import links
+from pairloom.operators.filtering import keep_referenced, links
 from pairloom.operators.ids import dense_id, next_image_id, next_text_id
 from pairloom.session import staged
 
-KEY = ["text", "contents", "files"]
+#: Content of a cited image that is not there (fixed value).
+_NO_CONTENT = "0" * 64
 
 
-def _existing(train_texts: DataFrame, train_images: DataFrame, wanted: DataFrame) -> DataFrame:
-    """First train row of every (text, set of contents, number of images)."""
+def content_index(images: DataFrame) -> DataFrame:
+    """``image_id, content``: the hash of every image's payload, the last row's for a repeated id.
+
+    Stored once, it spares appends the payload of the dataset.
+    """
+    hashed = images.select("image_id", "ord", content_hash(F.col("image_b64")).alias("content"))
+    return hashed.groupBy("image_id").agg(F.max_by("content", "ord").alias("content"))
+
+
+def _keys(pieces: DataFrame, row: str) -> DataFrame:
+    """``row, digest, files`` of ``pieces`` (row, content): one digest for a row's set of contents, in any order.
+
+    Hashes are cut into four numbers that are summed over the different contents,
+    so a row with very many images is partial sums and never a list.
+    """
+    different = pieces.groupBy(row, "content").agg(F.count(F.lit(1)).alias("n"))
+    part = lambda k: F.conv(F.substring("content", 16 * k + 1, 15), 16, 10).cast("decimal(38,0)")
+    sums = different.groupBy(row).agg(
+        *[F.sum(part(k)).alias(f"part{k}") for k in range(4)], F.sum("n").alias("files"), F.count(F.lit(1)).alias("kinds")
+    )
+    digest = F.concat_ws(":", *[F.col(f"part{k}").cast("string") for k in range(4)], F.col("kinds").cast("string"), F.col("files").cast("string"))
+    return sums.select(row, digest.alias("digest"), "files")
+
+
+def _key(text: Column) -> Column:
+    """Text, set of contents and number of images as 32 bytes."""
+    return F.unhex(F.sha2(F.concat_ws(":", "digest", text), 256)).alias("key")
+
+
+def _existing(train_texts: DataFrame, train_images: DataFrame, contents: DataFrame | None, wanted: DataFrame) -> DataFrame:
+    """First train row of every (text, set of contents, number of images) as ``key``."""
     stripped = train_texts.withColumn("text", strip(or_empty(F.col("text"))))
     # only captions the batch asks for, and the images they cite, are worth looking at
     asked = stripped.join(wanted.select("text").distinct(), "text", "left_semi")
     asked = staged(asked.select("split", "ord", "text_id", "text", "image_ids"))
-    cited = train_images.join(links(asked).select("image_id").distinct(), "image_id", "left_semi")
-    hashes = cited.groupBy("image_id").agg(
-        F.max_by(content_hash(F.col("image_b64")), "ord").alias("content")
-    )
-    sets = (
-        links(asked)
-        .join(hashes, "image_id", "left")
-        .groupBy("ord")
-        .agg(
-            F.sort_array(F.collect_set(F.coalesce("content", F.lit("")))).alias("contents"),
-            F.count(F.lit(1)).alias("files"),
-        )
-    )
-    return (
-        asked.join(sets, "ord")
-        .groupBy(*KEY)
-        .agg(
-            F.min_by("text_id", "ord").alias("old_text_id"),
-            F.min_by("image_ids", "ord").alias("old_image_ids"),
-        )
+    contents = content_index(keep_referenced(train_images, asked)) if contents is None else contents
+    cited = links(asked).select("ord", "image_id").join(contents, "image_id", "left")
+    sets = _keys(cited.select("ord", F.coalesce("content", F.lit(_NO_CONTENT)).alias("content")), "ord")
+    keyed = asked.join(sets, "ord").select(_key(F.col("text")), "ord", "text_id", "image_ids")
+    return keyed.groupBy("key").agg(
+        F.min_by("text_id", "ord").alias("old_text_id"), F.min_by("image_ids", "ord").alias("old_image_ids")
     )
 
 
+def batch_pieces(batch: DataFrame) -> DataFrame:
+    """``batch_ord, pos, image``: a row per image of a batch whose ``images`` are arrays."""
+    return batch.select("batch_ord", F.posexplode_outer("images").alias("pos", "image")).where(F.col("pos").isNotNull())
+
+
 def from_uploads(batch: DataFrame) -> DataFrame:
     """``batch`` whose ``images`` are (name, data URL) structs, with bare base64 instead."""
     return batch.withColumn("images", F.transform("images", lambda x: parse_data_url(x["src"])))
 
 
-def from_files(batch: DataFrame, files: DataFrame) -> DataFrame:
-    """``batch_ord, text, images`` from ``batch_ord, text, paths`` and the listing ``path, content``.
+def file_pieces(batch: DataFrame, files: DataFrame) -> DataFrame:
+    """``batch_ord, pos, image`` from ``batch_ord, paths`` and the listing ``path, content``.
 
     A path without a file, or of an unsupported kind, is an error.
     """
     wrong = F.raise_error(F.concat(F.lit("No image file of a supported kind: "), F.col("path")))
     content = F.when(is_image_path(F.col("path")), F.col("content"))
     asked = batch.select("batch_ord", F.posexplode_outer("paths").alias("pos", "path")).where(F.col("pos").isNotNull())
-    read = asked.join(files.select("path", "content"), "path", "left").select(
+    return asked.join(files.select("path", "content"), "path", "left").select(
         "batch_ord", "pos", F.coalesce(encode_image(content), wrong.cast("string")).alias("image")
     )
-    # a batch row holds its images, whatever way they come in
-    lists = read.groupBy("batch_ord").agg(F.array_sort(F.collect_list(F.struct("pos", "image"))).alias("read"))
+
+
+def from_files(batch: DataFrame, files: DataFrame) -> DataFrame:
+    """``batch_ord, text, images`` with arrays, for rows of few files; see ``file_pieces``."""
+    lists = file_pieces(batch, files).groupBy("batch_ord").agg(F.array_sort(F.collect_list(F.struct("pos", "image"))).alias("read"))
     return batch.join(lists, "batch_ord", "left").select(
         "batch_ord", "text", F.transform("read", lambda x: x["image"]).alias("images")
     )
 
 
 def append_annotations(
-    texts: DataFrame, images: DataFrame, batch: DataFrame, split: str = "train"
+    texts: DataFrame,
+    images: DataFrame,
+    batch: DataFrame,
+    split: str = "train",
+    *,
+    pieces: DataFrame | None = None,
+    contents: DataFrame | None = None,
 ) -> DataFrame:
     """Resolve a batch ``batch_ord, text, images`` (arrays of base64).
 
     One row per batch row: ``batch_ord, text, text_id, image_ids, existing``.
     Rows are treated as if they came one after the other, so a repeat inside
-    the batch is 'existing' too.
+    the batch is 'existing' too.  ``pieces`` (batch_ord, pos, image) stands for
+    the arrays if given, and ``contents`` (see ``content_index``) for the payload
+    of the stored images of the split.
     """
     text = strip(or_empty(F.col("text")))
-    checked = batch.select(
-        "batch_ord",
-        F.when(text == "", F.raise_error(F.lit("text cannot be empty"))).otherwise(text).alias("text"),
-        F.when(
-            F.coalesce(F.size("images"), F.lit(0)) <= 0, F.raise_error(F.lit("images cannot be empty"))
-        ).otherwise(F.col("images")).alias("images"),
-    )
-    keyed = checked.select(
-        "batch_ord",
-        "text",
-        F.sort_array(F.array_distinct(F.transform("images", content_hash))).alias("contents"),
-        F.size("images").cast("bigint").alias("files"),
+    train_texts, train_images = texts.where(F.col("split") == split), images.where(F.col("split") == split)
+    pieces = batch_pieces(batch) if pieces is None else pieces
+    # hashes and texts are all that is compared and moved
+    hashed = F.coalesce(content_hash(F.col("image")), F.lit(_NO_CONTENT)).alias("content")
+    sets = _keys(pieces.select("batch_ord", hashed), "batch_ord")
+    empty = F.raise_error(F.lit("images cannot be empty"))
+    keyed = staged(
+        batch.select("batch_ord", F.when(text == "", F.raise_error(F.lit("text cannot be empty"))).otherwise(text).alias("text"))
+        .join(sets, "batch_ord", "left")
+        .select("batch_ord", "text", F.coalesce("files", empty.cast("bigint")).alias("files"), _key(F.col("text")))
     )
-    keyed = staged(keyed)
-    train_texts = texts.where(F.col("split") == split)
-    known = _existing(train_texts, images.where(F.col("split") == split), keyed)
-    firsts = keyed.groupBy(*KEY).agg(F.min("batch_ord").alias("first_ord"))
-    resolved = staged(firsts.join(known, KEY, "left"))
+    known = _existing(train_texts, train_images, contents, keyed)
+    firsts = keyed.groupBy("key").agg(F.min("batch_ord").alias("first_ord"), F.first("files").alias("files"))
+    resolved = staged(firsts.join(known, "key", "left"))
     fresh = resolved.where(F.col("old_text_id").isNull()).select("first_ord", "files")
 
     numbered = dense_id(fresh, "new_text_id", ["first_ord"], start=next_text_id(train_texts))
@@ -106,20 +134,26 @@ def append_annotations(
     )
     new = numbered.drop("files").join(spans, "first_ord")
     answers = resolved.join(new, "first_ord", "left").select(
-        *KEY,
+        "key",
         "first_ord",
         F.coalesce("old_text_id", "new_text_id").alias("text_id"),
         F.coalesce("old_image_ids", "new_image_ids").alias("image_ids"),
         F.col("old_text_id").isNotNull().alias("known"),
     )
     existing = F.col("known") | (F.col("batch_ord") != F.col("first_ord"))
-    return keyed.join(answers, KEY).select(
+    return keyed.join(answers, "key").select(
         "batch_ord", "text", "text_id", "image_ids", existing.alias("existing")
     )
 
 
 def new_rows(
-    resolved: DataFrame, batch: DataFrame, texts: DataFrame, images: DataFrame, split: str = "train"
+    resolved: DataFrame,
+    batch: DataFrame,
+    texts: DataFrame,
+    images: DataFrame,
+    split: str = "train",
+    *,
+    pieces: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Text and image rows to append to the stored dataset."""
     fresh = resolved.where(~F.col("existing"))
@@ -136,13 +170,14 @@ def new_rows(
         "image_ids",
         F.lit(None).cast("bigint").alias("source_text_id"),
     )
-    # payloads travel for the new rows only
-    paired = fresh.select("batch_ord", "image_ids").join(batch.select("batch_ord", "images"), "batch_ord")
-    pairs = paired.select(F.explode_outer(F.arrays_zip("image_ids", "images")).alias("pair"))
+    # payloads travel for the new rows only, one by one; a row's ids are consecutive
+    first = fresh.select("batch_ord", F.array_min("image_ids").alias("first_id"))
+    pairs = (batch_pieces(batch) if pieces is None else pieces).join(first, "batch_ord")
+    image_id = F.col("first_id") + F.col("pos")
     new_images = pairs.select(
         F.lit(split).alias("split"),
-        (after(images) + F.col("pair.image_ids") - next_image_id(images)).alias("ord"),
-        F.col("pair.image_ids").alias("image_id"),
-        F.col("pair.images").alias("image_b64"),
+        (after(images) + image_id - next_image_id(images)).alias("ord"),
+        image_id.alias("image_id"),
+        F.col("image").alias("image_b64"),
     )
     return new_texts, new_images
