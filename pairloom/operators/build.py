@@ -123,11 +123,14 @@ def sample_status(
     files: DataFrame,
     reasons: tuple[str, str] = (EMPTY_QUERY, NO_IMAGES),
 ) -> DataFrame:
-    """Every sample with its stripped query, file count and skip reason."""
-    counts = files.groupBy("sample_id").agg(F.count(F.lit(1)).alias("files"))
+    """Every sample with its stripped query, file count and skip reason.
+
+    A folder is known by its name: ``2`` and ``000002`` are two samples.
+    """
+    counts = files.groupBy("sample").agg(F.count(F.lit(1)).alias("files"))
     rows = (
-        samples.join(queries.select("sample_id", "query"), "sample_id", "left")
-        .join(counts, "sample_id", "left")
+        samples.join(queries.select("sample", "query"), "sample", "left")
+        .join(counts, "sample", "left")
         .withColumn("query", strip(or_empty(F.col("query"))))
     )
     no_query, no_files = reasons
@@ -140,7 +143,7 @@ def positives_status(
 ) -> DataFrame:
     """``sample_status`` with a split, over the images of the first folder."""
     files = files.where(F.col("folder") == FOLDERS[0])
-    return sample_status(group_split(samples, "sample_id", ratio, seed), queries, files)
+    return sample_status(group_split(samples, "sample", ratio, seed), queries, files)
 
 
 def skipped_samples(status: DataFrame) -> DataFrame:
@@ -169,13 +172,13 @@ def build_all_positives(
     skipped = skipped_samples(status)
     kept = status.where(F.col("skip_reason").isNull()).withColumn("rank", split_rank())
 
-    images = files.select("sample_id", "name", "path").join(kept.select("sample_id", "split", "rank"), "sample_id")
-    images = dense_id(images, "image_id", ["rank", "sample_id", "name"], start=image_start)
+    images = files.select("sample_id", "sample", "name", "path").join(kept.select("sample", "split", "rank"), "sample")
+    images = dense_id(images, "image_id", ["rank", "sample_id", "sample", "name"], start=image_start)
     # ids of a sample are consecutive: its list is a range, nothing to collect
-    spans = images.groupBy("sample_id").agg(
+    spans = images.groupBy("sample").agg(
         F.min("image_id").alias("lo"), F.max("image_id").alias("hi")
     )
-    texts = dense_id(kept, "text_id", ["rank", "sample_id"], start=text_start).join(spans, "sample_id")
+    texts = dense_id(kept, "text_id", ["rank", "sample_id", "sample"], start=text_start).join(spans, "sample")
     texts = texts.select(
         "split",
         F.col("text_id").alias("ord"),
@@ -184,7 +187,7 @@ def build_all_positives(
         F.sequence("lo", "hi").alias("image_ids"),
         F.lit(None).cast("bigint").alias("source_text_id"),
     )
-    stock = images.select("split", F.col("image_id").alias("ord"), "image_id", "sample_id", "name", "path")
+    stock = images.select("split", F.col("image_id").alias("ord"), "image_id", "sample_id", "sample", "name", "path")
     return texts, stock, skipped
 
 
@@ -192,19 +195,19 @@ def fallback_files(files: DataFrame) -> DataFrame:
     """Files of the first folder that has any, per sample."""
     ranked = files.withColumn("folder_rank", F.array_position(F.array(*map(F.lit, FOLDERS)), F.col("folder")))
     ranked = ranked.where("folder_rank > 0")
-    best = ranked.groupBy("sample_id").agg(F.min("folder_rank").alias("folder_rank"))
-    return ranked.join(best, ["sample_id", "folder_rank"]).drop("folder_rank")
+    best = ranked.groupBy("sample").agg(F.min("folder_rank").alias("folder_rank"))
+    return ranked.join(best, ["sample", "folder_rank"]).drop("folder_rank")
 
 
 def first_positive(files: DataFrame) -> DataFrame:
-    """``sample_id, folder, name, path``: first file by folder, then by name."""
+    """``sample, folder, name, path``: first file by folder, then by name."""
     rank = F.array_position(F.array(*map(F.lit, FOLDERS)), F.col("folder"))
     best = (
         files.where(rank > 0)
-        .groupBy("sample_id")
+        .groupBy("sample")
         .agg(F.min(F.struct(rank.alias("rank"), "name", "folder", "path")).alias("best"))
     )
-    return best.select("sample_id", "best.folder", "best.name", "best.path")
+    return best.select("sample", "best.folder", "best.name", "best.path")
 
 
 def build_one_positive(
@@ -212,8 +215,8 @@ def build_one_positive(
     queries: DataFrame,
     files: DataFrame,
     *,
-    start: int,
-    end: int,
+    start: Column | int,
+    end: Column | int,
     text_start: Column | int = 0,
     image_start: Column | int = 0,
     split: str = "train",
@@ -228,7 +231,7 @@ def build_one_positive(
     skipped = status.where(F.col("skip_reason").isNotNull()).select(
         F.lit(split).alias("split"), "sample", "skip_reason"
     )
-    kept = status.where(F.col("skip_reason").isNull()).join(first, "sample_id")
+    kept = status.where(F.col("skip_reason").isNull()).join(first, "sample")
     kept = dense_id(kept, "place", ["sample_id"])
     shift = lambda by: (F.col("place") + (by if isinstance(by, Column) else F.lit(by))).cast("bigint")
     rows = kept.select(

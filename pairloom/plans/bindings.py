@@ -210,20 +210,16 @@ def samples(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
     The first user turn is the query, assistant turns are the positives,
     system turns fill the second folder.
     """
+    number = F.col("conv_id").alias("sample_id")
+    sample = F.when(F.col("conv_id") < 1_000_000, F.lpad(F.col("conv_id").cast("string"), 6, "0")).otherwise(F.col("conv_id").cast("string"))
     turns = table(spark, sf, "conversations")
-    folders = turns.select(F.col("conv_id").alias("sample_id")).distinct().withColumn(
-        "sample",
-        F.when(F.col("sample_id") < 1_000_000, F.lpad(F.col("sample_id").cast("string"), 6, "0")).otherwise(
-            F.col("sample_id").cast("string")
-        ),
-    )
-    queries = turns.where("role = 'user'").groupBy(F.col("conv_id").alias("sample_id")).agg(
-        F.min_by("text", "turn").alias("query")
-    )
+    folders = turns.select(number, sample.alias("sample")).distinct()
+    queries = turns.where("role = 'user'").groupBy(number, sample.alias("sample")).agg(F.min_by("text", "turn").alias("query"))
     name = F.concat(F.lpad(F.col("turn").cast("string"), 6, "0"), F.lit(".jpg"))
     folder = F.when(F.col("role") == "assistant", "pos_images").otherwise("pos")
     files = turns.where("role in ('assistant', 'system')").select(
-        F.col("conv_id").alias("sample_id"),
+        number,
+        sample.alias("sample"),
         folder.alias("folder"),
         name.alias("name"),
         F.concat_ws("/", F.col("conv_id").cast("string"), folder, name).alias("path"),
