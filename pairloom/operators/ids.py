@@ -11,11 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pairloom.session import staged
 
-_SAMPLE_PER_BUCKET = 16
 #: Bits of a row's place within its partition in ``monotonically_increasing_id``.
 _ROW_BITS = 33
 
@@ -39,51 +37,27 @@ def next_text_ids(texts: DataFrame) -> DataFrame:
     return texts.groupBy("split").agg((F.max("text_id") + 1).alias("next_text_id"))
 
 
-def _cut_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[str]:
-    """At most about ``buckets`` keys, as JSON, that cut the rows evenly.
-
-    They come from a sample of bounded size, chosen by key hash so that a second
-    run finds the same points.
-    """
-    keys = df.select(*order)
-    # unique keys hash evenly, so the share below is about as many rows
-    wanted = buckets * _SAMPLE_PER_BUCKET
-    share = min(wanted / max(keys.count(), 1), 1.0)
-    sample = keys if share == 1.0 else keys.where(
-        F.xxhash64(*order) < F.lit(int(share * 2**64) - 2**63)
-    )
-    points = sample.orderBy(*order).select(
-        F.to_json(F.struct(*order), {"ignoreNullFields": "false"}).alias("key")
-    )
-    return [row.key for row in points.collect()][_SAMPLE_PER_BUCKET - 1 :: _SAMPLE_PER_BUCKET]
-
-
-def _bucket_of(df: DataFrame, order: Sequence[str], cuts: list[str]) -> Column:
-    """Number of cut points up to the key: one literal array, halved per step."""
-    if not cuts:
-        return F.lit(0)
-    points = F.from_json(F.lit("[" + ",".join(cuts) + "]"), T.ArrayType(df.select(*order).schema))
-    key = F.struct(*order)
-    steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))))
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(F.get(points, at + step - 1) <= key, at + step).otherwise(at),
-    )
-
-
-def in_order(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+def in_order(df: DataFrame, key: str, parts: int | None = None, within: tuple[str, int] | None = None) -> DataFrame:
     """Partitions that follow each other in ``key`` order, sorted inside.
 
-    Unlike a range repartition it samples the key column alone, so a payload
-    next to it is computed and moved once.
+    Every partition takes an equal stretch between the smallest and the largest
+    key, so a row's partition follows from its key alone: only the keys are read
+    to find the ends, and whatever stands next to them is computed and moved
+    once.  Meant for row numbers; keys that crowd together crowd a partition.
+    ``within`` names a column of numbers from 0 and how many there are: each
+    number has partitions of its own.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = _cut_points(df, [key], parts)
-    # about ``parts`` of them, whatever the sample gave
-    cuts = cuts[:: max(len(cuts) // parts, 1)]
-    place = _bucket_of(df, [key], cuts)
-    return df.repartitionById(len(cuts) + 1, place).sortWithinPartitions(key)
+    groups, number = (within[1], F.col(within[0])) if within else (1, F.lit(0))
+    least, largest = df.agg(F.min(key), F.max(key)).first()
+    if least is None:
+        return df
+    each = max(parts // groups, 1)
+    width = -(-(largest - least + 1) // each)
+    # as doubles, whose rounding keeps the order
+    stretch = F.floor((F.col(key).cast("double") - F.lit(float(least))) / F.lit(float(width)))
+    place = (number * each + F.least(F.coalesce(stretch, F.lit(0)), F.lit(each - 1))).cast("int")
+    return df.repartitionById(groups * each, place).sortWithinPartitions(*([within[0]] if within else []), key)
 
 
 def _ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:

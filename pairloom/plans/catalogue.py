@@ -290,8 +290,8 @@ def annotation_images(spark, sf):
     return images.select("split", "image_id", "path")
 
 
-_FOLDER_SQL = f"""WITH convs AS (SELECT DISTINCT conv_id FROM conversations),
-{_cut_sql('convs', 'conv_id', 0.1)},
+_FOLDER_SQL = f"""WITH convs AS (SELECT DISTINCT conv_id, lpad(conv_id::VARCHAR, 6, '0') AS sample FROM conversations),
+{_cut_sql('convs', 'sample', 0.1)},
 asked AS (SELECT conv_id, {q.strip("arg_min(text, turn)")} AS query FROM conversations WHERE role = 'user' GROUP BY conv_id),
 files AS (SELECT conv_id, turn, CASE role WHEN 'assistant' THEN 'pos_images' ELSE 'pos' END AS folder,
   lpad(turn::VARCHAR, 6, '0') || '.jpg' AS name FROM conversations WHERE role IN ('assistant', 'system')),
@@ -370,15 +370,17 @@ def folder_first_positive_skips(spark, sf):
     return skipped.select("sample", "skip_reason")
 
 
-FIRST, LAST = 3, 17
-
-
-@query(f"""{_FOLDER_SQL}
+@query(f"""{_FOLDER_SQL},
+ends AS (SELECT min(conv_id) AS lo, max(conv_id) AS hi, (max(conv_id) - min(conv_id)) // 4 AS quarter FROM conversations)
 SELECT row_number() OVER (ORDER BY conv_id) - 1 AS text_id, query AS text, lpad(conv_id::VARCHAR, 6, '0') AS sample
-FROM status WHERE query <> '' AND all_files > 0 AND conv_id BETWEEN {FIRST} AND {LAST}""")
+FROM status, ends WHERE query <> '' AND all_files > 0 AND conv_id BETWEEN lo + quarter AND hi - quarter""")
 def folder_id_range(spark, sf):
-    """Only the folders numbered FIRST to LAST, both included."""
-    made, images, _ = build.build_one_positive(*b.samples(spark, sf), start=FIRST, end=LAST)
+    """Only the folders of the middle half of all numbers, both ends included."""
+    folders, queries, files = b.samples(spark, sf)
+    lo, hi = F.min("sample_id"), F.max("sample_id")
+    quarter = F.floor((hi - lo) / 4)
+    start, end = (folders.agg(c.alias("end")).scalar() for c in (lo + quarter, hi - quarter))
+    made, images, _ = build.build_one_positive(folders, queries, files, start=start, end=end)
     names = images.select("ord", F.lpad(F.col("sample_id").cast("string"), 6, "0").alias("sample"))
     return made.join(names, "ord").select("text_id", "text", "sample")
 
@@ -750,7 +752,7 @@ def append_to_files(spark, sf):
     folder = scratch_path(spark, "dataset")
     sinks.write_dataset(stored, images, folder, ("train",))
     sinks.append_rows(*append.new_rows(resolved, batch, stored, images), folder)
-    texts = text_files.read_texts(spark, text_files.texts_path(folder, "train"), "train")
+    texts, _ = datasets.read_dataset(spark, folder)
     return texts.select("text_id", "text", joined("image_ids"))
 
 

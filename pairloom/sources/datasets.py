@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pairloom.schema import SPLITS
 from pairloom.sources import paths
 from pairloom.sources.images import empty_images, images_path, read_images
+from pairloom.sources.snapshots import visible
 from pairloom.sources.texts import empty_texts, read_texts, texts_path
 
 
@@ -25,7 +26,8 @@ def read_dataset(
     """Captions and images of all splits that exist.
 
     A split named in ``required`` must exist; at least one must.  ``extras``
-    keeps the unknown keys of caption rows.
+    keeps the unknown keys of caption rows.  Appended batches count from their
+    commit on.
     """
     have = present_splits(spark, folder, splits)
     for split in required:
@@ -36,7 +38,7 @@ def read_dataset(
         raise FileNotFoundError(f"No train/valid files found in {folder}")
     texts, images = empty_texts(spark), empty_images(spark)
     for split in have:
-        rows = read_texts(spark, texts_path(folder, split), split, extras=extras)
+        rows = read_texts(spark, visible(spark, folder, texts_path(folder, split), split), split, extras=extras)
         texts = texts.unionByName(rows, allowMissingColumns=True)
-        images = images.unionByName(read_images(spark, images_path(folder, split), split))
+        images = images.unionByName(read_images(spark, visible(spark, folder, images_path(folder, split), split), split))
     return texts, images

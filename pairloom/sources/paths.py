@@ -60,6 +60,22 @@ def is_filled(spark: SparkSession, path: str) -> bool:
     return fs.exists(where) and len(fs.listStatus(where)) > 0
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder into place of another; an absent one leaves an empty folder there."""
+    fs, where = _fs(spark, target)
+    _, old = _fs(spark, source)
+    fs.delete(where, True)
+    if not fs.exists(old):
+        fs.mkdirs(where)
+    elif not fs.rename(old, where):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = _fs(spark, path)
+    fs.delete(where, True)
+
+
 def require(spark: SparkSession, path: str) -> str:
     if not exists(spark, path):
         raise FileNotFoundError(f"Missing file: {path}")

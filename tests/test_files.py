@@ -5,8 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.operators import coverage, prepare, validate
-from pairloom.sources import annotations, checklist, datasets, folders, images, paths, sinks, texts
+from pairloom.operators import build, coverage, prepare, validate
+from pairloom.sources import annotations, checklist, datasets, folders, images, paths, sinks, snapshots, texts
 
 
 def write(path, text):
@@ -100,6 +100,88 @@ def test_write_append_and_guard(spark, tmp_path):
     assert [r.ord for r in stock.where("split = 'train'").orderBy("ord").collect()] == list(range(51))
 
 
+def stored(spark, out, n=20):
+    schema = "split string, ord bigint, text_id bigint, text string, image_ids array<bigint>"
+    make = lambda split, ids: spark.createDataFrame([(split, k, k, f"t{k}", [k]) for k in ids], schema)
+    stock = lambda split, ids: spark.createDataFrame([(split, k, k, f"B{k}") for k in ids], "split string, ord bigint, image_id bigint, image_b64 string")
+    sinks.write_dataset(make("train", range(n)).unionByName(make("valid", [3, 1])), stock("train", range(n)).unionByName(stock("valid", [3, 1])), out)
+    return make, stock
+
+
+def seen(spark, out, split="train"):
+    return tuple([r[0] for r in f.where(F.col("split") == split).orderBy("ord").select(c).collect()] for f, c in zip(datasets.read_dataset(spark, out), ("text_id", "image_id")))
+
+
+def test_append_shows_both_files_or_neither(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "data")
+    make, stock = stored(spark, out)
+    whole, write_texts = sinks.write_texts, sinks.write_texts
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("between the two files")
+
+    monkeypatch.setattr(sinks, "write_texts", broken)
+    with pytest.raises(RuntimeError):
+        sinks.append_rows(make("train", [20, 21]), stock("train", [20, 21]), out, batch="a")
+    assert seen(spark, out) == (list(range(20)), list(range(20)))
+    monkeypatch.setattr(sinks, "write_texts", whole)
+    # the texts are there, the commit is not
+    monkeypatch.setattr(snapshots, "commit", broken)
+    with pytest.raises(RuntimeError):
+        sinks.append_rows(make("train", [20, 21]), stock("train", [20, 21]), out, batch="a")
+    assert seen(spark, out) == (list(range(20)), list(range(20)))
+    monkeypatch.undo()
+    assert sinks.append_rows(make("train", [20, 21]), stock("train", [20, 21]), out, batch="a")
+    assert not sinks.append_rows(make("train", [20, 21]), stock("train", [20, 21]), out, batch="a")  # a retry after all
+    assert sinks.append_rows(make("valid", [9]), stock("valid", [9]), out, "valid")
+    assert sinks.append_rows(make("train", [22]), stock("train", [22]), out, batch="b")
+    assert seen(spark, out) == (list(range(23)), list(range(23)))
+    assert seen(spark, out, "valid") == ([1, 3, 9], [1, 3, 9])
+    assert [(c.number, c.split) for c in snapshots.commits(spark, out)] == [(1, "train"), (2, "valid"), (3, "train")]
+
+
+def test_uncommitted_batches_can_be_dropped(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "data")
+    make, stock = stored(spark, out)
+    assert sinks.append_rows(make("train", [20]), stock("train", [20]), out)
+    monkeypatch.setattr(snapshots, "commit", lambda *a: None)
+    sinks.append_rows(make("train", [21]), stock("train", [21]), out)
+    path = f"{out}/train_texts.jsonl"
+    assert snapshots.drop_uncommitted(spark, out, path) == ["_batch-000000000002"]
+    assert snapshots.drop_uncommitted(spark, out, path) == []
+    assert seen(spark, out)[0] == list(range(21))
+
+
+def test_overwrite_forgets_batches(spark, tmp_path):
+    out = str(tmp_path / "data")
+    make, stock = stored(spark, out)
+    sinks.append_rows(make("train", [20]), stock("train", [20]), out)
+    sinks.write_dataset(make("train", [5, 2]), stock("train", [5, 2]), out, overwrite=True)
+    assert seen(spark, out) == ([2, 5], [2, 5]) and seen(spark, out, "valid") == ([], [])
+
+
+def test_both_splits_are_written_from_one_scan(spark, tmp_path, monkeypatch):
+    """Every payload file is read once for all splits."""
+    for k in range(6):
+        write(tmp_path / "files" / f"{k}.jpg", f"J{k}")
+    files = spark.read.format("binaryFile").load(str(tmp_path / "files"))
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("binary")
+    def counted(content):
+        reads.add(1)
+        return content
+
+    names = files.select(F.regexp_extract("path", r"(\d)\.jpg", 1).cast("bigint").alias("k"), "path")
+    rows = names.select(F.when(F.col("k") % 2 == 0, "train").otherwise("valid").alias("split"), F.col("k").alias("ord"), F.col("k").alias("image_id"), "path")
+    images = build.attach_payload(rows, files.select("path", counted("content").alias("content")))
+    texts = rows.select("split", "ord", F.col("ord").alias("text_id"), F.lit("t").alias("text"), F.array("image_id").alias("image_ids"))
+    out = str(tmp_path / "data")
+    sinks.write_dataset(texts, images, out)
+    assert reads.value == 6
+    assert seen(spark, out) == ([0, 2, 4], [0, 2, 4]) and seen(spark, out, "valid") == ([1, 3, 5], [1, 3, 5])
+
+
 def export(root, entries, notes):
     write(
         root / "annotations" / "instances_default.json",
@@ -207,3 +289,20 @@ def test_prepare_dataset(spark, tmp_path):
     with pytest.raises(FileExistsError):
         prepare.prepare_dataset(spark, [a], str(root), out)
     assert paths.is_filled(spark, out)
+
+
+def test_folders_of_one_number_are_two_samples(spark, tmp_path):
+    root = tmp_path / "queries"
+    sample(root, "2", "two", pos_images=["a.jpg", "b.jpg"])
+    sample(root, "000002", "padded", pos_images=["c.jpg"], pos=["z.jpg"])
+    sample(root, "7", None, pos_images=["d.jpg"])
+    sample(root, "0007", "no images")
+    made = [f(spark, str(root)) for f in (folders.read_samples, folders.read_queries, folders.read_folder_files)]
+    status = {r.sample: (r.query, r.files, r.skip_reason) for r in build.sample_status(*made[:2], made[2].where("folder = 'pos_images'")).collect()}
+    assert status == {"2": ("two", 2, None), "000002": ("padded", 1, None), "7": ("", 1, build.EMPTY_QUERY), "0007": ("no images", None, build.NO_IMAGES)}
+    texts, stock, skipped = build.build_all_positives(*made)
+    assert {(r.text, tuple(r.image_ids)) for r in texts.collect()} == {("padded", (0,)), ("two", (1, 2))}
+    assert [(r.image_id, r.sample, r.name) for r in stock.orderBy("image_id").collect()] == [(0, "000002", "c.jpg"), (1, "2", "a.jpg"), (2, "2", "b.jpg")]
+    assert sorted(r.sample for r in skipped.collect()) == ["0007", "7"]
+    one, _, _ = build.build_one_positive(*made, start=1, end=5)
+    assert [r.text for r in one.collect()] == ["padded"]

@@ -1,13 +1,15 @@
 """Skew, partition counts and plan shapes."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from pairloom.operators import append, expand, ids, merge, validate
+from pairloom.operators import append, bitmaps, expand, filtering, ids, merge, validate
+from pairloom.session import staged
 
 SF = "/root/testdata/sf0.001"
 
@@ -139,3 +141,89 @@ def test_scans_are_pruned_and_filtered(spark):
     assert "p_name" not in update.split("part.parquet")[0].rsplit("FileScan", 1)[-1]
     caption = plan(contract.queries()["annotation_images"](spark, SF))
     assert "BatchEvalPython" not in caption and "ArrowEvalPython" not in caption
+
+
+def shuffled(spark, df):
+    """What each shuffle and sort of the plan says about itself, its columns included."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    parts = re.split(r"\n\n(?=\(\d+\) )", df._jdf.queryExecution().explainString(mode))
+    return [p for p in parts if re.match(r"\(\d+\) (Exchange|ShuffleQueryStage|Sort)\b", p)]
+
+
+def test_bitmaps_hold_and_rank(spark):
+    import random
+
+    rng = random.Random(2)
+    ids = {s: sorted({rng.randrange(1, 200_000) for _ in range(3000)}) for s in "ab"}
+    frame = spark.createDataFrame([(s, i) for s, own in ids.items() for i in own], "s string, id bigint")
+    maps = bitmaps.id_bitmaps(frame.union(frame), "id", ["s"])
+    asked = spark.createDataFrame([(s, i) for s in "abc" for i in [*range(0, 200_000, 7), -3, None]], "s string, id bigint")
+    got = {(r.s, r.id) for r in bitmaps.with_member(asked, maps, "id", ["s"]).collect()}
+    assert got == {(s, i) for s, own in ids.items() for i in own if i % 7 == 0}
+    ranks = {(r.s, r.id): r.at for r in bitmaps.with_rank(frame, maps, "id", "at", ["s"]).collect()}
+    assert ranks == {(s, i): k for s, own in ids.items() for k, i in enumerate(own)}
+
+
+def test_signed_ids_are_members(spark):
+    frame = spark.createDataFrame([(i,) for i in (-70_000, -32_768, -1, 0, 1, 32_768, 32_769, 2**40)], "id bigint")
+    maps = bitmaps.id_bitmaps(frame, "id")
+    asked = spark.createDataFrame([(i,) for i in (-70_000, -70_001, -32_768, -2, -1, 0, 1, 2, 32_767, 32_768, 32_769, 2**40)], "id bigint")
+    assert bitmaps.with_member(asked, maps, "id").count() == 8
+
+
+def test_sparse_ids_are_joined(spark, monkeypatch, texts, images):
+    monkeypatch.setattr(bitmaps, "MOST_ROWS", 1)
+    t = texts(("train", 1, "a", [5, 10**9]), ("valid", 2, "b", [10**6]))
+    i = images(("train", 5, "A"), ("train", 10**9, "B"), ("train", 10**6, "C"), ("valid", 10**6, "D"))
+    assert sorted(r.image_b64 for r in filtering.keep_referenced(i, t).collect()) == ["A", "B", "D"]
+    _, merged = merge.merge_datasets(t, i, t, i.where("image_b64 <> 'D'").withColumn("ord", F.col("ord") * 10**6))
+    assert sorted((r.image_id, r.image_b64) for r in merged.where("origin = 'added'").collect()) == [(10**9 + 1, "A"), (10**9 + 2, "B"), (10**9 + 3, "C")]
+
+
+@pytest.mark.parametrize("name", ["filter_long_images", "merge_images"])
+def test_payload_is_not_shuffled(spark, name):
+    parts = shuffled(spark, contract.queries()[name](spark, SF))
+    assert not [p for p in parts if "image_b64" in p or "p_name" in p]
+
+
+def batch_of(spark, *rows):
+    return spark.createDataFrame([(k, t, i) for k, (t, i) in enumerate(rows)], "batch_ord bigint, text string, images array<string>")
+
+
+def test_append_of_a_row_with_very_many_images(spark, texts, images):
+    t, i = texts(("train", 4, "old", [7, 8])), images(("train", 7, "AA=="), ("train", 8, "BB=="))
+    many = 100_000
+    pieces = spark.range(many).select(F.lit(0).cast("bigint").alias("batch_ord"), F.col("id").cast("int").alias("pos"), F.concat(F.lit("P"), F.col("id")).alias("image"))
+    again = pieces.select((F.col("batch_ord") + 1).alias("batch_ord"), (many - 1 - F.col("pos")).alias("pos"), "image")
+    batch = spark.createDataFrame([(0, "big"), (1, "big"), (2, " old ")], "batch_ord bigint, text string")
+    every = pieces.union(again).union(spark.createDataFrame([(2, 0, "BB=="), (2, 1, "AA==")], pieces.schema))
+    got = append.append_annotations(t, i, batch, pieces=every)
+    rows = {r.batch_ord: r for r in got.collect()}
+    assert [(rows[k].text_id, rows[k].existing) for k in range(3)] == [(5, False), (5, True), (4, True)]
+    assert rows[0].image_ids == list(range(9, 9 + many)) and rows[2].image_ids == [7, 8]
+    _, stock = append.new_rows(got, batch, t, i, pieces=every)
+    assert stock.count() == many and stock.where(F.col("image_b64") != F.concat(F.lit("P"), F.col("image_id") - 9)).count() == 0
+
+
+def test_append_joins_on_one_binary_key(spark, texts, images):
+    t, i = texts(("train", 0, "a", [1, 2])), images(("train", 1, "AA=="), ("train", 2, "BB=="))
+    got = append.append_annotations(t, i, batch_of(spark, ("a", ["BB==", "AA=="]), ("b", ["CC=="])))
+    assert got.schema["image_ids"].dataType.simpleString() == "array<bigint>"
+    keys = [p for p in shuffled(spark, got) if "hashpartitioning(" in p]
+    assert keys and not any("contents" in p or "image_b64" in p or "images" in p for p in keys)
+
+
+def test_append_tells_sets_and_numbers_apart(spark, texts, images):
+    t = texts(("train", 0, "a", [1, 2]), ("train", 1, "a", [1, 1]), ("train", 2, "a", [3]), ("train", 3, "a", []))
+    i = images(("train", 1, "AA=="), ("train", 2, "BB=="))
+    batch = batch_of(spark, ("a", ["BB==", "AA=="]), ("a", ["AA==", "AA=="]), ("a", ["AA=="]), ("a", ["AA==", "BB==", "BB=="]), ("a:", ["AA==", "BB=="]))
+    stored = staged(append.content_index(i))
+    for contents in (None, stored):
+        got = append.append_annotations(t, i, batch, contents=contents).orderBy("batch_ord").collect()
+        assert [(r.text_id, r.existing) for r in got] == [(0, True), (1, True), (4, False), (5, False), (6, False)]
+
+
+@pytest.mark.parametrize("text,pictures,message", [(" ", ["A"], "text cannot be empty"), ("a", [], "images cannot be empty"), ("a", None, "images cannot be empty")])
+def test_append_refuses_empty_rows(spark, texts, images, text, pictures, message):
+    with pytest.raises(Exception, match=message):
+        append.append_annotations(texts(("train", 0, "x", [1])), images(("train", 1, "A")), batch_of(spark, (text, pictures))).collect()
