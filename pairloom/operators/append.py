@@ -27,16 +27,38 @@ def content_index(images: DataFrame) -> DataFrame:
 def _keys(pieces: DataFrame, row: str) -> DataFrame:
     """``row, digest, files`` of ``pieces`` (row, content): one digest for a row's set of contents, in any order.
 
-    Hashes are cut into four numbers that are summed over the different contents,
-    so a row with very many images is partial sums and never a list.
+    Four hashes of each different content are folded together, so a row with
+    very many images is partial results and never a list.
     """
     different = pieces.groupBy(row, "content").agg(F.count(F.lit(1)).alias("n"))
-    part = lambda k: F.conv(F.substring("content", 16 * k + 1, 15), 16, 10).cast("decimal(38,0)")
-    sums = different.groupBy(row).agg(
-        *[F.sum(part(k)).alias(f"part{k}") for k in range(4)], F.sum("n").alias("files"), F.count(F.lit(1)).alias("kinds")
-    )
-    digest = F.concat_ws(":", *[F.col(f"part{k}").cast("string") for k in range(4)], F.col("kinds").cast("string"), F.col("files").cast("string"))
-    return sums.select(row, digest.alias("digest"), "files")
+    folded = [F.bit_xor(_mixed(F.col("content"), k)) for k in range(_FOLDS)]
+    files = F.sum("n")
+    return different.groupBy(row).agg(_digest(folded, F.count(F.lit(1)), files).alias("digest"), files.alias("files"))
+
+
+_FOLDS = 4
+
+
+def _mixed(content: Column, k: int) -> Column:
+    return F.xxhash64(F.lit(k), content)
+
+
+def _digest(folded: list[Column], kinds: Column, files: Column) -> Column:
+    return F.concat_ws(":", *[c.cast("string") for c in (*folded, kinds, files)])
+
+
+def _list_keys(batch: DataFrame) -> DataFrame:
+    """``batch_ord, text, digest, files`` of rows that hold their images as a list; the digest of ``_keys``, made in place."""
+    hashes = F.transform("images", lambda x: F.coalesce(content_hash(x), F.lit(_NO_CONTENT)))
+
+    def fold(contents: Column) -> Column:
+        zero = F.lit(0).cast("bigint")
+        folded = [F.aggregate(contents, zero, lambda acc, x: acc.bitwiseXOR(_mixed(x, k))) for k in range(_FOLDS)]
+        return _digest(folded, F.size(contents).cast("bigint"), F.size("images").cast("bigint"))
+
+    # a list of one list, so that its hashes are made once
+    digest = F.transform(F.array(F.array_distinct(hashes)), fold)[0]
+    return batch.select("batch_ord", "text", digest.alias("digest"), F.size("images").cast("bigint").alias("files"))
 
 
 def _key(text: Column) -> Column:
@@ -109,15 +131,16 @@ def append_annotations(
     """
     text = strip(or_empty(F.col("text")))
     train_texts, train_images = texts.where(F.col("split") == split), images.where(F.col("split") == split)
-    pieces = batch_pieces(batch) if pieces is None else pieces
     # hashes and texts are all that is compared and moved
-    hashed = F.coalesce(content_hash(F.col("image")), F.lit(_NO_CONTENT)).alias("content")
-    sets = _keys(pieces.select("batch_ord", hashed), "batch_ord")
+    if pieces is None:
+        keyed = _list_keys(batch)
+    else:
+        hashed = F.coalesce(content_hash(F.col("image")), F.lit(_NO_CONTENT)).alias("content")
+        keyed = batch.select("batch_ord", "text").join(_keys(pieces.select("batch_ord", hashed), "batch_ord"), "batch_ord", "left")
     empty = F.raise_error(F.lit("images cannot be empty"))
     keyed = staged(
-        batch.select("batch_ord", F.when(text == "", F.raise_error(F.lit("text cannot be empty"))).otherwise(text).alias("text"))
-        .join(sets, "batch_ord", "left")
-        .select("batch_ord", "text", F.coalesce("files", empty.cast("bigint")).alias("files"), _key(F.col("text")))
+        keyed.withColumn("text", F.when(text == "", F.raise_error(F.lit("text cannot be empty"))).otherwise(text))
+        .select("batch_ord", "text", F.coalesce(F.when(F.col("files") > 0, F.col("files")), empty.cast("bigint")).alias("files"), _key(F.col("text")))
     )
     known = _existing(train_texts, train_images, contents, keyed)
     firsts = keyed.groupBy("key").agg(F.min("batch_ord").alias("first_ord"), F.first("files").alias("files"))

@@ -94,10 +94,13 @@ def test_append_hashes_cited_images_only(spark):
     texts = spark.createDataFrame([("train", 0, 0, "t", [7])], "split string, ord long, text_id long, text string, image_ids array<long>")
     images = spark.createDataFrame([("train", 0, 7, "QUJD"), ("train", 1, 8, "REU=")], "split string, ord long, image_id long, image_b64 string")
     wanted = spark.createDataFrame([("t",)], "text string")
-    known = append._existing(texts, images, wanted)
+    known = append._existing(texts, images, None, wanted)
     plan = known._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("sha2(") < plan.index("LeftSemi")
-    assert [(r.old_text_id, r.files) for r in known.collect()] == [(0, 1)]
+    # the hash stands above the filter that leaves cited images
+    assert plan.rindex("sha2(") < plan.index("getbit(")
+    batch = spark.createDataFrame([(0, "t", ["QUJD"]), (1, "t", ["REU="])], "batch_ord long, text string, images array<string>")
+    keys = {r.batch_ord: r.key for r in append._list_keys(batch).select("batch_ord", append._key(F.col("text"))).collect()}
+    assert [(r.old_text_id, r.key) for r in known.collect()] == [(0, keys[0])] and keys[0] != keys[1] and len(keys[0]) == 32
 
 
 def test_captions_of_an_image_by_stored_links(spark, tmp_path):
