@@ -256,6 +256,45 @@ def export_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def captioned_export(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The five exports with an order's caption as the one annotation of its image."""
+    images, _, files = export(spark, sf)
+    keys = images.select("source_ord", "export_image_id")
+    notes = texts(spark, sf).select(F.col("text_id").alias("export_image_id"), "ord", F.col("text").alias("txt"))
+    return images, notes.join(keys, "export_image_id"), files
+
+
+def with_status(texts: DataFrame) -> DataFrame:
+    """Captions with unknown keys: a word, and a nested number."""
+    known = F.to_json(F.struct("status", F.struct(F.size("image_ids").alias("images")).alias("seen")))
+    return texts.withColumn("extras", F.from_json(known, "map<string,variant>"))
+
+
+#: Items of a checklist document, parts of an image sheet.
+ITEMS, SHEET = 500, 100
+
+
+def checklist_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Checklists as JSON, one per row: the parts of a stretch of keys, with their words as queries."""
+    size = F.col("p_size").cast("string")
+    item = F.struct(
+        F.col("p_partkey").alias("id"), F.col("p_brand").alias("priority"), F.col("p_type").alias("category"),
+        F.col("noun").alias("attribute"), F.col("colour").alias("color"),
+        F.concat(size, F.lit("-"), (F.col("p_size") + 20).cast("string")).alias("target_images"),
+        F.split("p_name", " ").alias("queries"),
+    )
+    parts = part_words(table(spark, sf, "part")).groupBy(F.expr(f"p_partkey div {ITEMS}").alias("part_block"))
+    lists = parts.agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return lists.select("part_block", F.to_json(F.struct(F.lit("stock").alias("name"), "items")).alias("value"))
+
+
+def image_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """One image per row: the names of a stretch of parts."""
+    parts = table(spark, sf, "part").groupBy(F.expr(f"p_partkey div {SHEET}").alias("sheet"))
+    names = parts.agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))).alias("names"))
+    return names.select("sheet", F.array_join("names.p_name", ";").alias("value"))
+
+
 def header_bytes(spark: SparkSession, sf: str) -> DataFrame:
     """``part_key, content``: part names behind the header of some format."""
     lead = _case(F.col("p_type"), LEADS, OTHER_LEAD)

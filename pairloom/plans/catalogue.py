@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pairloom.functions import attributes, images as image_functions, text as text_functions, variants
 from pairloom.functions.lexicon import CHINESE
 from pairloom.operators import (
-    append, build, coverage, expand, filtering, ids, merge, relations, review, splitting, validate,
+    append, build, coverage, expand, filtering, ids, merge, prepare, relations, review, splitting, validate,
 )
 from pairloom.plans import bindings as b, sqlforms as q
 from pairloom.schema import ANNOTATION_EXPORT
 from pairloom.session import scratch_path, staged
-from pairloom.sources import annotations, datasets, folders, images as image_files, sinks, texts as text_files
+from pairloom.sources import annotations, checklist, datasets, folders, images as image_files, runs, sinks, texts as text_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -856,6 +856,87 @@ def collection_coverage(spark, sf):
     return coverage.coverage(b.texts(spark, sf), items).drop("label")
 
 
+def _stored_checklists(spark: SparkSession, sf: str) -> DataFrame:
+    """Checklists written as files, one document each, and read back as items."""
+    folder = scratch_path(spark, "checklists")
+    b.checklist_documents(spark, sf).select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    return coverage.checklist_items(checklist.read_checklist(spark, folder))
+
+
+@query(f"""WITH {b.ITEMS_SQL}
+SELECT p.p_partkey AS id, p_brand AS priority, p_type AS category, noun AS attribute, colour AS color,
+  p_size::BIGINT AS target_lo, (p_size + 20)::BIGINT AS target_hi FROM part p JOIN words USING (p_partkey)""")
+def checklist_items(spark, sf):
+    """Items of checklist files with their target ranges."""
+    items = _stored_checklists(spark, sf)
+    return items.select("id", "priority", "category", "attribute", "color", "target_lo", "target_hi")
+
+
+@query("""WITH w AS (SELECT p_partkey AS id, string_split(p_name, ' ') AS w FROM part)
+SELECT id, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS query FROM w""")
+def checklist_queries(spark, sf):
+    """Example queries of checklist files, in order."""
+    found = coverage.example_queries(_stored_checklists(spark, sf))
+    return found.select("id", F.col("pos").cast("bigint").alias("pos"), "query")
+
+
+# --- files to one dataset ---------------------------------------------------------------------------
+
+_SETTINGS = prepare.PrepareSettings()
+_PREPARED_SQL = f"""WITH {b.TEXTS_SQL},
+export AS (SELECT substr(o_orderpriority, 1, 1)::BIGINT - 1 AS source_ord, o_orderkey AS pos FROM orders WHERE o_orderstatus <> 'P'),
+samples AS (SELECT row_number() OVER (ORDER BY source_ord, pos) AS image_id, pos || '.jpg' AS path, text
+  FROM export JOIN texts ON texts.ord = pos),
+{_cut_sql('samples', 'image_id', _SETTINGS.caption_ratio)},
+built AS (SELECT split, row_number() OVER (PARTITION BY split ORDER BY image_id) - 1 AS text_id, text, image_id, path FROM marked),
+base AS (SELECT * FROM built WHERE length(text) <= {_SETTINGS.max_caption_len}),
+added_texts AS ({_FOLDER_SQL}
+  SELECT k.split, k.text_id, k.query AS text, list(s.image_id ORDER BY s.image_id) AS old_ids
+  FROM kept k JOIN stock s USING (conv_id) GROUP BY ALL),
+added_images AS ({_FOLDER_SQL} SELECT split, image_id AS old_id, conv_id || '/pos_images/' || name AS path FROM stock),
+id_map AS (SELECT *, (SELECT max(image_id) FROM base) + row_number() OVER (ORDER BY split, old_id) AS image_id FROM added_images),
+lists AS (SELECT split, text_id, list(m.image_id ORDER BY m.image_id) AS image_ids
+  FROM (SELECT split, text_id, unnest(old_ids) AS old_id FROM added_texts) u JOIN id_map m USING (split, old_id) GROUP BY ALL),
+merged AS (
+  SELECT split, text_id, text, [image_id] AS image_ids FROM base
+  UNION ALL
+  SELECT a.split, (SELECT coalesce(max(b.text_id) + 1, 0) FROM base b WHERE b.split = a.split)
+      + row_number() OVER (PARTITION BY a.split ORDER BY a.text_id) - 1, a.text, l.image_ids
+  FROM added_texts a JOIN lists l ON l.split = a.split AND l.text_id = a.text_id),
+prepared_images AS (SELECT split, image_id, path FROM base UNION ALL SELECT split, image_id, path FROM id_map),
+grown AS (SELECT *, text_id AS ord FROM merged WHERE split = 'train'),
+{q.variants_cte('grown', max_new=_SETTINGS.variants_per_text, min_len=_SETTINGS.variant_min_len,
+                max_len=_SETTINGS.variant_max_len, split_subjects=False)},
+emitted AS (SELECT split, ord, image_ids, unnest(variants) AS text, generate_subscripts(variants, 1) AS slot
+  FROM varied WHERE len(image_ids) = 1),
+fresh AS (SELECT split, image_ids, text, min((ord, slot)) AS place FROM emitted e
+  WHERE NOT EXISTS (SELECT 1 FROM varied v WHERE v.tidied = e.text AND v.image_ids = e.image_ids) GROUP BY ALL),
+prepared AS (
+  SELECT split, text_id, text, {JOINED} FROM merged
+  UNION ALL
+  SELECT split, (SELECT max(text_id) FROM grown) + row_number() OVER (ORDER BY place), text, {JOINED} FROM fresh)"""
+
+
+def _prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Exports and query folders as one checked dataset, in steps."""
+    run = runs.Run(spark, scratch_path(spark, "run"), {})
+    return prepare.prepare_frames(run, lambda: b.captioned_export(spark, sf), lambda: b.samples(spark, sf), _SETTINGS)
+
+
+@query(f"{_PREPARED_SQL} SELECT split, text_id, text, image_ids FROM prepared")
+def prepared_texts(spark, sf):
+    """Captions after building, length filter, merge and expansion."""
+    texts, _ = _prepared(spark, sf)
+    return texts.select("split", "text_id", "text", joined("image_ids"))
+
+
+@query(f"{_PREPARED_SQL} SELECT split, image_id, path FROM prepared_images")
+def prepared_images(spark, sf):
+    """Images that the prepared captions cite, with the files their bytes come from."""
+    _, images = _prepared(spark, sf)
+    return images.select("split", "image_id", "path")
+
+
 # --- files ----------------------------------------------------------------------------------------
 
 
@@ -940,3 +1021,28 @@ def dataset_optional_split(spark, sf):
     """Images of a stored dataset that has no train split."""
     _, images = _written(spark, sf, ("valid",))
     return images.select("split", "ord", "image_id", "image_b64")
+
+
+@query(f"""WITH {b.TEXTS_SQL}
+SELECT split, text_id, status, len(image_ids)::BIGINT AS images FROM texts WHERE length(text) <= {CAPTION_LEN}""")
+def dataset_unknown_keys(spark, sf):
+    """Unknown keys of stored captions after a filter, a second write and a second read."""
+    folder, images = scratch_path(spark, "dataset"), b.shared_images(spark, sf)
+    sinks.write_dataset(b.with_status(b.stored_texts(spark, sf)).drop("status"), images, f"{folder}/all")
+    sinks.write_dataset(*filtering.filter_long(*datasets.read_dataset(spark, f"{folder}/all"), CAPTION_LEN), f"{folder}/short")
+    texts, _ = datasets.read_dataset(spark, f"{folder}/short")
+    return texts.select(
+        "split", "text_id", F.variant_get(F.col("extras")["status"], "$", "string").alias("status"),
+        F.variant_get(F.col("extras")["seen"], "$.images", "bigint").alias("images"),
+    )
+
+
+@query(f"""SELECT 'data:image/jpeg;base64,' || base64(encode(string_agg(p_name, ';' ORDER BY p_partkey) || chr(10))) AS src
+FROM part GROUP BY p_partkey // {b.SHEET}""")
+def images_from_folder(spark, sf):
+    """Image files of a folder as data URLs."""
+    folder = scratch_path(spark, "sheets")
+    # a range partition holds rows, so no file is empty
+    sheets = b.image_sheets(spark, sf).repartitionByRange("sheet").select("value")
+    sheets.write.option("maxRecordsPerFile", 1).option("extension", "jpg").csv(folder)
+    return image_files.load_images(spark, folder).select("src")

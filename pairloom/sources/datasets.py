@@ -21,12 +21,12 @@ def present_splits(spark: SparkSession, folder: str, splits=SPLITS) -> list[str]
 
 
 def read_dataset(
-    spark: SparkSession, folder: str, splits=SPLITS, required: tuple[str, ...] = (), *, extras: bool = False
+    spark: SparkSession, folder: str, splits=SPLITS, required: tuple[str, ...] = (), *, extras: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Captions and images of all splits that exist.
 
-    A split named in ``required`` must exist; at least one must.  ``extras``
-    keeps the unknown keys of caption rows.  Appended batches count from their
+    A split named in ``required`` must exist; at least one must.  Unknown keys
+    of caption rows are kept (``extras``).  Appended batches count from their
     commit on.
     """
     have = present_splits(spark, folder, splits)

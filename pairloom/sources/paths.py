@@ -76,6 +76,24 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file under another name and move it into place; False if the place is taken."""
+    fs, where = _fs(spark, path)
+    if fs.exists(where):
+        return False
+    folder, _, name = path.rpartition("/")
+    _, hidden = _fs(spark, f"{folder}/.{name}.tmp")
+    out = fs.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    return fs.rename(hidden, where)
+
+
+def content(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def require(spark: SparkSession, path: str) -> str:
     if not exists(spark, path):
         raise FileNotFoundError(f"Missing file: {path}")

@@ -16,7 +16,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import SparkSession
 
-from pairloom.sources.paths import _fs
+from pairloom.sources.paths import _fs, create
 
 COMMITS = "_commits"
 
@@ -56,13 +56,7 @@ def visible(spark: SparkSession, folder: str, path: str, split: str) -> list[str
 
 def commit(spark: SparkSession, folder: str, entry: Commit) -> None:
     """Make a written batch count; fails if its number is taken."""
-    final = _place(folder, entry.number)
-    files, target = _fs(spark, final)
-    _, hidden = _fs(spark, f"{folder}/{COMMITS}/.{entry.number:012d}.tmp")
-    out = files.create(hidden, True)
-    out.write(bytearray(json.dumps(asdict(entry)).encode()))
-    out.close()
-    if files.exists(target) or not files.rename(hidden, target):
+    if not create(spark, _place(folder, entry.number), json.dumps(asdict(entry))):
         raise FileExistsError(f"commit {entry.number} of {folder} is taken")
 
 

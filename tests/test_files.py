@@ -5,8 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.operators import build, coverage, prepare, validate
-from pairloom.sources import annotations, checklist, datasets, folders, images, paths, sinks, snapshots, texts
+from pairloom.operators import build, coverage, expand, filtering, merge, prepare, review, validate
+from pairloom.sources import annotations, checklist, datasets, folders, images, paths, runs, sinks, snapshots, texts
 
 
 def write(path, text):
@@ -291,6 +291,81 @@ def test_prepare_dataset(spark, tmp_path):
     assert paths.is_filled(spark, out)
 
 
+def test_broken_run_goes_on(spark, tmp_path, monkeypatch):
+    """A run that broke at any step ends as one that did not, and makes no step twice."""
+    caption = "一个穿着黑色的上衣的男子，骑着电动车，地上有积水。"
+    a = export(tmp_path / "task", [(n, f"{n}.jpg") for n in range(1, 9)], [(n, {"txt": caption}) for n in range(1, 9)])
+    root = tmp_path / "samples"
+    for n in range(1, 4):
+        sample(root, f"{n:06d}", f"问题{n}", pos_images=["a.jpg"])
+    prepare.prepare_dataset(spark, [a], str(root), str(tmp_path / "whole"))
+    out, work = str(tmp_path / "out"), str(tmp_path / "work")
+    again = lambda **more: prepare.prepare_dataset(spark, [a], str(root), out, work=work, **more)
+    calls = []
+
+    def counted(name):
+        made = getattr(prepare, name)
+        monkeypatch.setattr(prepare, name, lambda *args, **kw: (calls.append(name), made(*args, **kw))[1])
+
+    def breaks(name):
+        def broken(*args, **kw):
+            raise RuntimeError(name)
+
+        with monkeypatch.context() as patch, pytest.raises(RuntimeError, match=name):
+            patch.setattr(prepare, name, broken)
+            again()
+
+    for name in ("build_from_annotations", "merge_datasets", "expand_variants", "write_dataset"):
+        counted(name)
+    for name in ("filter_long", "merge_datasets", "require_valid", "attach_payload"):
+        breaks(name)
+    # the last step breaks between the two files
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(sinks.paths, "replace", lambda *args: (_ for _ in ()).throw(RuntimeError("moving")))
+        again()
+    t, i = again()
+    assert calls == ["build_from_annotations", "merge_datasets", "expand_variants", "write_dataset", "write_dataset"]
+    again()
+    assert len(calls) == 5  # a run that ended does nothing
+    rows = lambda f: [tuple(r) for r in datasets.read_dataset(spark, f)[0].drop("extras").orderBy("split", "ord").collect()]
+    assert rows(out) == rows(str(tmp_path / "whole")) and t.count() == len(rows(out))
+    assert datasets.read_dataset(spark, out)[1].count() == i.count() == 11
+    with pytest.raises(ValueError, match="other settings or inputs"):
+        again(settings=prepare.PrepareSettings(seed=7))
+    sample(root, "000009", "neu", pos_images=["a.jpg"])
+    with pytest.raises(ValueError, match="other settings or inputs"):
+        again()
+
+
+def test_a_step_that_broke_is_written_anew(spark, tmp_path):
+    run = runs.Run(spark, str(tmp_path / "run"), {"a": 1})
+    spark.range(5).write.parquet(str(tmp_path / "run" / "rows"))  # no mark: not whole
+    assert run.step("rows", lambda: spark.range(3)).count() == 3
+    fails = lambda: pytest.fail("made again")
+    assert runs.Run(spark, str(tmp_path / "run"), {"a": 1}).step("rows", fails).count() == 3
+    assert run.step("none", lambda: spark.range(0)).count() == 0
+    with pytest.raises(ValueError):
+        runs.Run(spark, str(tmp_path / "run"), {"a": 2})
+
+
+def test_unknown_keys_go_through(spark, tmp_path):
+    """Kept from reader to writer: through filter, review, merge and expansion."""
+    line = {"text_id": 0, "text": "一个穿着黑色的上衣的男子，骑着电动车，地上有积水。", "image_ids": [1], "note": {"k": [1, None]}, "by": "me"}
+    for folder, extra in (("a", {}), ("b", {"more": 2.5})):
+        write(tmp_path / folder / "train_texts.jsonl", json.dumps(line | extra, ensure_ascii=False) + '\n{"text_id": 1, "text": "x"}\n')
+        write(tmp_path / folder / "train_imgs.tsv", "1\tAA\n")
+    read = lambda f: datasets.read_dataset(spark, str(tmp_path / f))
+    t, i = merge.merge_datasets(*filtering.filter_long(*read("a"), 55), *read("b"))
+    t = expand.expand_variants(t.drop("origin"))
+    edits = spark.createDataFrame([("train", 1, "edited", 0)], "split string, text_id bigint, clean_text string, ord bigint")
+    t = review.apply_review(t, edits).drop("changed")
+    sinks.write_dataset(t, i.drop("origin"), str(tmp_path / "c"))
+    got = {r["text_id"]: r for r in (json.loads(r.value) for r in spark.read.text(f"{tmp_path}/c/train_texts.jsonl").collect())}
+    assert got[0] == line and got[1] == {"text_id": 1, "text": "edited", "image_ids": []}
+    assert got[2] == line | {"text_id": 2, "image_ids": [2], "more": 2.5} and got[3]["text"] == "x"
+    assert got[4]["text"] == "穿黑色上衣的男子，骑着电动车，地上有积水" and set(got[4]) == {"text_id", "text", "image_ids"}
+
+
 def test_folders_of_one_number_are_two_samples(spark, tmp_path):
     root = tmp_path / "queries"
     sample(root, "2", "two", pos_images=["a.jpg", "b.jpg"])
