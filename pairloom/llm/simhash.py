@@ -95,9 +95,10 @@ def _cells(nodes: DataFrame) -> DataFrame:
     rows = nodes.select("fp", F.explode(F.array(*listed, *balls)).alias("r")).select("r.key", "r.own", "fp")
     rows = rows.where("key IS NOT NULL")
     crowded = rows.groupBy("key").agg(F.count_if("own").alias("_own"), F.count("*").alias("_all"))
-    crowded = crowded.where((F.col("_all") > 2 * BLOCK) & (F.col("_own") > 0))
+    crowded = crowded.where(F.col("_all") > 2 * BLOCK)
     blocks = lambda c: F.ceil(F.coalesce(F.col(c), F.lit(1)) / BLOCK).cast("int")
-    rows = rows.join(staged(crowded), "key", "left").select(
+    # a crowded value that no fingerprint has gives no link, however many look it up
+    rows = rows.join(staged(crowded), "key", "left").where("_own IS NULL OR _own > 0").select(
         "key", "own", "fp", blocks("_own").alias("_right"), blocks("_all").alias("_left")
     )
     mine = lambda n: F.pmod(F.xxhash64("fp"), F.col(n)).cast("int")

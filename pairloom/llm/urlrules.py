@@ -2,8 +2,13 @@
 
 Given rules decide first.  URLs that none of them fits are judged by rules
 mined with FP-growth from labelled URLs: sets of URL tokens that occur together
-often enough (support) and whose URLs are bad often enough (confidence).  A rule
-that a smaller one with at least its confidence already covers is dropped.
+often enough (support) and whose URLs are bad often enough (confidence).  Rules
+of one token are counted for all tokens, and need MIN_COUNT bad URLs however many
+URLs are labelled, so a host of twenty bad pages is found in any table.  Of tokens
+that occur in the very same labelled URLs (a host's parts, the words of a site's
+template) the first in code-point order stands for all: sets of the others hold
+the same URLs, and FP-growth would list every one of them.  A rule that a smaller
+one with at least its confidence already covers is dropped.
 Rules are indexed by their rarest token; a URL looks up its tokens and keeps the
 rules it contains whole.
 
@@ -32,7 +37,7 @@ GIVEN = (
     ("org", "/fr/", "allow"),
 )
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.6
-#: Labelled URLs a rule must hold for at least, however few there are.
+#: Bad URLs a rule must hold for at least, however few are labelled.
 MIN_COUNT = 20
 
 _BAD = "verdict=block"
@@ -69,18 +74,28 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(rule_id, items, key, confidence, support) from ``labelled`` (tokens, bad)."""
-    n = labelled.count()
+    # written, so that a row keeps its number
+    rows = staged(labelled.select("tokens", F.coalesce("bad", F.lit(False)).alias("bad"), F.monotonically_increasing_id().alias("row")))
+    n = rows.count()
     empty = labelled.sparkSession.createDataFrame([], "rule_id long, items array<string>, key string, confidence double, support double")
     if not n:
         return empty
-    items = F.when(F.coalesce("bad", F.lit(False)), F.array_append("tokens", _BAD)).otherwise(F.col("tokens")).alias("items")
+    each = rows.select("row", "bad", F.explode("tokens").alias("item"))
+    same = F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("same")
+    counts = each.groupBy("item").agg(F.count(F.lit(1)).alias("freq"), F.count_if("bad").alias("hits"), same)
+    single = staged(counts.groupBy("freq", "hits", "same").agg(F.min("item").alias("item")).drop("same"))
+
     support = min(max(min_support, MIN_COUNT / n), 1.0)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(labelled.select(items))
-    rules = model.associationRules.where(F.col("consequent")[0] == _BAD)
-    rules = staged(rules.select(F.array_sort("antecedent").alias("items"), "confidence", "support"))
-    rare = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
-    numbered = staged(rules.withColumn("rule_id", F.xxhash64("items")))
-    of_item = numbered.select("rule_id", F.explode("items").alias("item")).join(rare, "item")
+    lists = each.join(single.where(F.col("freq") >= support * n), "item").groupBy("row").agg(F.collect_list("item").alias("kept"))
+    kept = F.coalesce("kept", F.array().cast("array<string>"))
+    sets = rows.join(lists, "row", "left").select(F.when(F.col("bad"), F.array_append(kept, _BAD)).otherwise(kept).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(sets)
+    rules = model.associationRules.where((F.col("consequent")[0] == _BAD) & (F.size("antecedent") > 1))
+    rules = rules.select(F.array_sort("antecedent").alias("items"), "confidence", "support")
+    alone = single.where((F.col("hits") >= MIN_COUNT) & (F.col("hits") >= min_confidence * F.col("freq")))
+    alone = alone.select(F.array("item").alias("items"), (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / n).alias("support"))
+    numbered = staged(rules.unionByName(alone).withColumn("rule_id", F.xxhash64("items")))
+    of_item = numbered.select("rule_id", F.explode("items").alias("item")).join(single.select("item", "freq"), "item")
     key = of_item.groupBy("rule_id").agg(F.min(F.struct("freq", "item"))["item"].alias("key"))
     # a rule is idle when a smaller one, found through its key token, is as sure
     keyed = staged(numbered.join(key, "rule_id"))

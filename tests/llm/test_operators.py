@@ -66,7 +66,7 @@ def test_words_split_at_ascii_white_space_only():
 
 def test_licenses_match_exact_containment(spark):
     rng = random.Random(1)
-    long = licenses.TEMPLATES[1][1].split()
+    long = licenses.MIT_GRANT.split()
     rows = []
     for i in range(60):
         noise = [f"n{rng.randrange(400)}" for _ in range(rng.randrange(5, 120))]
@@ -81,15 +81,52 @@ def test_licenses_match_exact_containment(spark):
         w = [x for x in re.split(r"[\W_]+", text.lower()) if x]
         return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
 
+    sets = [(name, grams(t)) for name, t in licenses.TEMPLATES]
+
+    def told(name, own, text):
+        near = [own - g for other, g in sets if other != name and 10 * len(own & g) > 6 * len(own)]
+        return all(2 * len(apart & text) >= len(apart) for apart in near)
+
     want = {
         (i, name)
         for i, text, *_ in rows
-        for name, t in licenses.TEMPLATES
-        if len(grams(t) & grams(text)) >= licenses.MIN_CONTAINMENT * len(grams(t))
+        for name, own in sets
+        if len(own & grams(text)) >= licenses.MIN_CONTAINMENT * len(own) and told(name, own, grams(text))
     }
     assert got == want and want
 
 
+def test_licenses_are_told_apart(spark):
+    """Notices that are not the templates' own wording, and versions that share most of it."""
+    gnu = licenses.GNU_NOTICE
+    bsd = "Copyright (c) 2001 A B. {} 1. {} 2. {}"
+    conditions = re.split(r"(?=Redistributions )", licenses.BSD_CONDITIONS)
+    cases = [
+        (f"{licenses.MIT_GRANT}\n\n{licenses.MIT_DISCLAIMER}", {"MIT"}),
+        (bsd.format(*conditions) + licenses.BSD_DISCLAIMER, {"BSD-2-Clause"}),
+        (bsd.format(*conditions) + "3. " + licenses.BSD_THIRD + " " + licenses.BSD_DISCLAIMER, {"BSD-3-Clause"}),
+        ("/* " + gnu.format(work="program", name="GNU General Public License", version="2") + " */", {"GPL-2.0"}),
+        (gnu.format(work="program", name="GNU General Public License", version="3").replace(":", ";"), {"GPL-3.0"}),
+        (gnu.format(work="library", name="GNU Lesser General Public License", version="2.1"), {"LGPL-2.1"}),
+        (gnu.format(work="library", name="GNU Lesser General Public License", version="3"), {"LGPL-3.0"}),
+        (gnu.format(work="program", name="GNU Affero General Public License", version="3"), {"AGPL-3.0"}),
+        ("This file is licensed under the MIT License (see LICENSE).", {"MIT"}),
+        ("Our code is distributed under the GNU General Public License, version 2.", {"GPL-2.0"}),
+        ("Our code is distributed under the GNU General Public License, version 4.", set()),
+        ("# SPDX-License-Identifier: BSD-3-Clause", {"BSD-3-Clause"}),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later", {"GPL-2.0"}),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"CC-BY-SA-4.0"}),
+        ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", {"CC-BY-3.0"}),
+        ("Text released under CC BY-NC-SA 3.0, see below.", {"CC-BY-NC-SA-3.0"}),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", {"MPL-2.0"}),
+        ("A license to kill is not a license. This work is licensed under a strange one.", set()),
+    ]
+    found = licenses.scan(spark.createDataFrame([(i, t, None, None, 0) for i, (t, _) in enumerate(cases)], DOCS)).collect()
+    got = [{r.license for r in found if r.doc_id == i} for i in range(len(cases))]
+    assert got == [want for _, want in cases]
+
+
 def test_licenses_odd_rows(odd, empty):
     assert {(r.doc_id, r.license) for r in licenses.scan(odd).collect()} == {(None, "Apache-2.0")}
     assert licenses.scan(empty).count() == 0
@@ -221,6 +258,22 @@ def test_mined_rules_match_brute_force(spark):
     assert got == bad
 
 
+def test_words_of_a_site_template_are_one_item(spark):
+    """A template's words make no sets of their own; a rule of one token needs no share of the table."""
+    words = "/".join(f"w{k}" for k in range(24))
+    rows = [(i, f"http://site.example/{words}/{i}") for i in range(60)]
+    rows += [(60 + i, f"http://h{i % 997}.org/a{i % 991}/") for i in range(15000)]
+    rows += [(20000 + i, f"http://bad.org/a{i}/") for i in range(22)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    bad = {i for i, u in rows if "site.example" in u or "bad.org" in u}
+    labels = spark.createDataFrame([(i, i in bad) for i, _ in rows], "page_id long, bad boolean")
+    assert {r.page_id for r in urlrules.judge(pages, labels, given=()).collect() if r.verdict == "block"} == bad
+    tokens = spark.createDataFrame([(["host=a", "label=a", "word=x"], True)] * 25 + [(["word=x"], False)] * 25, "tokens array<string>, bad boolean")
+    assert [(r["items"], r.confidence) for r in urlrules.mine(tokens).collect()] == [(["host=a"], 1.0)]
+    nulls = spark.createDataFrame([(["word=x"], None)] * 25, "tokens array<string>, bad boolean")
+    assert urlrules.mine(nulls).count() == 0
+
+
 # 6. mixing
 
 
@@ -331,6 +384,16 @@ def test_links_match_brute_force(spark, monkeypatch, block):
     assert {f: got.get(f, f) for f in fps} == {f: find(f) for f in fps}
 
 
+def test_values_that_are_only_looked_up_make_no_group(spark, monkeypatch):
+    """Neighbours of one segment value that no fingerprint has itself."""
+    monkeypatch.setattr(simhash, "BLOCK", 4)
+    shared = 0b111  # the value looked up: one bit more than each of these
+    fps = [(k << 42) | (k << 21) | near for k in range(1, 40) for near in (0b011, 0b101, 0b110)]
+    groups = simhash._cells(spark.createDataFrame([(f,) for f in fps], "fp long")).groupBy("key", "cell").count()
+    assert groups.where(F.col("key") == shared).count() == 0
+    assert groups.agg(F.max("count")).first()[0] <= 4 * simhash.BLOCK
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(900, 901), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}
