@@ -1015,6 +1015,23 @@ def dataset_texts(spark, sf):
     return texts.select("split", "ord", "text_id", "text", joined("image_ids"))
 
 
+@query(f"""WITH {b.TEXTS_SQL}, {b.IMAGES_SQL}
+SELECT l.split, l.image_id, count(DISTINCT t.text_id) AS captions, min(t.text_id) AS first_text_id,
+  any_value(length(i.image_b64))::BIGINT AS size
+FROM links l JOIN texts t USING (ord) JOIN images i ON i.split = l.split AND i.image_id = l.image_id GROUP BY ALL""")
+def dataset_read_once(spark, sf):
+    """Cited images of a stored dataset whose files are read once, though three jobs use them."""
+    folder = scratch_path(spark, "dataset")
+    sinks.write_dataset(b.stored_texts(spark, sf), b.part_images(spark, sf), folder)
+    texts, images = datasets.read_dataset(spark, folder, once=True)
+    cited = texts.select("split", "text_id", F.explode("image_ids").alias("image_id"))
+    tally = cited.groupBy("split", "image_id").agg(
+        F.countDistinct("text_id").alias("captions"), F.min("text_id").alias("first_text_id")
+    )
+    sizes = images.select("split", "image_id", F.length("image_b64").cast("bigint").alias("size"))
+    return sizes.join(tally, ["split", "image_id"])
+
+
 @query(f"""WITH {b.IMAGES_SQL}
 SELECT split, row_number() OVER (ORDER BY ord) - 1 AS ord, image_id, image_b64 FROM images WHERE split = 'valid'""")
 def dataset_optional_split(spark, sf):

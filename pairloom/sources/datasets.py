@@ -21,13 +21,20 @@ def present_splits(spark: SparkSession, folder: str, splits=SPLITS) -> list[str]
 
 
 def read_dataset(
-    spark: SparkSession, folder: str, splits=SPLITS, required: tuple[str, ...] = (), *, extras: bool = True
+    spark: SparkSession,
+    folder: str,
+    splits=SPLITS,
+    required: tuple[str, ...] = (),
+    *,
+    extras: bool = True,
+    once: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Captions and images of all splits that exist.
 
     A split named in ``required`` must exist; at least one must.  Unknown keys
     of caption rows are kept (``extras``).  Appended batches count from their
-    commit on.
+    commit on.  ``once`` reads every file now and once, for frames that several
+    jobs use; without it nothing is read before a job asks.
     """
     have = present_splits(spark, folder, splits)
     for split in required:
@@ -38,7 +45,8 @@ def read_dataset(
         raise FileNotFoundError(f"No train/valid files found in {folder}")
     texts, images = empty_texts(spark), empty_images(spark)
     for split in have:
-        rows = read_texts(spark, visible(spark, folder, texts_path(folder, split), split), split, extras=extras)
+        files = {named: visible(spark, folder, named(folder, split), split) for named in (texts_path, images_path)}
+        rows = read_texts(spark, files[texts_path], split, extras=extras, once=once)
         texts = texts.unionByName(rows, allowMissingColumns=True)
-        images = images.unionByName(read_images(spark, visible(spark, folder, images_path(folder, split), split), split))
+        images = images.unionByName(read_images(spark, files[images_path], split, once=once))
     return texts, images

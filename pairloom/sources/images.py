@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions.images import data_url, encode_image, is_image_path
@@ -11,32 +11,40 @@ from pairloom.sources import paths
 from pairloom.sources.lines import numbered_lines
 
 
-def read_images(spark: SparkSession, path: str | list[str], split: str) -> DataFrame:
-    """Images of one split in line order.
-
-    A line without a tab, or whose first field is not a number, is an error.
-    """
-    lines = numbered_lines(spark, path, F.col("value") != "")
+def _fields(lines: DataFrame) -> DataFrame:
     cut = F.split("value", "\t", 2)
+    fields = {"fields": F.size(cut), "raw_id": F.get(cut, F.lit(0)), "image_b64": F.get(cut, F.lit(1))}
+    return lines.withColumns(fields).drop("value")
+
+
+def _checked_id() -> Column:
     where = F.concat("file", F.lit(", record "), (F.col("ord") + 1).cast("string"))
-    raw_id = F.get(cut, F.lit(0))
+    raw_id = F.col("raw_id")
     number = F.coalesce(
         raw_id.try_cast("bigint"),
         F.raise_error(F.concat(F.lit("Invalid image_id in "), where, F.lit(": "), raw_id)),
     )
-    checked = F.when(F.size(cut) == 2, number).otherwise(
+    checked = F.when(F.col("fields") == 2, number).otherwise(
         F.raise_error(F.concat(F.lit("Invalid TSV row in "), where))
     )
-    return lines.select(
-        F.lit(split).alias("split"),
-        "ord",
-        checked.cast("bigint").alias("image_id"),
-        F.get(cut, F.lit(1)).alias("image_b64"),
-    )
+    return checked.cast("bigint").alias("image_id")
+
+
+def read_images(spark: SparkSession, path: str | list[str], split: str, *, once: bool = False) -> DataFrame:
+    """Images of one split in line order.
+
+    A line without a tab, or whose first field is not a number, is an error.
+    ``once`` reads the files now and once (see ``numbered_lines``).
+    """
+    lines = numbered_lines(spark, path, F.col("value") != "", shape=_fields, once=once)
+    return lines.select(F.lit(split).alias("split"), "ord", _checked_id(), "image_b64")
 
 
 def read_image_ids(spark: SparkSession, path: str | list[str], split: str) -> DataFrame:
-    return read_images(spark, path, split).select("split", "ord", "image_id")
+    """Image ids of one split in line order; the files are read once, and only ids are kept of them."""
+    ids = lambda lines: _fields(lines).drop("image_b64")
+    lines = numbered_lines(spark, path, F.col("value") != "", shape=ids, once=True)
+    return lines.select(F.lit(split).alias("split"), "ord", _checked_id())
 
 
 def empty_images(spark: SparkSession) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Where a Hadoop job keeps its input paths.
+_INPUT_PATHS = "mapreduce.input.fileinputformat.inputdir"
 _SLASHES = r"\A([a-z][a-z0-9]*):/+"
 
 
@@ -33,10 +35,23 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def folder_names(spark: SparkSession, root: str) -> list[str]:
-    """Names of the direct subfolders."""
+def child_names(spark: SparkSession, root: str) -> DataFrame:
+    """``name`` of whatever lies right below a folder, empty folders too.
+
+    The JVM lists the folder and hands the paths to Spark as the one string in
+    which Hadoop keeps a job's input paths (commas between, those of names
+    escaped): a few calls, however many names there are.
+    """
+    jvm = spark.sparkContext._jvm
     fs, where = _fs(spark, root)
-    return [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
+    found = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(where))
+    job = jvm.org.apache.hadoop.mapred.JobConf(spark.sparkContext._jsc.hadoopConfiguration())
+    if len(found):
+        jvm.org.apache.hadoop.mapred.FileInputFormat.setInputPaths(job, found)
+    joined = job.get(_INPUT_PATHS) if len(found) else ""
+    rows = spark.createDataFrame([(joined,)], "paths string")
+    names = rows.select(F.explode(F.split("paths", r"(?<!\\),")).alias("path"))
+    return names.select(F.regexp_extract("path", r"([^/]+)\z", 1).alias("name")).where("name <> ''")
 
 
 def qualified(spark: SparkSession, path: str) -> str:

@@ -25,7 +25,7 @@ def _checked(value: Column) -> Column:
     """The parsed row; a broken line is an error that names file and line."""
     message = F.concat(
         F.lit("Invalid JSON in "), "file", F.lit(", record "),
-        (F.col("ord") + 1).cast("string"), F.lit(": "), "value",
+        (F.col("ord") + 1).cast("string"), F.lit(": "), f"row.{_BAD}",
     )
     return F.when(F.col(f"row.{_BAD}").isNull(), value).otherwise(F.raise_error(message))
 
@@ -37,14 +37,23 @@ def _present(value: Column, what: str) -> Column:
 
 
 def read_texts(
-    spark: SparkSession, path: str | list[str], split: str, *, extras: bool = True
+    spark: SparkSession, path: str | list[str], split: str, *, extras: bool = True, once: bool = False
 ) -> DataFrame:
     """Captions of one split in line order, blank lines skipped.
 
     ``extras`` holds the unknown keys of every row as MAP<STRING, VARIANT>; it
-    costs nothing where it is not selected.
+    costs nothing where it is not selected.  ``once`` reads the files now and
+    once (see ``numbered_lines``).
     """
-    parsed = _parsed(numbered_lines(spark, path, strip(F.col("value")) != ""), TEXT_LINE)
+
+    def shape(lines: DataFrame) -> DataFrame:
+        rows = _parsed(lines, TEXT_LINE)
+        if extras:
+            every = F.from_json("value", "map<string,variant>")
+            rows = rows.withColumn("extras", F.map_filter(every, lambda k, v: ~k.isin(*_KNOWN)))
+        return rows.drop("value")
+
+    parsed = numbered_lines(spark, path, strip(F.col("value")) != "", shape=shape, once=once)
     columns = [
         F.lit(split).alias("split"),
         "ord",
@@ -57,8 +66,7 @@ def read_texts(
         F.col("row.source_text_id").cast("bigint").alias("source_text_id"),
     ]
     if extras:
-        every = F.from_json("value", "map<string,variant>")
-        columns.append(F.map_filter(every, lambda k, v: ~k.isin(*_KNOWN)).alias("extras"))
+        columns.append("extras")
     return parsed.select(*columns)
 
 

@@ -50,6 +50,38 @@ def test_line_order_over_many_blocks(spark, tmp_path):
     assert [(r.ord, r.image_id) for r in got] == [(i, i * 7 % 1000) for i in range(1000)]
 
 
+def test_files_are_read_once(spark, tmp_path):
+    """With ``once`` nothing later needs the files, nor the same cut of them; the rows are those of two reads."""
+    t = write(tmp_path / "train_texts.jsonl", "".join(json.dumps({"text_id": i, "text": f"t{i}", "image_ids": [i], "k": [i]}) + "\n\n" for i in range(200)))
+    i = write(tmp_path / "train_imgs.tsv", "".join(f"{i * 7 % 200}\t{'A' * (i % 50)}\n" for i in range(200)))
+    plain = lambda f: f.withColumn("extras", F.to_json("extras")) if "extras" in f.columns else f
+    rows = lambda f: [tuple(r) for r in plain(f).orderBy("ord").collect()]
+    lazy = [rows(f) for f in datasets.read_dataset(spark, str(tmp_path))]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        eager = datasets.read_dataset(spark, str(tmp_path), once=True)
+        ids = images.read_image_ids(spark, i, "train")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for path in (t, i):
+        paths.remove(spark, path)
+    assert [rows(f) for f in eager] == lazy and [r[0] for r in lazy[0][:3]] == ["train"] * 3
+    assert [r.image_id for r in ids.orderBy("ord").collect()] == [k * 7 % 200 for k in range(200)]
+    plan = eager[1].select("image_id")._jdf.queryExecution().executedPlan().toString()
+    assert "image_b64" not in plan.replace("image_b64#", "") and "FileFormat: Text" not in plan
+
+
+def test_files_read_once_name_broken_lines(spark, tmp_path):
+    path = write(tmp_path / "t.jsonl", '{"text_id": 1}\n\n{"text_id": \n')
+    with pytest.raises(Exception, match='Invalid JSON in .*t.jsonl, record 2: {"text_id": '):
+        texts.read_texts(spark, path, "train", once=True).collect()
+    with pytest.raises(Exception, match="Invalid TSV row in .*b.tsv, record 1"):
+        images.read_images(spark, write(tmp_path / "b.tsv", "1 AA\n"), "train", once=True).collect()
+    none = write(tmp_path / "n.tsv", "\n")
+    assert images.read_images(spark, none, "train", once=True).count() == 0
+
+
 def test_read_images(spark, tmp_path):
     good = write(tmp_path / "a.tsv", "1\tAA\tBB\n\n2\tCC\n")
     got = images.read_images(spark, good, "train").orderBy("ord").collect()
@@ -244,6 +276,25 @@ def test_query_folders(spark, tmp_path):
     assert folders.read_folder_files(spark, str(empty)).count() == 0
 
 
+def test_query_folders_of_odd_names(spark, tmp_path):
+    """Empty folders count; files named like folders, deeper queries and other depths do not."""
+    root = tmp_path / "a b%2B+c"
+    for k in range(40):
+        sample(root, str(k), f"q{k}", pos_images=["x y.jpg"])
+    (root / "77").mkdir()
+    write(root / "78", "a file")
+    write(root / "79" / "pos_images" / "5", "a file of digits further down")
+    write(root / "80" / "more" / "query.txt", "too deep")
+    write(root / "query.txt", "too high")
+    got = sorted(r.sample_id for r in folders.read_samples(spark, str(root)).collect())
+    assert got == [*range(40), 77, 79, 80]
+    assert sorted((r.sample_id, r.query) for r in folders.read_queries(spark, str(root)).collect()) == [(k, f"q{k}") for k in range(40)]
+    assert folders.read_folder_files(spark, str(root)).count() == 40
+    assert folders.read_queries(spark, str(tmp_path / "absent")).count() == 0
+    (tmp_path / "none").mkdir()
+    assert folders.read_samples(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_load_images(spark, tmp_path):
     write(tmp_path / "b.png", "B")
     write(tmp_path / "a.JPG", "A")
