@@ -13,7 +13,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import langid, minhash, mixing, packing, perplexity, queries
+from pairloom.llm import langid, mixing, packing, perplexity, queries, simhash
 from pairloom.llm.common import WORD, with_row_ids
 from pairloom.session import drop_scratch, scratch_folders, staged
 
@@ -73,10 +73,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates: the smallest doc_id, NULL last.
 
     Near duplicates share 80 % of their runs of five words (Jaccard similarity).
+    Multi-index hashing of SimHash fingerprints finds them, the runs decide.
     """
     rows = with_row_ids(_rows(docs))
     member = F.struct(F.col("doc_doc_id").isNull().alias("last"), F.col("doc_doc_id").alias("id"), "row_id").alias("member")
-    near = minhash.near_duplicates(rows, member, text="doc_text")
+    near = simhash.near_texts(rows, member, text="doc_text")
     kept = near.where("member = least").select("row_id")
     return rows.join(kept, "row_id", "left_semi").select(f"{_ROW}.*")
 

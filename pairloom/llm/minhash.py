@@ -21,6 +21,8 @@ text.  Texts with the same words are one node, whatever their number.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -176,14 +178,23 @@ def near_duplicates(rows: DataFrame, member: Column, text: str = "text", row: st
 
     ``row`` is unique and ``rows`` gives the same one each time it is read.
     """
-    signed = staged_batches(_signed(rows, [F.col(row), member.alias("member")], text))
+    return settled(rows, _signed(rows, [F.col(row), member.alias("member")], text), candidates, text, row)
+
+
+def settled(rows: DataFrame, signed: DataFrame, find: Callable[[DataFrame], DataFrame], text: str, row: str) -> DataFrame:
+    """(row, member, least) of ``signed`` (row, member, node and what ``find`` needs), decided by the texts of ``rows``.
+
+    ``find`` takes one row per node and returns (node, root) of those that may have a near duplicate.
+    """
+    signed = staged_batches(signed)
+    marks = [c for c in signed.columns if c not in (row, "member", "node")]
     nodes = staged(
-        signed.groupBy("node").agg(F.min("member").alias("least"), F.min(row).alias(row), F.first("keys").alias("keys"))
+        signed.groupBy("node").agg(F.min("member").alias("least"), F.min(row).alias(row), *[F.first(c).alias(c) for c in marks])
     )
-    close = staged(nodes.join(candidates(nodes.select("node", "keys")), "node").select(row, "node", "root"))
+    close = staged(nodes.join(find(nodes.select("node", *marks)), "node").select(row, "node", "root"))
     texts = staged_batches(rows.select(row, F.col(text).cast("binary").alias("text")).join(close, row).select("root", "node", "text"))
     roots = components(links(texts))
     rooted = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     groups = staged(rooted.groupBy("root").agg(F.min("least").alias("least")))
     named = staged(rooted.select("node", "root").join(groups, "root").select("node", "least"))
-    return signed.drop("keys").join(named, "node").select(row, "member", "least")
+    return signed.drop(*marks).join(named, "node").select(row, "member", "least")

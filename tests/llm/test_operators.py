@@ -493,6 +493,52 @@ def test_band_keys_find_pairs_at_the_limit():
     assert (keys[0::2] == keys[1::2]).any(axis=1).all()
 
 
+def test_stage_finds_candidates_by_simhash(spark, monkeypatch):
+    """The stage goes through multi-index hashing of fingerprints, checked by exact sets."""
+    called = []
+    for name in ("near_candidates", "near_links"):
+        real = getattr(simhash, name)
+        monkeypatch.setattr(simhash, name, lambda nodes, name=name, real=real: called.append(name) or real(nodes))
+    words = [f"w{k}" for k in range(200)]
+    texts = [" ".join(words), " ".join(["x", *words[1:]]), " ".join(words[:100])]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], DOCS)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == [0, 2]
+    assert called == ["near_candidates", "near_links"]
+
+
+def test_long_fingerprints_find_pairs_at_the_limit():
+    rng = np.random.default_rng(5)
+    prints = []
+    for size in (9, 18, 90, 900):
+        for _ in range(200):
+            h = rng.integers(0, 1 << 63, size // 9 * 10, dtype=np.uint64)
+            prints += [h[:size], np.concatenate([h[: size // 9 * 8], h[size:]])]  # 8 of 10
+    votes = [[2 * sum(int(v) >> b & 1 for v in simhash.mix64(h ^ simhash._SEEDS[3])) > len(h) for b in range(64)] for h in prints[:40]]
+    prints = np.array([simhash.long_fingerprint(h) for h in prints])
+    assert [[int(p[3]) >> b & 1 for b in range(64)] for p in prints[:40]] == votes
+    keys = simhash.segment_keys(prints)
+    assert (keys[0::2] == keys[1::2]).any(axis=1).mean() > 0.998
+    assert (np.bitwise_count(prints[0::2, :2] ^ prints[1::2, :2]).sum(axis=1) <= simhash.NEAR_BITS).mean() > 0.998
+
+
+@pytest.mark.parametrize("block", [2048, 4])
+def test_near_links_match_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)  # 4: crowded values are cut
+    rng = np.random.default_rng(block)
+    rows = []
+    for _ in range(20):
+        centre = rng.integers(0, 1 << 63, 2)
+        for _ in range(6):
+            flips = [sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 17), replace=False)) for _ in range(2)]
+            rows.append((*(int(c) ^ f for c, f in zip(centre, flips)), sorted({int(k) for k in rng.integers(0, 12, 3)})))
+    links = {(min(a[0], b[0]), max(a[0], b[0])) for a in rows for b in rows
+             if a[0] != b[0] and set(a[2]) & set(b[2]) and sum((a[k] ^ b[k]).bit_count() for k in (0, 1)) <= simhash.NEAR_BITS}
+    nodes = spark.createDataFrame(rows, "fp long, more long, keys array<int>")
+    want = components(spark.createDataFrame(sorted(links), "a long, b long"))
+    got = components(simhash.near_links(nodes))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and len(links) > 50
+
+
 # the pipeline
 
 
