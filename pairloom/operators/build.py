@@ -84,7 +84,8 @@ def uid(prefix: Column, image_id: Column) -> Column:
 
 def number_samples(samples: DataFrame) -> DataFrame:
     """Image ids 1, 2, .. over all exports in argument order."""
-    return dense_id(samples, "image_id", ["source_ord", "pos"], start=1)
+    # the cut into ranges looks at the rows before it moves them
+    return dense_id(staged(samples), "image_id", ["source_ord", "pos"], start=1)
 
 
 def build_from_annotations(

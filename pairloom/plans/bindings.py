@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.session import staged
+from pairloom.session import spread, staged
 
 # Part-name words in caption language.
 COLOURS = {
@@ -67,7 +67,7 @@ def order_split(priority: Column) -> Column:
 
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
-    """``order_key, part_key, ord, code, txt`` of every line item.
+    """``order_key, part_key, ord, code, txt`` of every line item, dealt out by order.
 
     ``code`` is the place of the part's clause in ``CLAUSES``.
     """
@@ -76,12 +76,13 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
         F.array_position(F.array(*map(F.lit, CLAUSES)), F.col("p_name")).cast("int").alias("code"),
         F.col("p_name").alias("txt"),
     )
-    lines = table(spark, sf, "lineitem").select(
+    every = table(spark, sf, "lineitem")
+    lines = every.select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_partkey").alias("part_key"),
         (F.col("l_linenumber").cast("bigint") * LINE + F.col("l_partkey")).alias("ord"),
     )
-    return lines.join(part, "part_key")
+    return spread(lines.join(part, "part_key"), every.count(), "order_key")
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,7 +188,7 @@ def export(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFram
     orders = table(spark, sf, "orders")
     source = F.substring("o_orderpriority", 1, 1).cast("bigint") - 1
     name = F.concat(F.col("o_orderkey").cast("string"), F.lit(".jpg"))
-    images = orders.select(
+    images = spread(orders, orders.count(), "o_orderkey").select(
         source.alias("source_ord"),
         F.col("o_orderkey").alias("pos"),
         F.col("o_orderkey").alias("export_image_id"),

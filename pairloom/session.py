@@ -50,6 +50,21 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a task groups at once.
+TASK_ROWS = 1 << 18
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys``, TASK_ROWS of its ``rows`` to a task, for a grouping by them and more.
+
+    Where nearly every row is a group of its own, a partial aggregate before the
+    shuffle folds nothing and holds all that its task scans; this way a task
+    holds its share whatever the size of the files.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-rows // TASK_ROWS)), *keys)
+
+
 #: Folders in the shared folder that this process made and has not dropped.
 _folders: list[str] = []
 

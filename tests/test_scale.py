@@ -8,7 +8,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from pairloom.operators import append, bitmaps, expand, filtering, ids, merge, validate
+from pairloom import session
+from pairloom.functions import text as text_functions
+from pairloom.operators import append, bitmaps, coverage, expand, filtering, ids, merge, validate
+from pairloom.plans import bindings, catalogue
 from pairloom.session import staged
 
 SF = "/root/testdata/sf0.001"
@@ -227,3 +230,11 @@ def test_append_tells_sets_and_numbers_apart(spark, texts, images):
 def test_append_refuses_empty_rows(spark, texts, images, text, pictures, message):
     with pytest.raises(Exception, match=message):
         append.append_annotations(texts(("train", 0, "x", [1])), images(("train", 1, "A")), batch_of(spark, (text, pictures))).collect()
+
+
+def test_line_items_are_dealt_out_before_they_are_grouped(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    rows = bindings.table(spark, SF, "lineitem").count()
+    assert bindings.items(spark, SF).rdd.getNumPartitions() >= rows // 100
+    shown = plan(bindings.texts(spark, SF))
+    assert shown.count("Exchange hashpartitioning(order_key") <= 2  # the lines, and the orders that they join
