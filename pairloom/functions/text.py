@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.lexicon import CHINESE, Lexicon, word_pattern
@@ -96,3 +96,13 @@ def tidy_queries(items: Column, lex: Lexicon = CHINESE) -> Column:
 def distinct_queries(items: Column, lex: Lexicon = CHINESE) -> Column:
     """Tidy queries, first occurrences only."""
     return F.array_distinct(tidy_queries(items, lex))
+
+
+def once_per_text(df: DataFrame, work: Callable[[DataFrame], DataFrame], text: str = "text") -> DataFrame:
+    """``df`` with the columns that ``work`` adds to a frame of its ``text``, which sees each different one once.
+
+    Captions repeat, and the rules cost far more than moving a caption.
+    """
+    done = work(df.select(text).distinct())
+    done = done.withColumnRenamed(text, "__once")
+    return df.join(done, F.col(text).eqNullSafe(F.col("__once"))).drop("__once")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.attributes import with_attribute_queries
 from pairloom.functions.lexicon import CHINESE, Lexicon
-from pairloom.functions.text import tidy_queries, tidy_query
+from pairloom.functions.text import once_per_text, tidy_queries, tidy_query
 from pairloom.functions.variants import with_variants
 from pairloom.operators.ids import dense_id
 from pairloom.operators.merge import NO_IDS
@@ -22,7 +22,7 @@ from pairloom.operators.merge import NO_IDS
 
 def _list_key(ids: Column) -> Column:
     """128 bits that stand for an id list."""
-    return F.md5(F.array_join(ids.cast("array<string>"), ",", "-"))
+    return F.unhex(F.md5(F.array_join(ids.cast("array<string>"), ",", "-")))
 
 
 def _with_lists(emitted: DataFrame, texts: DataFrame) -> DataFrame:
@@ -63,12 +63,15 @@ def attribute_emissions(
     rows = texts.select(
         "split", "ord", "text_id", "text", F.coalesce("image_ids", F.expr(NO_IDS)).alias("image_ids")
     )
-    rows = with_attribute_queries(rows, max_new=max_new, lex=lex)
-    derived = F.transform(tidy_queries(F.col("queries"), lex), lambda q: _slot(q, True))
-    own = F.array(_slot(tidy_query(F.col("text"), lex), False))
-    slots = F.concat(own, derived) if keep_original else derived
+
+    def emitted(captions: DataFrame) -> DataFrame:
+        asked = with_attribute_queries(captions, max_new=max_new, lex=lex)
+        derived = F.transform(tidy_queries(F.col("queries"), lex), lambda q: _slot(q, True))
+        own = F.array(_slot(tidy_query(F.col("text"), lex), False))
+        return asked.select("text", (F.concat(own, derived) if keep_original else derived).alias("slots"))
+
     first = (
-        _emissions(rows, slots, max_new + 1)
+        _emissions(once_per_text(rows, emitted), F.col("slots"), max_new + 1)
         .groupBy("split", "text", "ids_key")
         .agg(
             F.min("rank").alias("rank"),
@@ -145,9 +148,13 @@ def expand_variants(
     rows = texts.select(
         "split", "ord", "text_id", "text", F.coalesce("image_ids", F.expr(NO_IDS)).alias("image_ids")
     )
-    rows = with_variants(
-        rows, max_new=max_new, min_len=min_len, max_len=max_len, split_subjects=split_subjects, lex=lex
-    )
+
+    def varied(captions: DataFrame) -> DataFrame:
+        return with_variants(
+            captions, max_new=max_new, min_len=min_len, max_len=max_len, split_subjects=split_subjects, lex=lex
+        )
+
+    rows = once_per_text(rows, varied)
     new = F.transform("variants", lambda v: _slot(v, True))
     if single_image_only:
         new = F.when(F.size("image_ids") == 1, new).otherwise(F.slice(new, 1, 0))
