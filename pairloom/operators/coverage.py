@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.attributes import with_attrs_only
 from pairloom.functions.lexicon import CHINESE, Lexicon
+from pairloom.functions.text import once_per_text
 
 
 def checklist_items(checklist: DataFrame) -> DataFrame:
@@ -39,10 +40,14 @@ def attribute_images(texts: DataFrame, lex: Lexicon = CHINESE, wanted: DataFrame
 
     With ``wanted`` (``label``) only those labels meet the captions' id lists.
     """
-    rows = with_attrs_only(texts.select("split", "text", "image_ids"), lex=lex)
-    # several phrases of a caption may have one label
-    named = F.array_distinct(F.transform("attrs", lambda p: F.regexp_extract(p, f"{lex.colour_pattern}.*", 0)))
-    labels = rows.select("split", "image_ids", F.explode_outer(named).alias("label")).where(F.col("label") != "")
+
+    def named(captions: DataFrame) -> DataFrame:
+        # several phrases of a caption may have one label
+        labels = F.transform("attrs", lambda p: F.regexp_extract(p, f"{lex.colour_pattern}.*", 0))
+        return with_attrs_only(captions, lex=lex).select("text", F.array_distinct(labels).alias("labels"))
+
+    rows = once_per_text(texts.select("split", "text", "image_ids"), named)
+    labels = rows.select("split", "image_ids", F.explode_outer("labels").alias("label")).where(F.col("label") != "")
     if wanted is not None:
         labels = labels.join(wanted.select("label").distinct(), "label", "left_semi")
     cited = labels.select("split", "label", F.explode_outer("image_ids").alias("image_id"))
