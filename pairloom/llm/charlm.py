@@ -38,7 +38,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import Words, mix64, slices, staged_batches
+from pairloom.llm.common import Words, mix64, release, slices, staged_batches
 from pairloom.session import scratch_path, staged
 
 ORDER = 5
@@ -174,7 +174,12 @@ def _load(folder: str, group: int, part: int) -> _Part | None:
     files, base = fs.FileSystem.from_uri(folder)
     found = files.get_file_info(fs.FileSelector(f"{base}/grp={group}/part={part}", allow_not_found=True))
     tables = [pq.ParquetFile(files.open_input_file(f.path)).read() for f in found if f.path.endswith(".parquet")]
-    _loaded[key] = _Part(pa.concat_tables(tables).slice(0, 1).to_pylist()[0]) if tables else None
+    # a worker outlives models: those of another folder are not asked again
+    for old in [k for k in _loaded if k[0] != folder]:
+        del _loaded[old]
+    # the arrays stay where Arrow read them
+    _loaded[key] = _Part({c: tables[0].column(c)[0].as_buffer() for c in ("hash", "rest", "value")}) if tables else None
+    release()
     while len(_loaded) > 1 and sum(p.nbytes for p in _loaded.values() if p) > CACHE_BYTES:
         _loaded.popitem(last=False)
     return _loaded[key]
@@ -276,7 +281,7 @@ def count_runs(texts: DataFrame, tokens) -> DataFrame:
     def count(batches):
         for batch in slices(batches, "text"):
             yield from _counted(Words(batch.column("text")), batch.column("grp").to_pylist(), tokens)
-            pa.default_memory_pool().release_unused()  # a worker lives on between tasks
+            release()
 
     runs = texts.select("grp", "text").mapInArrow(count, "grp string, hi long, lo long, c long")
     return runs.groupBy("grp", "hi", "lo").agg(F.sum("c").alias("c"))

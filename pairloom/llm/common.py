@@ -82,6 +82,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             yield batch.slice(start)
 
 
+def release() -> None:
+    """Give back what Arrow holds and does not use: a Python worker lives on between slices, tasks and stages."""
+    pa.default_memory_pool().release_unused()
+
+
 class Words:
     """The words of a batch of texts: distinct ones, and each text's run of codes."""
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.charlm import CharModel, fit, lengths, plain, signs_of
-from pairloom.llm.common import Words, kept_with, quantiles, schema, slices, staged_batches
+from pairloom.llm.common import Words, kept_with, quantiles, release, schema, slices, staged_batches
 
 #: Characters that count as symbols (fixed values).
 SYMBOLS = b"#*$%&|<>"
@@ -124,6 +124,8 @@ def measure(docs: DataFrame, model: CharModel | None, keep: list[Column], text:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), *map(pa.array, _stats(texts, words)), *cross], names=[*kept, *_NAMES]
             )
+            del texts, words, cross
+            release()
 
     return rows.mapInArrow(run, schema(rows, kept, f"{_STATS}, per_word double, per_sign double"))
 

@@ -110,6 +110,15 @@ def test_probabilities_sum_to_one_after_every_context(spark, modified):
             assert sum(after(context, s) for s in known) + after(context, -1) == pytest.approx(1.0, abs=1e-9)
 
 
+def test_a_worker_keeps_the_parts_of_one_model(spark):
+    models = [charlm.fit(spark.createDataFrame([("g", " ".join(words))], "grp string, text string"), charlm.plain, False) for words in (ENGLISH, POLISH)]
+    for model in models:
+        model.log_p(charlm.signs_of(pa.array(ENGLISH)), 0)
+        assert {folder for folder, _, _ in charlm._loaded} == {model.folder}
+    before = charlm._load(models[0].folder, 0, 0)
+    assert len(before.hash) and before.nbytes == 20 * len(before.hash)
+
+
 def test_runs_of_one_hash_stay_apart():
     part = charlm._Part({"hash": np.array([3, 7, 7, 7, 9], np.uint64).tobytes(), "rest": np.arange(5, dtype=np.uint64).tobytes(), "value": np.zeros(5, np.float32).tobytes()})
     row, found = part.find(np.array([7, 7, 7, 7, 9, 4, 10], np.uint64), np.array([1, 2, 3, 5, 4, 0, 4], np.uint64))
