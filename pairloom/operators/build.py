@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.images import encode_image
 from pairloom.functions.text import collapse_blanks, or_empty, strip
+from pairloom.operators.bitmaps import id_bitmaps, with_rank
 from pairloom.operators.ids import dense_id
 from pairloom.operators.splitting import exact_split, group_split
 from pairloom.schema import SPLITS
@@ -38,10 +39,8 @@ def image_captions(annotations: DataFrame, joiner: str = "；") -> DataFrame:
         .agg(F.min("ord").alias("ord"))
         .where(F.col("txt") != "")
     )
-    listed = F.array_sort(F.collect_list(F.struct("ord", "txt")))
-    return first.groupBy("source_ord", "export_image_id").agg(
-        strip(F.array_join(F.transform(listed, lambda x: x["txt"]), joiner)).alias("caption")
-    )
+    listed = F.sort_array(F.collect_list(F.struct("ord", "txt")))
+    return first.groupBy("source_ord", "export_image_id").agg(strip(F.array_join(listed["txt"], joiner)).alias("caption"))
 
 
 def export_images(images: DataFrame) -> DataFrame:
@@ -88,6 +87,18 @@ def number_samples(samples: DataFrame) -> DataFrame:
     return dense_id(staged(samples), "image_id", ["source_ord", "pos"], start=1)
 
 
+def with_places(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` (split, image_id, ..) numbered 0, 1, .. in every split, in order of their unique ids from 1.
+
+    A place is looked up in a bitmap, so rows stay where they are with all they
+    carry; ids too sparse for that are ranked by a shuffle.
+    """
+    maps = id_bitmaps(rows.select("split", "image_id"), "image_id", ["split"])
+    if maps is None:
+        return dense_id(rows, name, ["image_id"], within=["split"])
+    return with_rank(rows, maps, "image_id", name, ["split"])
+
+
 def build_from_annotations(
     images: DataFrame,
     annotations: DataFrame,
@@ -100,10 +111,8 @@ def build_from_annotations(
 ) -> tuple[DataFrame, DataFrame]:
     """Texts, and images without payload (``path`` instead)."""
     samples = caption_samples(images, annotations, files, joiner=joiner, keep_empty=keep_empty)
-    # the split counts these rows before it marks them
-    rows = exact_split(staged(number_samples(samples)), "image_id", ratio, seed)
-    texts = dense_id(rows, "text_id", ["image_id"], within=["split"])
-    texts = texts.select(
+    rows = exact_split(number_samples(samples), "image_id", ratio, seed, once=True)
+    texts = with_places(rows, "text_id").select(
         "split",
         F.col("text_id").alias("ord"),
         "text_id",

@@ -72,10 +72,14 @@ def _cutoff(keys: DataFrame, digest: Column, ratio: float) -> str | None:
 
 
 def exact_split(
-    df: DataFrame, key: str, ratio: float = 0.1, seed: int = 42, column: str = "split"
+    df: DataFrame, key: str, ratio: float = 0.1, seed: int = 42, column: str = "split", *, once: bool = False
 ) -> DataFrame:
-    """Mark each row 'train' or 'valid'; ``key`` must be unique."""
-    return _marked(df, df.select(key), key, ratio, seed, column)
+    """Mark each row 'train' or 'valid'; ``key`` must be unique.
+
+    ``once`` makes the keys once, for a ``df`` that is costly to make.
+    """
+    keys = df.select(key)
+    return _marked(df, staged(keys) if once else keys, key, ratio, seed, column)
 
 
 def group_split(

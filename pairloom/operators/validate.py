@@ -74,21 +74,26 @@ def violations(
     """``check, split, image_id`` for every broken rule."""
     texts = texts.where(F.col("split").isin(*splits))
     images = images.where(F.col("split").isin(*splits))
-    broken = F.array_compact(
-        F.array(
-            F.when(F.col("image_rows") > 1, F.lit("duplicate")),
-            F.when(F.col("image_rows") == 0, F.lit("missing")),
-            F.lit(None) if allow_unused else F.when(F.col("citations") == 0, F.lit("unused")),
-        )
+    # one row per id with the counts of every split, so rows move once for all checks
+    names = list(dict.fromkeys(splits))
+    owned = images.select("split", "image_id", F.lit(1).alias("i"), F.lit(0).alias("c"))
+    cited = links(texts).select("split", "image_id", F.lit(0).alias("i"), F.lit(1).alias("c"))
+    of = lambda split, n: F.sum(F.when(F.col("split") == split, F.col(n)).otherwise(0))
+    tally = owned.unionByName(cited).groupBy("image_id").agg(
+        *[of(s, n).alias(f"{n}{k}") for k, s in enumerate(names) for n in ("i", "c")]
     )
-    found = id_tally(texts, images).select(
-        F.explode_outer(broken).alias("check"), "split", "image_id"
-    ).where(F.col("check").isNotNull())
-    if not allow_shared:
-        found = found.unionByName(
-            shared_images(images, splits).select(F.lit("shared").alias("check"), "split", "image_id")
-        )
-    return found
+    checks, earlier = [], F.lit(False)
+    for k, split in enumerate(names):
+        rows, uses = F.col(f"i{k}"), F.col(f"c{k}")
+        kinds = {"duplicate": rows > 1, "missing": (rows == 0) & (uses > 0)}
+        if not allow_unused:
+            kinds["unused"] = (rows > 0) & (uses == 0)
+        if not allow_shared:
+            kinds["shared"] = (rows > 0) & earlier
+            earlier = earlier | (rows > 0)
+        checks += [F.when(met, F.struct(F.lit(kind).alias("check"), F.lit(split).alias("split"))) for kind, met in kinds.items()]
+    found = tally.select("image_id", F.array_compact(F.array(*checks)).alias("found")).where(F.size("found") > 0)
+    return found.select("image_id", F.explode_outer("found").alias("found")).select("found.check", "found.split", "image_id")
 
 
 def require_valid(texts, images, splits=("train", "valid"), **allow) -> None:

@@ -90,15 +90,16 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
     # repeats fold first; an entry is a number and a code, little more than the
     # image id that the caption row has to hold anyway
     cited = items(spark, sf).groupBy("order_key", "part_key", "code").agg(F.min("ord").alias("ord"))
+    # sort_array and field access are compiled, array_sort and a lambda are not
     lists = cited.groupBy("order_key").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "code"))).alias("cited")
+        F.sort_array(F.collect_list(F.struct("ord", "code"))).alias("cited"), F.sort_array(F.collect_list("part_key")).alias("image_ids")
     )
     words = F.array(*(F.lit(clause) for clause in CLAUSES.values()))
-    codes = F.array_distinct(F.transform("cited", lambda c: c["code"]))
+    codes = F.array_distinct("cited.code")
     lists = lists.select(
         "order_key",
         F.array_join(F.transform(codes, lambda code: F.get(words, code - 1)), "，").alias("body"),
-        F.array_sort(F.transform("cited", lambda c: c["ord"] % LINE)).alias("image_ids"),
+        "image_ids",
     )
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_key"), "o_orderpriority", "o_orderstatus"

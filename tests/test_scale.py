@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from pairloom import session
 from pairloom.functions import text as text_functions
-from pairloom.operators import append, bitmaps, coverage, expand, filtering, ids, merge, validate
+from pairloom.operators import append, bitmaps, build, coverage, expand, filtering, ids, merge, validate
 from pairloom.plans import bindings, catalogue
 from pairloom.session import staged
 
@@ -264,3 +264,27 @@ def test_once_per_text_keeps_every_row(spark):
     rows = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, None), (5, "")], "id long, text string")
     out = text_functions.once_per_text(rows, lambda d: d.withColumn("n", F.coalesce(F.length("text"), F.lit(-1))))
     assert sorted(map(tuple, out.select("id", "n").collect())) == [(1, 1), (2, -1), (3, 1), (4, -1), (5, 0)]
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_all_checks_of_a_dataset_take_one_shuffle(spark, texts, images):
+    t, i = texts(("train", 1, "a", [1, 9]), ("valid", 2, "b", [2])), images(("train", 1, "x"), ("train", 2, "x"), ("valid", 2, "x"), ("valid", 2, "x"))
+    found = validate.violations(t, i)
+    assert exchanges(found) == 1
+    assert sorted(found.collect()) == [("duplicate", "valid", 2), ("missing", "train", 9), ("shared", "valid", 2), ("unused", "train", 2)]
+
+
+def test_places_need_no_shuffle_of_the_rows(spark):
+    rows = spark.range(1, 40).selectExpr("if(id % 3 = 0, 'valid', 'train') split", "id image_id", "'p' caption")
+    placed = build.with_places(rows, "text_id")
+    assert exchanges(placed.select("caption", "image_id", "text_id")) <= 1  # of the bitmaps' counts
+    want = rows.selectExpr("split", "image_id", "row_number() over (partition by split order by image_id) - 1 text_id")
+    assert sorted(placed.select("split", "image_id", "text_id").collect()) == sorted(want.collect())
+
+
+def test_captions_sort_without_a_lambda(spark):
+    plan = bindings.texts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan
