@@ -106,7 +106,7 @@ def file_pieces(batch: DataFrame, files: DataFrame) -> DataFrame:
 
 def from_files(batch: DataFrame, files: DataFrame) -> DataFrame:
     """``batch_ord, text, images`` with arrays, for rows of few files; see ``file_pieces``."""
-    lists = file_pieces(batch, files).groupBy("batch_ord").agg(F.array_sort(F.collect_list(F.struct("pos", "image"))).alias("read"))
+    lists = file_pieces(batch, files).groupBy("batch_ord").agg(F.sort_array(F.collect_list(F.struct("pos", "image"))).alias("read"))
     return batch.join(lists, "batch_ord", "left").select(
         "batch_ord", "text", F.transform("read", lambda x: x["image"]).alias("images")
     )

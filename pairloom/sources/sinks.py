@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pairloom.operators.ids import in_order
 from pairloom.schema import SPLITS
+from pairloom.session import staged
 from pairloom.sources import paths, snapshots
 from pairloom.sources.images import images_path
 from pairloom.sources.texts import texts_path
@@ -63,6 +64,8 @@ def append_rows(texts: DataFrame, images: DataFrame, folder: str, split: str = "
     if batch is not None and any(c.batch == batch and c.split == split for c in done):
         return False
     number = done[-1].number + 1 if done else 1
+    # the ends of the row numbers are read before the rows are laid out
+    texts, images = staged(texts), staged(images)
     write_images(images, snapshots.batch_path(images_path(folder, split), number), mode="overwrite")
     write_texts(texts, snapshots.batch_path(texts_path(folder, split), number), mode="overwrite")
     snapshots.commit(spark, folder, snapshots.Commit(number, batch or uuid.uuid4().hex, split))
