@@ -19,17 +19,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     pairs = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     now = staged(pairs.distinct())
-    seen = None
-    while True:
-        now = staged(_small(_large(now)))
-        state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == seen:
-            break
-        seen = state
+    seen, state = None, _state(now)
+    while state != seen:  # stars are left as they are
+        now = staged(_small(staged(_large(now))))  # small steps read their edges three times
+        seen, state = state, _state(now)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(now.select("v", "v").distinct()).toDF("node", "root")
 
 
+def _state(pairs: DataFrame) -> tuple:
+    return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def _large(pairs: DataFrame) -> DataFrame:
     """Edges u > v; every node links its larger neighbours to its smallest neighbour or itself."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m"))  # the smallest neighbour of nodes that have a smaller one

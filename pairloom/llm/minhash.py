@@ -10,10 +10,11 @@ with probability 1 - (1 - j ** ROWS) ** BANDS, which is 0.9999 at 0.8 and above
 connect texts to candidate components.
 
 Verification.  Every candidate component is searched for all pairs of LIMIT or
-more, by the sets themselves.  A component with many texts is cut into blocks, and
-every pair of blocks is a cell of its own: no pair is left out and no task holds
-more than two blocks.  A cell returns a spanning forest of its links.  A component
-of b blocks is sent b times.
+more, by the sets themselves.  A component with many texts is cut into blocks.  Each
+is searched alone, then the first texts of the groups found (if few), then every pair of
+blocks that holds texts of different groups is a cell of its own: no such pair is
+left out and no task holds more than two blocks.  A cell returns a spanning forest of
+its links.  So the texts of one large group are sent once, and their first ones once more.
 
 Special rows.  A text that is NULL or has no word is a copy of every other such
 text.  Texts with the same words are one node, whatever their number.
@@ -104,41 +105,99 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return components(rows.select("node", first.alias("first")).where("node <> first"), "node", "first")
 
 
-def _cells(texts: DataFrame) -> DataFrame:
-    """(root, i, j, node, text) of ``texts`` (root, node, text): a row per pair of blocks that the text is in."""
-    sizes = texts.groupBy("root").agg(F.count("*").alias("_n"), F.sum(F.length("text")).alias("_bytes"))
-    blocks = F.ceil(F.greatest(F.col("_n") / BLOCK, F.col("_bytes") / BLOCK_BYTES, F.lit(1))).cast("int")
-    large = staged(sizes.select("root", blocks.alias("_blocks")).where("_blocks > 1"))
-    rows = texts.join(large, "root", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
-    rows = rows.withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    return rows.select("root", F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j"), "node", "text")
+def _blocks(n: str, size: str) -> Column:
+    """Blocks that ``n`` texts of ``size`` bytes are cut into."""
+    return F.ceil(F.greatest(F.col(n) / BLOCK, F.col(size) / BLOCK_BYTES))
 
 
-def links(texts: DataFrame) -> DataFrame:
-    """(a, b): near duplicates among the nodes of each root, as a forest per cell."""
-    cells = _cells(texts)
+def _block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("node"), F.col(blocks)).cast("long")
+
+
+def block_pairs(group: str, main: Column, other: Column) -> Column:
+    """The cells of a row: pairs of its own block with those it has to meet.
+
+    Rows whose ``group`` is _main lie in _mains blocks (their own is ``main``), all
+    others in _rest blocks (``other``); rows without _rest are one cell.
+    """
+    rest = F.col("_rest")
+    pair = lambda i, j: rest * rest + i * rest + j
+    all_rest, all_mains = F.sequence(F.lit(0).cast("long"), rest - 1), F.sequence(F.lit(0).cast("long"), F.col("_mains") - 1)
+    of_main = F.transform(all_rest, lambda j: pair(main, j))
+    among = F.transform(all_rest, lambda j: F.least(other, j) * rest + F.greatest(other, j))
+    of_rest = F.concat(among, F.transform(all_mains, lambda i: pair(i, other)))
+    one = F.array(F.lit(0).cast("long"))
+    return F.when(rest.isNull(), one).when(F.col(group) == F.col("_main"), of_main).otherwise(of_rest)
+
+
+def _unsettled_cells(texts: DataFrame) -> DataFrame:
+    """(root, cell, name, text) of ``texts`` (root, group, node, text): cells that hold all pairs of texts of different groups of a root.
+
+    A root of one group has none.  The texts of a root's most frequent group meet
+    only the others, which meet each other as well.
+    """
+    groups = texts.groupBy("root", "group").agg(F.count("*").alias("_n"), F.sum(F.length("text")).cast("long").alias("_bytes"))
+    top = F.max(F.struct("_n", "_bytes", "group")).alias("_top")
+    roots = groups.groupBy("root").agg(F.sum("_n").alias("_n"), F.sum("_bytes").alias("_bytes"), top).where(F.col("_n") > F.col("_top._n"))
+    rest = roots.select("root", (F.col("_n") - F.col("_top._n")).alias("_n"), (F.col("_bytes") - F.col("_top._bytes")).alias("_bytes"), "_top")
+    main = rest.select("*", F.col("_top._n").alias("_top_n"), F.col("_top._bytes").alias("_top_bytes"))
+    cut = staged(main.select("root", F.col("_top.group").alias("_main"), _blocks("_top_n", "_top_bytes").alias("_mains"), _blocks("_n", "_bytes").alias("_rest")))
+    rows = texts.join(cut, "root")
+    cells = block_pairs("group", _block("_mains"), _block("_rest"))
+    return rows.select("root", F.explode(cells).alias("cell"), F.col("group").alias("name"), "text")
+
+
+def _searched(cells: DataFrame) -> DataFrame:
+    """(a, b): names of near duplicates among the texts of each (root, cell) of ``cells`` (root, cell, name, text), as a forest per cell."""
 
     def verify(batches):
-        group, nodes, sets = None, [], []
+        group, names, sets = None, [], []
         for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j")))
-            for key, node, text in zip(keys, batch.column("node").to_pylist(), batch.column("text")):
+            keys = zip(*(batch.column(c).to_pylist() for c in ("root", "cell")))
+            for key, name, text in zip(keys, batch.column("name").to_pylist(), batch.column("text")):
                 if key != group:
-                    yield from _forest(nodes, sets)
-                    group, nodes, sets = key, [], []
-                nodes.append(node)
+                    yield from _forest(names, sets)
+                    group, names, sets = key, [], []
+                names.append(name)
                 sets.append(np.unique(shingles(text.as_py() or b"")[1]))
-        yield from _forest(nodes, sets)
+        yield from _forest(names, sets)
+
+    return cells.repartition("root", "cell").sortWithinPartitions("root", "cell").mapInArrow(verify, "a long, b long")
+
+
+def links(texts: DataFrame) -> DataFrame:
+    """(a, b): links whose components are those of all near duplicates among the nodes of each root of ``texts`` (root, node, text).
+
+    Every text is first searched within its block, which is all of a small root.
+    For a root that is cut, the first texts of the groups found meet next if they
+    are one block, then all texts of groups that are still apart.
+    """
+    sizes = texts.groupBy("root").agg(F.count("*").alias("_n"), F.sum(F.length("text")).alias("_bytes"))
+    large = staged(sizes.select("root", _blocks("_n", "_bytes").alias("_blocks")).where("_blocks > 1"))
+    rows = texts.join(large, "root", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    found = staged(_searched(rows.select("root", _block("_blocks").alias("cell"), F.col("node").alias("name"), "text")))
+    if large.isEmpty():
+        return found
+    grouped = texts.join(large.select("root"), "root", "left_semi")
+    grouped = _grouped(grouped, components(found))
+    heads = grouped.where("node = group")
+    few = heads.groupBy("root").agg(F.count("*").alias("_n"), F.sum(F.length("text")).alias("_bytes")).where(_blocks("_n", "_bytes") == 1)
+    found = staged(found.union(_searched(_unsettled_cells(heads.join(few.select("root"), "root", "left_semi")))))
+    return found.union(_searched(_unsettled_cells(_grouped(grouped, components(found)))))
+
 
-    return cells.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(verify, "a long, b long")
+def _grouped(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """``texts`` with the component of their node as ``group``."""
+    named = texts.drop("group").join(roots.toDF("node", "group"), "node", "left")
+    return staged_batches(named.select("root", F.coalesce("group", "node").alias("group"), "node", "text"))
 
 
-def _forest(nodes: list[int], sets: list[np.ndarray]):
+def _forest(names: list[int], sets: list[np.ndarray]):
     pairs = forest(sets)
     if len(pairs):
-        names = np.array(nodes, np.int64)
-        yield pa.RecordBatch.from_pydict({"a": names[pairs[:, 0]], "b": names[pairs[:, 1]]})
+        ends = np.array(names, np.int64)[pairs]
+        ends = np.unique(ends[ends[:, 0] != ends[:, 1]], axis=0)
+        yield pa.RecordBatch.from_pydict({"a": ends[:, 0], "b": ends[:, 1]})
 
 
 def forest(sets: list[np.ndarray]) -> np.ndarray:

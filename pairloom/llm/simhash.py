@@ -51,6 +51,8 @@ BLOCK = 2048
 PAIRS = 1 << 21
 #: Words of a long fingerprint, bits of a segment, bits that may differ in the first two words.
 WORDS, SEGMENT_BITS, NEAR_BITS = 14, 12, 38
+#: Segments by which groups are put together before all are gone through.
+HEAD = 4
 #: Shingles whose bits are added up in one byte each.
 _BYTE = 255
 _SEEDS = mix64(np.arange(1, WORDS + 1, dtype=np.uint64))
@@ -275,51 +277,93 @@ def _long_signed(docs: DataFrame, keep: list[Column], text: str) -> DataFrame:
     return rows.mapInArrow(run, schema(rows, kept, "node long, fp long, more long, keys array<int>"))
 
 
+def _block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("fp", "more"), F.col(blocks)).cast("long")
+
+
+def _crowded(rows: DataFrame) -> DataFrame:
+    """(key, _n): the segment values that are cut."""
+    return staged(rows.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > 2 * BLOCK))
+
+
+def _head_cells(nodes: DataFrame) -> DataFrame:
+    """(key, cell, fp, more, root) of the first HEAD segments of ``nodes`` (fp, more, keys); every row is in one block only."""
+    rows = nodes.select("fp", "more", F.col("fp").alias("root"), F.explode(F.slice("keys", 1, HEAD)).alias("key"))
+    blocks = _crowded(rows).select("key", F.ceil(F.col("_n") / BLOCK).alias("_blocks"))
+    rows = rows.join(blocks, "key", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    return rows.select("key", _block("_blocks").alias("cell"), "fp", "more", "root")
+
+
 def _segment_cells(nodes: DataFrame) -> DataFrame:
-    """(key, cell, fp, more): a row per segment of ``nodes`` (fp, more, keys); a crowded value is cut into pairs of blocks."""
-    rows = nodes.select("fp", "more", F.explode("keys").alias("key"))
-    crowded = rows.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > 2 * BLOCK)
-    crowded = staged(crowded.select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")))
-    rows = rows.join(crowded, "key", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
-    rows = rows.withColumn("_mine", F.pmod(F.xxhash64("fp", "more"), F.col("_blocks")).cast("int"))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    cell = F.least("_mine", "_other").cast("long") * F.col("_blocks") + F.greatest("_mine", "_other")
-    return rows.select("key", cell.alias("cell"), "fp", "more")
+    """(key, cell, fp, more, root): a row per segment of ``nodes`` (fp, more, keys, root); a crowded value is cut into pairs of blocks.
 
+    Rows of one root need no comparison.  So the rows of a crowded value's most
+    frequent root meet only the others, which meet each other as well.
+    """
+    rows = nodes.select("fp", "more", "root", F.explode("keys").alias("key"))
+    counts = rows.join(_crowded(rows).select("key"), "key").groupBy("key", "root").agg(F.count("*").alias("_n"))
+    largest = counts.groupBy("key").agg(F.sum("_n").alias("_n"), F.max(F.struct("_n", "root")).alias("_top"))
+    blocks = lambda n: F.ceil(n / BLOCK)
+    large = staged(largest.select("key", F.col("_top.root").alias("_main"), blocks(F.col("_top._n")).alias("_mains"), blocks(F.col("_n") - F.col("_top._n")).alias("_rest")))
+    rows = rows.join(large, "key", "left").where("_rest IS NULL OR _rest > 0")
+    return rows.select("key", F.explode(minhash.block_pairs("root", _block("_mains"), _block("_rest"))).alias("cell"), "fp", "more", "root")
 
-def near_links(nodes: DataFrame) -> DataFrame:
-    """(a, b): first words of ``nodes`` (fp, more, keys) with an equal segment and at most NEAR_BITS differing bits, a forest per block."""
+
+def _searched(cells: DataFrame) -> DataFrame:
+    """(a, b): roots of rows of a cell that differ in at most NEAR_BITS bits, a forest per slice of cells."""
 
     def verify(batches):
         for table in _whole_groups(batches):
             yield from _near(table)
 
-    grouped = _segment_cells(nodes).repartition("key", "cell").sortWithinPartitions("key", "cell")
+    grouped = cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "root")
     return grouped.mapInArrow(verify, "a long, b long")
 
 
+def near_links(nodes: DataFrame) -> DataFrame:
+    """(a, b): links whose components are those of all links between first words of ``nodes`` (fp, more, keys).
+
+    Two are linked that have an equal segment and at most NEAR_BITS differing bits.
+    Groups are put together by a few segments first.  All segments then add only
+    links between different groups, so a large group has a few links for each of
+    its nodes and not one per segment.
+    """
+    nodes = staged(nodes.groupBy("fp", "more").agg(F.first("keys").alias("keys")))
+    roots = components(_searched(_head_cells(nodes)))
+    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = staged(rooted.select("fp", "more", "keys", F.coalesce("root", "fp").alias("root")))
+    return roots.where("node <> root").toDF("a", "b").union(_searched(_segment_cells(rooted)))
+
+
 def _near(table: pa.Table):
-    """The forest of links among the rows of each whole group."""
+    """The forest of links between different roots among the rows of each whole group; a root's rows lie together."""
     col = _columns(table)
-    x, y = col["fp"].view(np.uint64), col["more"].view(np.uint64)
-    fresh = np.flatnonzero(np.concatenate([[True], (np.diff(col["key"]) != 0) | (np.diff(col["cell"]) != 0)]))
-    end = np.repeat(np.append(fresh[1:], len(x)), np.diff(np.append(fresh, len(x))))
-    counts = end - np.arange(len(x)) - 1  # a row meets those behind it
+    x, y, root = col["fp"].view(np.uint64), col["more"].view(np.uint64), col["root"]
+    fresh = np.concatenate([[True], (np.diff(col["key"]) != 0) | (np.diff(col["cell"]) != 0)])
+    end, own = _run_ends(fresh), _run_ends(fresh | np.concatenate([[True], np.diff(root) != 0]))
+    counts = end - own  # a row meets those behind its root's
     ends = np.cumsum(counts)
-    at = 0
+    at, found = 0, []
     while at < len(x):
         stop = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")), at + 1)
         n = counts[at:stop]
         left = np.repeat(np.arange(at, stop), n)
-        right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + left + 1
+        right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(own[at:stop], n)
         near = np.flatnonzero(np.bitwise_count(x[left] ^ x[right]) <= NEAR_BITS)
         left, right = left[near], right[near]
-        bits = np.bitwise_count(x[left] ^ x[right]) + np.bitwise_count(y[left] ^ y[right])
-        near = (bits <= NEAR_BITS) & (x[left] != x[right])
-        a, b = forest(col["fp"][left[near]], col["fp"][right[near]])
-        if len(a):
-            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+        near = np.bitwise_count(x[left] ^ x[right]) + np.bitwise_count(y[left] ^ y[right]) <= NEAR_BITS
+        found.append(forest(root[left[near]], root[right[near]]))
         at = stop
+    a, b = forest(*(np.concatenate(part) for part in zip(*found)))
+    if len(a):
+        yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+
+
+def _run_ends(fresh: np.ndarray) -> np.ndarray:
+    """For each row the end of its run; runs start where ``fresh``."""
+    starts = np.flatnonzero(fresh)
+    bounds = np.append(starts, len(fresh))
+    return np.repeat(bounds[1:], np.diff(bounds))
 
 
 def near_candidates(nodes: DataFrame) -> DataFrame:

@@ -539,6 +539,33 @@ def test_near_links_match_brute_force(spark, monkeypatch, block):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and len(links) > 50
 
 
+def test_a_large_group_of_near_copies_has_few_links(spark, monkeypatch):
+    """Links grow with a group's nodes, not with its segments or its pairs of blocks."""
+    n, rng = 400, np.random.default_rng(8)
+    bits = rng.integers(0, 2, 64 * simhash.WORDS, np.uint8) ^ (rng.random((n, 64 * simhash.WORDS)) < 0.05)
+    prints = np.packbits(bits.astype(np.uint8), axis=1, bitorder="little").view("<u8")
+    rows = [(*map(int, p.view(np.int64)[:2]), k.tolist()) for p, k in zip(prints, simhash.segment_keys(prints))]
+    nodes = spark.createDataFrame(rows, "fp long, more long, keys array<int>")
+    for block in (2048, 16):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        links = simhash.near_links(nodes).collect()
+        roots = components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert len(links) < 4 * n
+        assert {(r.node, r.root) for r in roots} == {(r[0], min(rows)[0]) for r in rows}
+
+
+def test_a_large_group_of_near_texts_has_few_links(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    words = [f"w{k}" for k in range(200)]
+    near = [" ".join([*words[:k], "x", *words[k + 1 :]]) for k in range(200)]
+    apart = [" ".join(f"y{k}{i}" for i in range(20)) for k in range(3)]
+    rows = [(0, k, t.encode()) for k, t in enumerate(near + apart)]
+    links = minhash.links(spark.createDataFrame(rows, "root long, node long, text binary")).collect()
+    assert len(links) < 2 * len(rows)
+    roots = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert roots == {k: 0 for k in range(200)}
+
+
 # the pipeline
 
 
