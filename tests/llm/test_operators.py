@@ -555,7 +555,7 @@ def test_a_large_group_of_near_copies_has_few_links(spark, monkeypatch):
 
 
 def test_a_large_group_of_near_texts_has_few_links(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "BLOCK", 32)
     words = [f"w{k}" for k in range(200)]
     near = [" ".join([*words[:k], "x", *words[k + 1 :]]) for k in range(200)]
     apart = [" ".join(f"y{k}{i}" for i in range(20)) for k in range(3)]
