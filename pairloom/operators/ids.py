@@ -60,17 +60,21 @@ def in_order(df: DataFrame, key: str, parts: int | None = None, within: tuple[st
     return df.repartitionById(groups * each, place).sortWithinPartitions(*([within[0]] if within else []), key)
 
 
-def _ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _ranged(df: DataFrame, keys: Sequence[str], takes: str | None = None) -> DataFrame:
     """``df`` in range partitions of ``keys``, sorted, with ``__at`` and ``__part``.
 
-    ``__at`` grows with the keys, by one from row to row of a partition.  Whole
-    keys are cut, so a leading value with very many rows is spread.  Written
-    once: a row keeps its place when a task runs again.
+    ``__at`` grows with the keys, by one from row to row of a partition, or by
+    the row's ``takes``.  Whole keys are cut, so a leading value with very many
+    rows is spread.  Written once: a row keeps its place when a task runs again.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    rows = staged(rows.withColumn("__at", F.monotonically_increasing_id()))
-    return rows.withColumn("__part", F.shiftright("__at", _ROW_BITS))
+    if takes:
+        rows = rows.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col(takes).cast("int"))))
+    rows = rows.withColumn("__at", F.monotonically_increasing_id())
+    if takes:
+        rows = rows.where("__nth = 1").drop("__nth")
+    return staged(rows).withColumn("__part", F.shiftright("__at", _ROW_BITS))
 
 
 def _with_edges(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -87,14 +91,18 @@ def dense_id(
     *,
     within: Sequence[str] = (),
     start: Column | int = 0,
+    takes: str | None = None,
 ) -> DataFrame:
     """Number rows ``start, start + 1, ..`` by ``order``, a unique key.
 
-    Numbering restarts for every value of ``within``.  Rows move once.
+    Numbering restarts for every value of ``within``.  Rows move once.  A row
+    takes one number, or as many as the column ``takes`` says, which is 1 at
+    least; it gets the first of them.
     """
     order, within = list(order), list(within)
-    rows, keys = _ranged(df, [*within, *order]), [*within, "__part"]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))
+    rows, keys = _ranged(df, [*within, *order], takes), [*within, "__part"]
+    size = F.sum(takes) if takes else F.count(F.lit(1))
+    counts = rows.groupBy(*keys).agg(size.alias("__rows"), F.min("__at").alias("__first"))
     before = Window.partitionBy(*within).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *keys, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")

@@ -45,9 +45,25 @@ def staged(df: DataFrame) -> DataFrame:
     so that a branch reads only the columns it needs; the files outlive any
     executor and go away with the application.
     """
+    return staged_apart(df)[0]
+
+
+def staged_apart(df: DataFrame) -> tuple[DataFrame, str]:
+    """``staged``, and the scratch folder, for frames that are dropped before the application ends."""
     path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _write_and_free(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path.rpartition("/")[0]
+
+
+def _write_and_free(df: DataFrame, path: str) -> None:
+    """Write ``df``; the shuffles of the write, which nothing reads again, leave the disk when it ends."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
 
 
 #: Rows that a task groups at once.

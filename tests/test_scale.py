@@ -2,6 +2,7 @@
 
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import Window
@@ -45,6 +46,76 @@ def test_expansion_with_a_hot_caption(spark):
     assert len([r for r in grown if r.text == "穿黑色上衣的人，地上有水" and r.image_ids == [1]]) == 1
 
 
+def mixed_texts(spark, rows=240):
+    """Captions of few wordings and few lists, some NULL, over three splits."""
+    wordings = F.array(*(F.lit(t) for t in (
+        "穿黑色的上衣的人，地上有水", "一个戴着白色头盔穿着黑色的短袖的人，骑着红色的电动车", "穿黑色上衣的人", "", "人", "戴白色头盔的人，骑红色的电动车",
+    )), F.lit(None).cast("string"))
+    at = F.xxhash64("id")
+    return spark.range(rows).select(
+        F.get(F.array(F.lit("train"), F.lit("valid"), F.lit(None).cast("string")), F.pmod(at, F.lit(3)).cast("int")).alias("split"),
+        (F.col("id") * 7 % rows * 1000).alias("ord"), (F.col("id") + 50).alias("text_id"),
+        F.get(wordings, F.pmod(F.shiftright(at, 8), F.lit(7)).cast("int")).alias("text"),
+        F.when(F.col("id") % 11 > 0, F.array_repeat(F.when(F.col("id") % 5 > 0, F.col("id") % 13), 1 + (F.col("id") % 2).cast("int"))).alias("image_ids"),
+    )
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_expansion_in_slices(spark, monkeypatch, keep):
+    monkeypatch.setattr(expand, "SLICE_ROWS", 70)
+    texts = staged(mixed_texts(spark))
+    got = expand.expand_attributes(texts, 5, keep)
+    assert "Exchange" not in plan(got)  # neither texts nor lists are in a shuffle of the result
+    first = expand.attribute_emissions(texts, 5, keep)
+    number = F.row_number().over(Window.partitionBy("split").orderBy("rank")) - 1
+    lists = texts.select(F.col("ord").alias("source_ord"), F.coalesce("image_ids", F.array().cast("array<bigint>")).alias("image_ids"))
+    want = first.withColumn("text_id", number.cast("bigint")).join(lists, "source_ord")
+    names = ["split", "text_id", "text", "image_ids", "source_text_id", "derived", "source_ord"]
+    key = lambda rows: sorted(map(str, rows))
+    assert key(got.select(names).collect()) == key(want.select(names).collect()) and got.count() > 100
+    assert got.where("ord <> text_id").isEmpty()
+
+
+def test_repeated_and_unnumbered_rows_of_an_expansion(spark):
+    schema = "split string, ord bigint, text_id bigint, text string, image_ids array<bigint>"
+    rows = [("train", 1, 1, "穿黑色上衣的人", [1]), ("train", 1, 1, "穿黑色上衣的人", [1]), ("train", None, 2, "穿白色上衣的人", [2]), ("train", 1, 3, "穿红色上衣的人", [3])]
+    got = expand.expand_attributes(spark.createDataFrame(rows, schema)).select("text", "image_ids").collect()
+    # a repeated row is there as often as before, a row without a place has none to stand at
+    assert sorted(map(tuple, got)) == [("穿红色上衣的人", [3]), ("穿黑色上衣的人", [1]), ("穿黑色上衣的人", [1])]
+
+
+def test_expansion_compares_only_rows_that_share_their_images(spark, monkeypatch, texts):
+    seen, real = [], expand._first_texts
+    monkeypatch.setattr(expand, "_first_texts", lambda rows, per_row: seen.append(rows.count()) or real(rows, per_row))
+    out = expand.expand_attributes(texts(*(("train", k, "穿黑色上衣的人", [k // 8 if k > 90 else 1000 + k]) for k in range(96))))
+    assert seen == [5] and out.where("not derived").count() == 92  # 91 lists of their own, one of five rows
+
+
+def test_numbers_of_rows_that_take_several(spark):
+    df = spark.range(500).select((F.col("id") * 37 % 500).alias("n"), (F.col("id") % 4 + 1).alias("size"))
+    got = ids.dense_id(df, "first", ["n"], takes="size")
+    before = F.sum("size").over(Window.orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
+    assert got.count() == 500 and got.withColumn("want", F.coalesce(before, F.lit(0))).where("first <> want").isEmpty()
+
+
+def test_staging_frees_its_shuffles(spark):
+    jvm = spark.sparkContext._jvm
+    disk = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles())
+        return {f.getName() for f in found if f.getName().endswith(".data")}
+
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", files()
+    setting = spark.conf.get(key)
+    frame = staged(spark.range(20000).groupBy((F.col("id") % 7000).alias("k")).count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and frame.count() == 7000 and spark.conf.get(key) == setting
+
+
 def test_merge_with_a_hot_image(spark):
     texts = hot_texts(spark)
     images = spark.range(900).select(
